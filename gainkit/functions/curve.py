@@ -22,15 +22,16 @@ def minmax_bounds(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.agg(*aggs)
 
 
-def minmax_scale(df: DataFrame, cols: list[str], suffix: str = "_scaled") -> DataFrame:
-    """(x - min) / span per column; span 0 gives null.  The bounds are one
-    row, so the join is a broadcast of a fixed-size table."""
-    b = minmax_bounds(df, cols)
-    out = df.crossJoin(F.broadcast(b))
+def minmax_scale(df: DataFrame, cols: list[str], suffix: str = "_scaled", bounds=None) -> DataFrame:
+    """(x - min) / span per column; span 0 gives null.  The bounds come
+    from one aggregate (a single row) and enter the plan as literals."""
+    b = bounds if bounds is not None else minmax_bounds(df, cols).first()
+    out = df
     for c in cols:
-        span = F.col(f"span_{c}")
-        out = out.withColumn(f"{c}{suffix}", F.when(span != 0, (F.col(c) - F.col(f"min_{c}")) / span))
-    return out.drop(*[f"min_{c}" for c in cols], *[f"span_{c}" for c in cols])
+        mn, span = b[f"min_{c}"], b[f"span_{c}"]
+        scaled = F.lit(None).cast("double") if not span else (F.col(c) - F.lit(mn)) / F.lit(span)
+        out = out.withColumn(f"{c}{suffix}", scaled)
+    return out
 
 
 def inverse_minmax(x, minimum, span) -> Column:
@@ -75,3 +76,13 @@ def fixed_weights(seed: int = 7):
     w2 = [[w(i, j, 2) for j in range(10)] for i in range(5)]
     w3 = [[w(i, 0, 3)] for i in range(10)]
     return w1, [0.1] * 5, w2, [0.1] * 10, w3, [0.1]
+
+
+def network_sql(x: str, w1, b1, w2, b2, w3, b3) -> str:
+    """SQL text of :func:`network_score` (valid in Spark SQL and DuckDB)."""
+    def sig(z):
+        return f"(1.0 / (1.0 + exp(-({z}))))"
+    h1 = [sig(f"{x} * {float(w1[0][j])!r} + {float(b1[j])!r}") for j in range(len(b1))]
+    h2 = [sig(" + ".join(f"{h1[i]} * {float(w2[i][j])!r}" for i in range(len(h1))) + f" + {float(b2[j])!r}")
+          for j in range(len(b2))]
+    return "(" + " + ".join(f"{h2[i]} * {float(w3[i][0])!r}" for i in range(len(h2))) + f" + {float(b3[0])!r})"

@@ -90,6 +90,4 @@ def kfold_assign(df: DataFrame, key, k: int = 5, seed: int = 100) -> DataFrame:
     return df.withColumn("fold", F.pmod(hash_u32(key, seed), F.lit(k)).cast("int"))
 
 
-def row_range(df: DataFrame, begin: int, end: int, index: str = "index") -> DataFrame:
-    """Half-open range [begin, end) of an index column (pushed to the scan)."""
-    return df.where((F.col(index) >= F.lit(begin)) & (F.col(index) < F.lit(end)))
+from gainkit.operators.rows import row_range  # noqa: E402,F401  (kept here for the C6 name)

@@ -45,6 +45,7 @@ from gainkit.session import cut_lineage, ensure_checkpoint_dir
 from gainkit.spec import CONTINUOUS, DISCRETE, FeatureSpec, check_spec, infer_spec
 
 ID_LIMIT = 1 << 62
+_DEBUG_PLAN = bool(__import__("os").environ.get("GAINKIT_DEBUG_PLAN"))
 BROADCAST_NODES = 500_000       # split nodes per level sent to every task at most
 BROADCAST_DICT = 1_000_000      # values of one discrete feature sent to every task at most
 
@@ -204,9 +205,15 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
     records: list[DataFrame] = []
     levels: dict[int, int] = {}
     depth = 0
+    n_nodes = 1
+    prev_rows = None
     while True:
+        held: list[DataFrame] = []
+        # node-sized tables go to every task only when their counted size allows
+        small = n_nodes <= broadcast_nodes
+        bc = F.broadcast if small else (lambda d: d)
         vc = value_class_counts(rows, F.col("node_id"), F.col("_y"), feats, k, with_totals=True)
-        vc = vc.persist(StorageLevel.MEMORY_AND_DISK)
+        vc = vc.persist(StorageLevel.MEMORY_AND_DISK)  # read by every measure below
 
         totals = vc.where(F.col(P) == -1).select(F.col(G).alias("node_id"), F.array(*cs).alias("_cc"))
         fstats = []
@@ -220,9 +227,10 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
             fstats.append(cb.select(G, P, "n_values", "threshold", "gain", "iv", "ratio", "lt_counts"))
         level_nodes = nodes.select("node_id", "depth", "used")
         if fstats:
-            fs = reduce(lambda a, b: a.unionByName(b), fstats)
-            fs = (fs.withColumnRenamed(G, "node_id")
-                  .join(level_nodes.select("node_id", "used"), "node_id")
+            fs = reduce(lambda a, b: a.unionByName(b), fstats).withColumnRenamed(G, "node_id")
+            fs = fs.persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(fs)
+            fs = (fs.join(bc(level_nodes.select("node_id", "used")), "node_id")
                   .where(~F.array_contains("used", F.col(P))))
             summary = fs.groupBy("node_id").agg(
                 F.min(F.struct(F.col(P), F.col("n_values"))).getField("n_values").alias("_first_nv"),
@@ -237,8 +245,8 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
             best = spark.createDataFrame([], "node_id long, split_pos int, threshold double, gain double, "
                                              "gain_ratio double, lt_counts array<long>")
 
-        dec = (nodes.join(totals, "node_id", "left").join(summary, "node_id", "left")
-               .join(best, "node_id", "left"))
+        dec = (nodes.join(bc(totals), "node_id", "left").join(bc(summary), "node_id", "left")
+               .join(bc(best), "node_id", "left"))
         n_classes = F.size(F.filter("_cc", lambda x: x > 0))
         const_nv = F.col("_first_nv") if stop_rule == "first_constant" else F.col("_max_nv")
         stop = (F.when(F.col("_cc").isNull(), F.lit("empty"))
@@ -264,11 +272,19 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
             F.coalesce(F.col("_cc"), F.array(*[F.lit(0).cast("long")] * k)).alias("class_counts"),
             F.when(F.col("_cc").isNotNull(), _majority(F.col("_cc"), classes)).alias("majority"),
         )
+        if _DEBUG_PLAN:
+            dec.explain()
         dec = cut_lineage(dec)
         vc_disc = vc.where(F.col(P).isin(d_pos)) if d_pos else None
 
+        for h in held:
+            h.unpersist()
+        if prev_rows is not None:
+            prev_rows.unpersist()
+            prev_rows = None
         st = dec.where(~F.col("is_leaf")).agg(F.count(F.lit(1)).alias("n"),
-                                              F.max("n_branches").alias("b")).first()
+                                              F.max("n_branches").alias("b"),
+                                              F.sum("n_branches").alias("kids")).first()
         n_split, b_d = int(st["n"]), int(st["b"] or 0)
         levels[depth] = n_split
 
@@ -339,6 +355,7 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
             F.lit(None).cast("string").alias("majority"), F.col("_pmaj").alias("prediction")))
         nodes = kids.where(F.col("_cc").isNotNull()).select(
             "node_id", "parent_id", "depth", "branch", "branch_value", "path", "used")
+        n_nodes = int(st["kids"])  # upper bound: every branch of every split node
 
         route = splits.select("node_id", "split_pos", "threshold", "first_child")
         if n_split <= broadcast_nodes:
@@ -347,17 +364,21 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
                .withColumn("node_id", F.col("first_child") + branch_index(spec))
                .drop("split_pos", "threshold", "first_child"))
         depth += 1
+        vc.unpersist()
         if checkpoint_interval and depth % checkpoint_interval == 0:
             nxt = cut_lineage(nxt)
+            rows.unpersist()
         else:
+            # filled by the next level's histogram pass; the parent rows stay
+            # cached until then so that nothing is recomputed
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        n_active = nxt.count()
-        vc.unpersist()
-        rows.unpersist()
+            prev_rows = rows
         rows = nxt
         base_d, r_d = base_next, r_next
 
     rows.unpersist()
+    if prev_rows is not None:
+        prev_rows.unpersist()
     tree = reduce(lambda a, b: a.unionByName(b), records)
     tree = cut_lineage(tree)
     return TreeModel(tree, spec, classes, label, dictionary, dict_sizes, max_depth, levels)

@@ -43,9 +43,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
+    """Reliable checkpoint into the shared checkpoint folder (survives executor
+    loss).  The frame is persisted first so that writing the checkpoint files
+    does not compute it a second time."""
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = held.checkpoint(eager=eager)
+    if eager:
+        held.unpersist()
+    return out
 
 
 def table_path(sf_dir: str, name: str) -> str:
