@@ -46,6 +46,20 @@ from gainkit.spec import CONTINUOUS, DISCRETE, FeatureSpec, check_spec, infer_sp
 
 ID_LIMIT = 1 << 62
 _DEBUG_PLAN = bool(__import__("os").environ.get("GAINKIT_DEBUG_PLAN"))
+_DEBUG_TIME = bool(__import__("os").environ.get("GAINKIT_DEBUG_TIME"))
+
+
+class _Clock:
+    def __init__(self):
+        import time
+        self._t = time.time
+        self.last = self._t()
+
+    def mark(self, what):
+        if _DEBUG_TIME:
+            now = self._t()
+            print(f"[fit] {what}: {now - self.last:.2f}s", flush=True)
+            self.last = now
 BROADCAST_NODES = 500_000       # split nodes per level sent to every task at most
 BROADCAST_DICT = 1_000_000      # values of one discrete feature sent to every task at most
 
@@ -207,6 +221,8 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
     depth = 0
     n_nodes = 1
     prev_rows = None
+    clock = _Clock()
+    clock.mark("prepare")
     while True:
         held: list[DataFrame] = []
         # node-sized tables go to every task only when their counted size allows
@@ -274,7 +290,9 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
         )
         if _DEBUG_PLAN:
             dec.explain()
+        clock.mark(f"level {depth} build")
         dec = cut_lineage(dec)
+        clock.mark(f"level {depth} decisions")
         vc_disc = vc.where(F.col(P).isin(d_pos)) if d_pos else None
 
         for h in held:
@@ -286,6 +304,7 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
                                               F.max("n_branches").alias("b"),
                                               F.sum("n_branches").alias("kids")).first()
         n_split, b_d = int(st["n"]), int(st["b"] or 0)
+        clock.mark(f"level {depth} stats")
         levels[depth] = n_split
 
         base_next = base_d + r_d
@@ -343,6 +362,7 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
         kids = kids.select("node_id", "parent_id", F.lit(depth + 1).alias("depth"), "branch", "branch_value",
                            F.concat("path", F.array(F.col("node_id"))).alias("path"), "used", "_pmaj", "_cc")
         kids = cut_lineage(kids)
+        clock.mark(f"level {depth} children")
         empty = kids.where(F.col("_cc").isNull())
         records.append(empty.select(
             "node_id", "parent_id", "depth", "branch", "branch_value", "path",
@@ -375,6 +395,7 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
             prev_rows = rows
         rows = nxt
         base_d, r_d = base_next, r_next
+        clock.mark(f"level {depth - 1} rows")
 
     rows.unpersist()
     if prev_rows is not None:

@@ -120,3 +120,81 @@ def measure_sql(src, by, feature_expr, feature_name, classes, threshold=None, la
     return (f"{head}\nSELECT {_sel(by, f'round(gain, {RD}) AS gain, round(iv, {RD}) AS intrinsic_value, '
                                        f'round(ratio, {RD}) AS gain_ratio, n_values, CAST(n AS BIGINT) AS n_rows')} "
             f"FROM cands")
+
+
+def _majority_sql(classes, prefix="c") -> str:
+    """Label with the largest count; ties -> earliest label."""
+    cs = [f"{prefix}{i}" for i in range(len(classes))]
+    mx = f"greatest({', '.join(cs)})" if len(cs) > 1 else cs[0]
+    out = "CASE " + " ".join(f"WHEN {c} = {mx} THEN '{lab}'" for c, lab in zip(cs, classes)) + " END"
+    return out
+
+
+def tree_depth0_ctes(src: str, spec, classes) -> str:
+    """CTEs ``dec`` (root split), ``routed`` (rows of src with their branch)
+    and ``kids`` (branch, branch_value, counts, prediction) for a tree whose
+    splits stop at the root (max_depth = 0)."""
+    head = candidates_sql(src, [], spec, classes)
+    ctes = [head[len("WITH "):],
+            "ranked AS (SELECT *, avg(round(gain, 12)) OVER () AS mean_gain FROM cands)",
+            "ranked2 AS (SELECT *, round(gain, 12) >= round(mean_gain, 12) AS qualified FROM ranked)",
+            "dec AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY qualified DESC, round(ratio, 12) DESC, "
+            "p DESC) AS rk FROM ranked2) WHERE rk = 1)"]
+    joins, cases, values = [], [], []
+    for pos, (name, kind) in enumerate(spec):
+        if kind == "discrete":
+            ctes.append(f"dict{pos} AS (SELECT v AS dv{pos}, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) "
+                        f"AS code{pos} FROM (SELECT DISTINCT CAST({name} AS VARCHAR) AS v FROM src))")
+            joins.append(f"LEFT JOIN dict{pos} ON CAST(s.{name} AS VARCHAR) = dict{pos}.dv{pos}")
+            cases.append(f"WHEN {pos} THEN code{pos}")
+            values.append(f"WHEN {pos} THEN dv{pos}")
+        else:
+            cases.append(f"WHEN {pos} THEN CASE WHEN s.{name} >= dec.threshold THEN 0 "
+                         f"WHEN s.{name} < dec.threshold THEN 1 END")
+            values.append(f"WHEN {pos} THEN CASE WHEN s.{name} >= dec.threshold THEN '>=' ELSE '<' END")
+    ctes.append(f"routed AS (SELECT s.*, CASE dec.p {' '.join(cases)} END AS branch, "
+                f"CASE dec.p {' '.join(values)} END AS branch_value FROM src s CROSS JOIN dec {' '.join(joins)})")
+    cnt = ", ".join(f"count_if(class = '{c}') AS c{i}" for i, c in enumerate(classes))
+    ctes.append(f"kids AS (SELECT branch, branch_value, count(*) AS n, {cnt} FROM routed GROUP BY ALL)")
+    ctes.append(f"rootc AS (SELECT count(*) AS n, {cnt} FROM src)")
+    return "WITH " + ",\n".join(ctes)
+
+
+def tree_depth0_sql(src: str, spec, classes) -> str:
+    """The whole max_depth = 0 tree: root row + one leaf per branch."""
+    k = len(classes)
+    n_cls = " + ".join(f"CASE WHEN c{i} > 0 THEN 1 ELSE 0 END" for i in range(k))
+    return (tree_depth0_ctes(src, spec, classes) +
+            f"\nSELECT CAST(0 AS BIGINT) AS node_id, CAST(NULL AS BIGINT) AS parent_id, 0 AS depth, "
+            f"CAST(NULL AS INTEGER) AS branch, CAST(NULL AS VARCHAR) AS branch_value, false AS is_leaf, "
+            f"CAST(NULL AS VARCHAR) AS stop_reason, dec.feature AS split_feature, dec.threshold AS threshold, "
+            f"round(dec.gain, {RD}) AS gain, round(dec.ratio, {RD}) AS gain_ratio, rootc.n AS n_rows, "
+            f"{_majority_sql(classes)} AS majority, CAST(NULL AS VARCHAR) AS prediction FROM dec, rootc\n"
+            f"UNION ALL\n"
+            f"SELECT CAST(1 + branch AS BIGINT), CAST(0 AS BIGINT), 1, CAST(branch AS INTEGER), branch_value, true, "
+            f"CASE WHEN ({n_cls}) = 1 THEN 'pure' ELSE 'depth' END, NULL, NULL, NULL, NULL, n, "
+            f"{_majority_sql(classes)}, {_majority_sql(classes)} FROM kids")
+
+
+def holdout_accuracy_depth0_sql(view_sql: str, key: str, spec, classes, seed=100, train_frac=0.8) -> str:
+    """Fit a max_depth = 0 tree on the keyed train side, score the test side."""
+    side = (f"('0x' || substr(md5(concat_ws('|', CAST({key} AS VARCHAR), '{seed}')), 1, 8))::BIGINT "
+            f"/ 4294967296.0 < {train_frac!r}")
+    train = f"SELECT * FROM ({view_sql}) WHERE {side}"
+    test = f"SELECT * FROM ({view_sql}) WHERE NOT ({side})"
+    ctes = tree_depth0_ctes(train, spec, classes)
+    joins, cases = [], []
+    for pos, (name, kind) in enumerate(spec):
+        if kind == "discrete":
+            joins.append(f"LEFT JOIN dict{pos} ON CAST(t.{name} AS VARCHAR) = dict{pos}.dv{pos}")
+            cases.append(f"WHEN {pos} THEN code{pos}")
+        else:
+            cases.append(f"WHEN {pos} THEN CASE WHEN t.{name} >= dec.threshold THEN 0 "
+                         f"WHEN t.{name} < dec.threshold THEN 1 END")
+    return (ctes + f",\ntest AS ({test}),\n"
+            f"scored AS (SELECT t.class, CASE dec.p {' '.join(cases)} END AS branch FROM test t CROSS JOIN dec "
+            f"{' '.join(joins)}),\n"
+            f"leaf AS (SELECT branch, {_majority_sql(classes)} AS prediction FROM kids)\n"
+            f"SELECT count(*) AS n_rows, count_if(l.prediction = s.class) AS n_correct, "
+            f"count_if(l.prediction = s.class) / count(*) AS accuracy "
+            f"FROM scored s LEFT JOIN leaf l ON s.branch = l.branch")

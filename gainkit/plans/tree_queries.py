@@ -1,3 +1,107 @@
 """Registered queries that grow, prune and score whole trees."""
 
-TREE_QUERIES: dict = {}
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from gainkit.functions.measures import REPORT_DIGITS as RD
+from gainkit.operators.evaluate import repeated_holdout
+from gainkit.operators.prune import prune
+from gainkit.operators.sampling import hash_split
+from gainkit.operators.score import accuracy
+from gainkit.operators.tree import fit
+from gainkit.plans import oracle as O
+from gainkit.plans.views import VIEWS, load_view
+
+BIN = ["0", "1"]
+
+TREE_OUT = ["node_id", "parent_id", "depth", "branch", "branch_value", "is_leaf", "stop_reason",
+            "split_feature", "threshold", "n_rows", "majority", "prediction"]
+
+
+def _tree_cols(tree):
+    return tree.select(*TREE_OUT[:9], F.round("gain", RD).alias("gain"), F.round("gain_ratio", RD).alias("gain_ratio"),
+                       *TREE_OUT[9:])
+
+
+def _tuples(name):
+    return [(s.name, s.kind) for s in VIEWS[name].spec]
+
+
+def q_tree_root_rule(spark, sf):
+    """F1-F8 for one level: the root split of the rule view and its leaves."""
+    m = fit(load_view(spark, sf, "v_rule"), "class", list(VIEWS["v_rule"].spec), classes=BIN, max_depth=0)
+    return _tree_cols(m.tree)
+
+
+SQL_TREE_ROOT_RULE = O.tree_depth0_sql(VIEWS["v_rule"].sql, _tuples("v_rule"), BIN)
+
+
+def q_tree_root_orders(spark, sf):
+    m = fit(load_view(spark, sf, "v_orders"), "class", list(VIEWS["v_orders"].spec), classes=BIN, max_depth=0)
+    return _tree_cols(m.tree)
+
+
+SQL_TREE_ROOT_ORDERS = O.tree_depth0_sql(VIEWS["v_orders"].sql, _tuples("v_orders"), BIN)
+
+
+def q_tree_root_docs(spark, sf):
+    m = fit(load_view(spark, sf, "v_docs"), "class", list(VIEWS["v_docs"].spec), classes=BIN, max_depth=0)
+    return _tree_cols(m.tree)
+
+
+SQL_TREE_ROOT_DOCS = O.tree_depth0_sql(VIEWS["v_docs"].sql, _tuples("v_docs"), BIN)
+
+
+def q_holdout_accuracy_events(spark, sf):
+    """Fit on the keyed train side, score the held-out side."""
+    v = load_view(spark, sf, "v_events")
+    train, test = hash_split(v, "event_id", (4, 1), 100)
+    m = fit(train, "class", list(VIEWS["v_events"].spec), classes=BIN, max_depth=0)
+    return accuracy(m, test)
+
+
+SQL_HOLDOUT_ACCURACY_EVENTS = O.holdout_accuracy_depth0_sql(VIEWS["v_events"].sql, "event_id",
+                                                            _tuples("v_events"), BIN)
+
+
+def q_holdout_accuracy_docs(spark, sf):
+    v = load_view(spark, sf, "v_docs")
+    train, test = hash_split(v, "doc_id", (4, 1), 100)
+    m = fit(train, "class", list(VIEWS["v_docs"].spec), classes=BIN, max_depth=0)
+    return accuracy(m, test)
+
+
+SQL_HOLDOUT_ACCURACY_DOCS = O.holdout_accuracy_depth0_sql(VIEWS["v_docs"].sql, "doc_id", _tuples("v_docs"), BIN)
+
+
+def q_fit_docs(spark, sf):
+    """the full tree (max depth 20) of the documents view."""
+    m = fit(load_view(spark, sf, "v_docs"), "class", list(VIEWS["v_docs"].spec), classes=BIN)
+    return _tree_cols(m.tree)
+
+
+def q_fit_prune_orders(spark, sf):
+    """Grow on the train side of the orders view, prune on the holdout."""
+    v = load_view(spark, sf, "v_orders")
+    train, test = hash_split(v, "o_orderkey", (4, 1), 100)
+    m = fit(train, "class", list(VIEWS["v_orders"].spec), classes=BIN, max_depth=4)
+    return _tree_cols(prune(m, test, "class").tree)
+
+
+def q_repeated_holdout_docs(spark, sf):
+    """Five keyed holdout rounds (seeds 100..500), pruned trees."""
+    return repeated_holdout(load_view(spark, sf, "v_docs"), "class", key="doc_id", rounds=5,
+                            spec=list(VIEWS["v_docs"].spec), classes=BIN)
+
+
+TREE_QUERIES = {
+    "f_tree_root_rule": (q_tree_root_rule, SQL_TREE_ROOT_RULE),
+    "f_tree_root_orders": (q_tree_root_orders, SQL_TREE_ROOT_ORDERS),
+    "f_tree_root_docs": (q_tree_root_docs, SQL_TREE_ROOT_DOCS),
+    "g4_holdout_accuracy_events": (q_holdout_accuracy_events, SQL_HOLDOUT_ACCURACY_EVENTS),
+    "g4_holdout_accuracy_docs": (q_holdout_accuracy_docs, SQL_HOLDOUT_ACCURACY_DOCS),
+    "f_fit_docs": (q_fit_docs, None),
+    "g5_fit_prune_orders": (q_fit_prune_orders, None),
+    "g7_repeated_holdout_docs": (q_repeated_holdout_docs, None),
+}
