@@ -154,6 +154,18 @@ def _majority(counts: Column, classes: list[str]) -> Column:
     return F.element_at(arr, F.array_position(counts, F.array_max(counts)).cast("int"))
 
 
+def _materialize(df: DataFrame, reliable: bool, keep: list) -> DataFrame:
+    """Small per-level tables: written with a reliable checkpoint (cuts the
+    plan chain between levels) or cached and released when the finished tree
+    has been written."""
+    if reliable:
+        return cut_lineage(df)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.count()
+    keep.append(df)
+    return df
+
+
 def _dense_positions(df: DataFrame, key: str) -> DataFrame:
     """(key, _pos): 0-based rank of ``key`` computed partition by partition."""
     spark = df.sparkSession
@@ -221,6 +233,7 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
     depth = 0
     n_nodes = 1
     prev_rows = None
+    cached_small: list[DataFrame] = []
     clock = _Clock()
     clock.mark("prepare")
     while True:
@@ -289,9 +302,14 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
             F.when(F.col("_cc").isNotNull(), _majority(F.col("_cc"), classes)).alias("majority"),
         )
         if _DEBUG_PLAN:
-            dec.explain()
+            import time as _t
+            for _i in range(3):
+                _a = _t.time()
+                dec.count()
+                print(f"[fit] level {depth} dec run {_i}: {_t.time() - _a:.2f}s", flush=True)
         clock.mark(f"level {depth} build")
-        dec = cut_lineage(dec)
+        # written: every later step of the level and the final tree read it
+        dec = _materialize(dec, True, cached_small)
         clock.mark(f"level {depth} decisions")
         vc_disc = vc.where(F.col(P).isin(d_pos)) if d_pos else None
 
@@ -337,31 +355,43 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
             cs_nodes = splits.where(F.col("split_kind") == CONTINUOUS)
             ch = cs_nodes.select(
                 "node_id", "path", "used", "first_child", "majority", "class_counts", "lt_counts",
-                F.explode(F.array(F.lit(0), F.lit(1))).alias("branch"))
+                "split_pos", "threshold", F.explode(F.array(F.lit(0), F.lit(1))).alias("branch"))
             ge = F.zip_with("class_counts", "lt_counts", lambda a, b: a - b)
             children.append(ch.select(
                 (F.col("first_child") + F.col("branch")).alias("node_id"),
                 F.col("node_id").alias("parent_id"), "branch",
                 F.when(F.col("branch") == 0, F.lit(">=")).otherwise(F.lit("<")).alias("branch_value"),
                 "path", "used", F.col("majority").alias("_pmaj"),
-                F.when(F.col("branch") == 0, ge).otherwise(F.col("lt_counts")).alias("_cc")))
+                F.when(F.col("branch") == 0, ge).otherwise(F.col("lt_counts")).alias("_cc"),
+                F.col("split_pos").alias("_psp"), F.col("threshold").alias("_pth"),
+                F.col("first_child").alias("_pfc")))
         if d_pos:
             ds_nodes = splits.where(F.col("split_kind") == DISCRETE)
             seen = vc_disc.select(F.col(G).alias("node_id"), F.col(P).alias("split_pos"),
                                   F.col(VD).cast("int").alias("code"), F.array(*cs).alias("_cc"))
-            ch = (ds_nodes.select("node_id", "path", "used", "first_child", "majority", "split_pos")
-                  .join(dictionary.withColumnRenamed(P, "split_pos"), "split_pos")
-                  .join(seen, ["node_id", "split_pos", "code"], "left"))
+            # one child per dictionary value: the join key (feature position) has few
+            # values, so one side must be broadcast; pick the one whose size is known small
+            lhs = ds_nodes.select("node_id", "path", "used", "first_child", "majority", "split_pos", "threshold")
+            dct = dictionary.withColumnRenamed(P, "split_pos")
+            if sum(dict_sizes.values()) <= BROADCAST_DICT:
+                ch = lhs.join(F.broadcast(dct), "split_pos")
+            else:
+                ch = dct.join(F.broadcast(lhs) if small else lhs, "split_pos")
+            ch = ch.join(seen, ["node_id", "split_pos", "code"], "left")
             children.append(ch.select(
                 (F.col("first_child") + F.col("code")).alias("node_id"),
                 F.col("node_id").alias("parent_id"), F.col("code").alias("branch"),
                 F.col("value").alias("branch_value"), "path",
                 F.concat("used", F.array(F.col("split_pos"))).alias("used"),
-                F.col("majority").alias("_pmaj"), "_cc"))
+                F.col("majority").alias("_pmaj"), "_cc",
+                F.col("split_pos").alias("_psp"), F.col("threshold").alias("_pth"),
+                F.col("first_child").alias("_pfc")))
         kids = reduce(lambda a, b: a.unionByName(b), children)
         kids = kids.select("node_id", "parent_id", F.lit(depth + 1).alias("depth"), "branch", "branch_value",
-                           F.concat("path", F.array(F.col("node_id"))).alias("path"), "used", "_pmaj", "_cc")
-        kids = cut_lineage(kids)
+                           F.concat("path", F.array(F.col("node_id"))).alias("path"), "used", "_pmaj", "_cc",
+                           "_psp", "_pth", "_pfc")
+        # the next frontier is written: this cuts the plan chain between levels
+        kids = _materialize(kids, True, cached_small)
         clock.mark(f"level {depth} children")
         empty = kids.where(F.col("_cc").isNull())
         records.append(empty.select(
@@ -377,7 +407,11 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
             "node_id", "parent_id", "depth", "branch", "branch_value", "path", "used")
         n_nodes = int(st["kids"])  # upper bound: every branch of every split node
 
-        route = splits.select("node_id", "split_pos", "threshold", "first_child")
+        # the parents' split as carried by their first child (every split has a
+        # branch 0): rows then depend on written data only, not on this level's plan
+        route = kids.where(F.col("branch") == 0).select(
+            F.col("parent_id").alias("node_id"), F.col("_psp").alias("split_pos"),
+            F.col("_pth").alias("threshold"), F.col("_pfc").alias("first_child"))
         if n_split <= broadcast_nodes:
             route = F.broadcast(route)
         nxt = (rows.join(route, "node_id")
@@ -402,4 +436,6 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
         prev_rows.unpersist()
     tree = reduce(lambda a, b: a.unionByName(b), records)
     tree = cut_lineage(tree)
+    for c in cached_small:
+        c.unpersist()
     return TreeModel(tree, spec, classes, label, dictionary, dict_sizes, max_depth, levels)
