@@ -29,37 +29,38 @@ def _using(by):
     return f"USING ({', '.join(by)})" if by else "ON TRUE"
 
 
-def candidates_sql(src: str, by: list[str], spec: list[tuple[str, str]], classes: list[str]) -> str:
+def candidates_sql(src: str, by: list[str], spec: list[tuple[str, str]], classes: list[str],
+                   tag: str = "") -> str:
     """(by..., p, feature, kind, threshold, gain, iv, ratio, n_values, n) for
     every discrete feature and every continuous feature with >= 2 values."""
-    ctes = [f"src AS ({src})",
-            f"tot AS (SELECT {_sel(by, 'class, count(*) AS c')} FROM src GROUP BY ALL)",
-            f"gt AS (SELECT {_sel(by, f'sum(c) AS n, sum({xl('c')}) AS sk')} FROM tot GROUP BY ALL)"]
+    ctes = [f"src{tag} AS ({src})",
+            f"tot{tag} AS (SELECT {_sel(by, 'class, count(*) AS c')} FROM src{tag} GROUP BY ALL)",
+            f"gt{tag} AS (SELECT {_sel(by, f'sum(c) AS n, sum({xl('c')}) AS sk')} FROM tot{tag} GROUP BY ALL)"]
     parts = []
     for pos, (name, kind) in enumerate(spec):
         if kind == "discrete":
-            ctes.append(f"h{pos} AS (SELECT {_sel(by, f'CAST({name} AS VARCHAR) AS v, class, count(*) AS c')} "
-                        f"FROM src GROUP BY ALL)")
-            ctes.append(f"pv{pos} AS (SELECT {_sel(by, f'v, sum(c) AS nv, sum({xl('c')}) AS svk')} "
-                        f"FROM h{pos} GROUP BY ALL)")
-            ctes.append(f"a{pos} AS (SELECT {_sel(by, f'sum({xl('nv')}) AS sv, sum(svk) AS svk, '
-                                                 f'count(*) AS n_values')} FROM pv{pos} GROUP BY ALL)")
+            ctes.append(f"h{tag}{pos} AS (SELECT {_sel(by, f'CAST({name} AS VARCHAR) AS v, class, count(*) AS c')} "
+                        f"FROM src{tag} GROUP BY ALL)")
+            ctes.append(f"pv{tag}{pos} AS (SELECT {_sel(by, f'v, sum(c) AS nv, sum({xl('c')}) AS svk')} "
+                        f"FROM h{tag}{pos} GROUP BY ALL)")
+            ctes.append(f"a{tag}{pos} AS (SELECT {_sel(by, f'sum({xl('nv')}) AS sv, sum(svk) AS svk, '
+                                                 f'count(*) AS n_values')} FROM pv{tag}{pos} GROUP BY ALL)")
             gain = f"greatest(({xl('n')} - sk - sv + svk) / n, 0)"
             iv = f"(({xl('n')} - sv) / n)"
             parts.append(
                 f"SELECT {_sel(by, f'{pos} AS p')}, '{name}' AS feature, 'discrete' AS kind, "
                 f"CAST(NULL AS DOUBLE) AS threshold, {gain} AS gain, {iv} AS iv, "
                 f"CASE WHEN n_values > 1 AND {iv} > 0 THEN {gain} / {iv} ELSE 0 END AS ratio, "
-                f"n_values, n FROM a{pos} JOIN gt {_using(by)}")
+                f"n_values, n FROM a{tag}{pos} JOIN gt{tag} {_using(by)}")
         else:
             cnt = ", ".join(f"count_if(class = '{c}') AS c{i}" for i, c in enumerate(classes))
-            ctes.append(f"h{pos} AS (SELECT {_sel(by, f'CAST({name} AS DOUBLE) AS v, {cnt}')} "
-                        f"FROM src GROUP BY ALL)")
+            ctes.append(f"h{tag}{pos} AS (SELECT {_sel(by, f'CAST({name} AS DOUBLE) AS v, {cnt}')} "
+                        f"FROM src{tag} GROUP BY ALL)")
             w = f"({_part(by)} ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
             run = ", ".join(f"sum(c{i}) OVER {w} AS l{i}" for i in range(len(classes)))
             tot = ", ".join(f"sum(c{i}) OVER ({_part(by)}) AS t{i}" for i in range(len(classes)))
-            ctes.append(f"pre{pos} AS (SELECT {_sel(by, f'v, {run}, {tot}, lead(v) OVER ({_part(by)} ORDER BY v) AS nxt, '
-                                                 f'count(*) OVER ({_part(by)}) AS n_values')} FROM h{pos})")
+            ctes.append(f"pre{tag}{pos} AS (SELECT {_sel(by, f'v, {run}, {tot}, lead(v) OVER ({_part(by)} ORDER BY v) AS nxt, '
+                                                 f'count(*) OVER ({_part(by)}) AS n_values')} FROM h{tag}{pos})")
             n = "(" + " + ".join(f"t{i}" for i in range(len(classes))) + ")"
             nl = "(" + " + ".join(f"l{i}" for i in range(len(classes))) + ")"
             sxt = " + ".join(xl(f"t{i}") for i in range(len(classes)))
@@ -69,16 +70,16 @@ def candidates_sql(src: str, by: list[str], spec: list[tuple[str, str]], classes
                     f"/ {n}, 0)")
             iv = f"(({xl(n)} - {xl(nl)} - {xl(f'({n} - {nl})')}) / {n})"
             ctes.append(
-                f"th{pos} AS (SELECT {_sel(by, 'v, nxt, n_values')}, "
+                f"th{tag}{pos} AS (SELECT {_sel(by, 'v, nxt, n_values')}, "
                 f"CASE WHEN (v + nxt) / 2 > v AND (v + nxt) / 2 <= nxt THEN (v + nxt) / 2 ELSE nxt END AS threshold, "
-                f"{gain} AS gain, {iv} AS iv, {n} AS n FROM pre{pos} WHERE nxt IS NOT NULL)")
+                f"{gain} AS gain, {iv} AS iv, {n} AS n FROM pre{tag}{pos} WHERE nxt IS NOT NULL)")
             ctes.append(
-                f"b{pos} AS (SELECT * FROM (SELECT *, row_number() OVER ({_part(by)} ORDER BY round(gain, 12) DESC, "
-                f"threshold DESC) AS rk FROM th{pos}) WHERE rk = 1)")
+                f"b{tag}{pos} AS (SELECT * FROM (SELECT *, row_number() OVER ({_part(by)} ORDER BY round(gain, 12) DESC, "
+                f"threshold DESC) AS rk FROM th{tag}{pos}) WHERE rk = 1)")
             parts.append(
                 f"SELECT {_sel(by, f'{pos} AS p')}, '{name}' AS feature, 'continuous' AS kind, threshold, gain, iv, "
-                f"CASE WHEN iv > 0 THEN gain / iv ELSE 0 END AS ratio, n_values, n FROM b{pos}")
-    ctes.append("cands AS (" + " UNION ALL ".join(parts) + ")")
+                f"CASE WHEN iv > 0 THEN gain / iv ELSE 0 END AS ratio, n_values, n FROM b{tag}{pos}")
+    ctes.append(f"cands{tag} AS (" + " UNION ALL ".join(parts) + ")")
     return "WITH " + ",\n".join(ctes)
 
 
@@ -198,3 +199,85 @@ def holdout_accuracy_depth0_sql(view_sql: str, key: str, spec, classes, seed=100
             f"SELECT count(*) AS n_rows, count_if(l.prediction = s.class) AS n_correct, "
             f"count_if(l.prediction = s.class) / count(*) AS accuracy "
             f"FROM scored s LEFT JOIN leaf l ON s.branch = l.branch")
+
+
+def tree_depth1_sql(src: str, spec, classes) -> str:
+    """The whole max_depth = 1 tree: root, its children (split again unless
+    pure / first remaining feature constant / no candidate) and their leaves.
+    Node numbering follows the library: children of the root are 1..B0, and
+    children of level-1 node 1+b start at 1 + B0 + b * B1 (B = widest split
+    of the level)."""
+    k = len(classes)
+    cs = [f"c{i}" for i in range(k)]
+    cnt = ", ".join(f"count_if(class = '{c}') AS c{i}" for i, c in enumerate(classes))
+    n_cls = " + ".join(f"CASE WHEN c{i} > 0 THEN 1 ELSE 0 END" for i in range(k))
+    maj = _majority_sql(classes)
+    head = tree_depth0_ctes(src, spec, classes)
+    lvl1 = candidates_sql("SELECT * FROM routed", ["branch"], spec, classes, tag="l1")
+    ctes = [head[len("WITH "):], lvl1[len("WITH "):]]
+    nb = []
+    for pos, (name, kind) in enumerate(spec):
+        nb.append(f"SELECT {pos} AS p, " + (f"(SELECT count(*) FROM dict{pos})" if kind == "discrete" else "2")
+                  + " AS nbr")
+    ctes.append("nbr AS (" + " UNION ALL ".join(nb) + ")")
+    ctes.append("radix0 AS (SELECT nbr AS b0 FROM nbr JOIN dec USING (p))")
+    # features still offered below the root: all but a discrete root feature
+    ctes.append("rem1 AS (SELECT c.* FROM candsl1 c CROSS JOIN dec "
+                "WHERE NOT (dec.kind = 'discrete' AND c.p = dec.p))")
+    nv = " UNION ALL ".join(f"SELECT branch, {pos} AS p, count(DISTINCT {name}) AS nv FROM routed GROUP BY branch"
+                            for pos, (name, _) in enumerate(spec))
+    ctes.append(f"nv1 AS (SELECT n.* FROM ({nv}) n CROSS JOIN dec WHERE NOT (dec.kind = 'discrete' AND n.p = dec.p))")
+    ctes.append("first1 AS (SELECT branch, arg_min(nv, p) AS first_nv FROM nv1 GROUP BY branch)")
+    ctes.append("r1 AS (SELECT *, avg(round(gain, 12)) OVER (PARTITION BY branch) AS mean_gain FROM rem1)")
+    ctes.append("r1b AS (SELECT *, round(gain, 12) >= round(mean_gain, 12) AS qualified FROM r1)")
+    ctes.append("dec1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY branch ORDER BY qualified DESC, "
+                "round(ratio, 12) DESC, p DESC) AS rk FROM r1b) WHERE rk = 1)")
+    ctes.append(f"node1 AS (SELECT kids.branch, kids.branch_value, kids.n, {', '.join('kids.' + c for c in cs)}, "
+                f"CASE WHEN ({n_cls.replace('c', 'kids.c')}) = 1 THEN 'pure' WHEN first1.first_nv = 1 THEN 'constant' "
+                f"WHEN dec1.p IS NULL THEN 'no_candidate' END AS stop_reason, "
+                f"dec1.p AS sp, dec1.feature AS sf, dec1.kind AS sk, dec1.threshold AS st, dec1.gain AS sg, "
+                f"dec1.ratio AS sr FROM kids LEFT JOIN first1 USING (branch) LEFT JOIN dec1 USING (branch))")
+    ctes.append("radix1 AS (SELECT max(nbr) AS b1 FROM node1 JOIN nbr ON node1.sp = nbr.p WHERE stop_reason IS NULL)")
+    cases, values, joins = [], [], []
+    for pos, (name, kind) in enumerate(spec):
+        if kind == "discrete":
+            joins.append(f"LEFT JOIN dict{pos} ON CAST(r.{name} AS VARCHAR) = dict{pos}.dv{pos}")
+            cases.append(f"WHEN {pos} THEN code{pos}")
+        else:
+            cases.append(f"WHEN {pos} THEN CASE WHEN r.{name} >= n.st THEN 0 WHEN r.{name} < n.st THEN 1 END")
+    ctes.append(f"routed2 AS (SELECT r.class, r.branch, CASE n.sp {' '.join(cases)} END AS b2 FROM routed r "
+                f"JOIN node1 n ON r.branch = n.branch AND n.stop_reason IS NULL {' '.join(joins)})")
+    ctes.append(f"cnt2 AS (SELECT branch, b2, count(*) AS n, {cnt} FROM routed2 GROUP BY ALL)")
+    kid_rows = []
+    for pos, (name, kind) in enumerate(spec):
+        if kind == "discrete":
+            kid_rows.append(f"SELECT n.branch, d.code{pos} AS b2, d.dv{pos} AS bv FROM node1 n JOIN dict{pos} d "
+                            f"ON TRUE WHERE n.stop_reason IS NULL AND n.sp = {pos}")
+        else:
+            kid_rows.append(f"SELECT n.branch, x.b2, CASE WHEN x.b2 = 0 THEN '>=' ELSE '<' END AS bv FROM node1 n "
+                            f"JOIN (SELECT unnest([0, 1]) AS b2) x ON TRUE WHERE n.stop_reason IS NULL AND n.sp = {pos}")
+    ctes.append("kids2 AS (" + " UNION ALL ".join(kid_rows) + ")")
+    ctes.append(f"leaf2 AS (SELECT k.branch, k.b2, k.bv, coalesce(c.n, 0) AS n, "
+                f"{', '.join(f'coalesce(c.c{i}, 0) AS c{i}' for i in range(k))} "
+                f"FROM kids2 k LEFT JOIN cnt2 c USING (branch, b2))")
+    n1 = "node1.n"
+    return ("WITH " + ",\n".join(ctes) +
+            f"\nSELECT CAST(0 AS BIGINT) AS node_id, CAST(NULL AS BIGINT) AS parent_id, 0 AS depth, "
+            f"CAST(NULL AS INTEGER) AS branch, CAST(NULL AS VARCHAR) AS branch_value, false AS is_leaf, "
+            f"CAST(NULL AS VARCHAR) AS stop_reason, dec.feature AS split_feature, dec.threshold AS threshold, "
+            f"round(dec.gain, {RD}) AS gain, round(dec.ratio, {RD}) AS gain_ratio, rootc.n AS n_rows, "
+            f"{maj} AS majority, CAST(NULL AS VARCHAR) AS prediction FROM dec, rootc\n"
+            f"UNION ALL\n"
+            f"SELECT CAST(1 + branch AS BIGINT), CAST(0 AS BIGINT), 1, CAST(branch AS INTEGER), branch_value, "
+            f"stop_reason IS NOT NULL, stop_reason, CASE WHEN stop_reason IS NULL THEN sf END, "
+            f"CASE WHEN stop_reason IS NULL THEN st END, CASE WHEN stop_reason IS NULL THEN round(sg, {RD}) END, "
+            f"CASE WHEN stop_reason IS NULL THEN round(sr, {RD}) END, {n1}, {maj}, "
+            f"CASE WHEN stop_reason IS NOT NULL THEN {maj} END FROM node1\n"
+            f"UNION ALL\n"
+            f"SELECT CAST(1 + b0.b0 + l.branch * b1.b1 + l.b2 AS BIGINT), CAST(1 + l.branch AS BIGINT), 2, "
+            f"CAST(l.b2 AS INTEGER), l.bv, true, "
+            f"CASE WHEN l.n = 0 THEN 'empty' WHEN ({n_cls.replace('c', 'l.c')}) = 1 THEN 'pure' ELSE 'depth' END, "
+            f"NULL, NULL, NULL, NULL, l.n, CASE WHEN l.n > 0 THEN {_majority_sql(classes, 'l.c')} END, "
+            f"CASE WHEN l.n > 0 THEN {_majority_sql(classes, 'l.c')} ELSE "
+            f"{_majority_sql(classes, 'p.c')} END "
+            f"FROM leaf2 l CROSS JOIN radix0 b0 CROSS JOIN radix1 b1 JOIN node1 p ON p.branch = l.branch")

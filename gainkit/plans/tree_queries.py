@@ -53,6 +53,14 @@ def q_tree_root_docs(spark, sf):
 SQL_TREE_ROOT_DOCS = O.tree_depth0_sql(VIEWS["v_docs"].sql, _tuples("v_docs"), BIN)
 
 
+def _two_levels(name):
+    def q(spark, sf):
+        m = fit(load_view(spark, sf, name), "class", list(VIEWS[name].spec), classes=BIN, max_depth=1)
+        return _tree_cols(m.tree)
+    q.__doc__ = f"F1-F9 over two levels of the {name} view (splits at depths 0 and 1)."
+    return q
+
+
 def q_holdout_accuracy_events(spark, sf):
     """Fit on the keyed train side, score the held-out side."""
     v = load_view(spark, sf, "v_events")
@@ -90,15 +98,21 @@ def q_fit_prune_orders(spark, sf):
 
 
 def q_repeated_holdout_docs(spark, sf):
-    """Five keyed holdout rounds (seeds 100..500), pruned trees."""
+    """Five keyed holdout rounds (seeds 100..500), pruned trees with
+    splits at depths 0..3 (five full-depth fits are ``f_fit_docs`` five times)."""
     return repeated_holdout(load_view(spark, sf, "v_docs"), "class", key="doc_id", rounds=5,
-                            spec=list(VIEWS["v_docs"].spec), classes=BIN)
+                            spec=list(VIEWS["v_docs"].spec), classes=BIN, max_depth=3)
 
 
 TREE_QUERIES = {
     "f_tree_root_rule": (q_tree_root_rule, SQL_TREE_ROOT_RULE),
     "f_tree_root_orders": (q_tree_root_orders, SQL_TREE_ROOT_ORDERS),
     "f_tree_root_docs": (q_tree_root_docs, SQL_TREE_ROOT_DOCS),
+    "f_tree_two_levels_docs": (_two_levels("v_docs"), O.tree_depth1_sql(VIEWS["v_docs"].sql, _tuples("v_docs"), BIN)),
+    "f_tree_two_levels_orders": (_two_levels("v_orders"),
+                                 O.tree_depth1_sql(VIEWS["v_orders"].sql, _tuples("v_orders"), BIN)),
+    "f_tree_two_levels_events": (_two_levels("v_events"),
+                                 O.tree_depth1_sql(VIEWS["v_events"].sql, _tuples("v_events"), BIN)),
     "g4_holdout_accuracy_events": (q_holdout_accuracy_events, SQL_HOLDOUT_ACCURACY_EVENTS),
     "g4_holdout_accuracy_docs": (q_holdout_accuracy_docs, SQL_HOLDOUT_ACCURACY_DOCS),
     "f_fit_docs": (q_fit_docs, None),
