@@ -196,12 +196,13 @@ def _prefix_blocked(vc: DataFrame, k: int, block_rows: int) -> DataFrame | None:
     )
 
 
-def threshold_table(vc: DataFrame, k: int, block_rows: int | None = DEFAULT_BLOCK_ROWS) -> DataFrame:
+def threshold_table(vc: DataFrame, k: int, block_rows: int | None = DEFAULT_BLOCK_ROWS,
+                    max_group_rows: int | None = None) -> DataFrame:
     """Every candidate threshold of every continuous (group, feature):
     (_g, _p, threshold, gain, iv, lt counts, totals, n_values).  The last
     distinct value gives no candidate (next is null)."""
     pre = None
-    if block_rows is not None:
+    if block_rows is not None and (max_group_rows is None or max_group_rows > block_rows):
         pre = _prefix_blocked(vc, k, block_rows)
     if pre is None:
         pre = _prefix_plain(vc, k)
@@ -237,9 +238,7 @@ def continuous_best(vc: DataFrame, k: int, block_rows: int | None = DEFAULT_BLOC
     The arg-max runs as windows over the same partitioning and order as the
     prefix sums (no new exchange or sort): the best rounded gain of the pair,
     then the last row (largest threshold) that reaches it."""
-    if block_rows is not None and max_group_rows is not None and max_group_rows <= block_rows:
-        block_rows = None
-    th = threshold_table(vc, k, block_rows)
+    th = threshold_table(vc, k, block_rows, max_group_rows)
     keys = [G, P, B] if B in th.columns else [G, P]
     score = F.when(F.col("_next").isNotNull(), rounded(F.col("gain"))).otherwise(F.lit(-1.0))
     w_all = Window.partitionBy(*keys).orderBy(VD).rowsBetween(Window.unboundedPreceding,
@@ -317,6 +316,14 @@ def _expand_key(df: DataFrame, by: list[str]) -> DataFrame:
     return df.select(*[F.col(f"{G}.{b}").alias(b) for b in by], *rest)
 
 
+def _row_bound(df: DataFrame, block_rows: int | None) -> int | None:
+    """Rows of the input: no (group, feature) pair can have more distinct
+    values, so when this is below ``block_rows`` the hot-pair probe (a second
+    pass over the histogram) is skipped.  A plain Parquet scan counts from
+    file metadata."""
+    return df.count() if block_rows is not None else None
+
+
 def _normalise_spec(spec) -> list[FeatureSpec]:
     out = []
     for s in spec:
@@ -346,7 +353,8 @@ def split_candidates(df: DataFrame, label: str, spec, by: list[str] | None = Non
                                F.col("iv").alias("intrinsic_value"), F.col("ratio").alias("gain_ratio"),
                                "n_values", "n"))
     if c_pos:
-        cb = continuous_best(vc.where(F.col(P).isin(c_pos)), k, block_rows).where(F.col("threshold").isNotNull())
+        cb = continuous_best(vc.where(F.col(P).isin(c_pos)), k, block_rows,
+                             _row_bound(df, block_rows)).where(F.col("threshold").isNotNull())
         parts.append(cb.select(G, P, "threshold", "gain", F.col("iv").alias("intrinsic_value"),
                                F.col("ratio").alias("gain_ratio"), "n_values",
                                F.aggregate("class_counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("n")))
@@ -390,7 +398,7 @@ def best_threshold(df: DataFrame, label: str, features, by: list[str] | None = N
     k = len(classes)
     feats = [(i, n, CONTINUOUS) for i, n in enumerate(names)]
     vc = value_class_counts(df, _group_key(by), label_index(label, classes), feats, k, with_totals=False)
-    cb = continuous_best(vc, k, block_rows).where(F.col("threshold").isNotNull())
+    cb = continuous_best(vc, k, block_rows, _row_bound(df, block_rows)).where(F.col("threshold").isNotNull())
     arr = F.array(*[F.lit(n) for n in names])
     out = cb.select(G, F.element_at(arr, F.col(P) + 1).alias("feature"), "threshold", "gain",
                     F.col("iv").alias("intrinsic_value"), F.col("ratio").alias("gain_ratio"),
@@ -408,7 +416,7 @@ def all_thresholds(df: DataFrame, label: str, features, by: list[str] | None = N
     k = len(classes)
     feats = [(i, n, CONTINUOUS) for i, n in enumerate(names)]
     vc = value_class_counts(df, _group_key(by), label_index(label, classes), feats, k, with_totals=False)
-    th = threshold_table(vc, k, block_rows).where(F.col("_next").isNotNull())
+    th = threshold_table(vc, k, block_rows, _row_bound(df, block_rows)).where(F.col("_next").isNotNull())
     arr = F.array(*[F.lit(n) for n in names])
     out = th.select(G, F.element_at(arr, F.col(P) + 1).alias("feature"), F.col(VD).alias("value"),
                     F.col("_next").alias("next_value"), "threshold", "gain",
