@@ -43,16 +43,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor
-    loss).  The frame is persisted first so that writing the checkpoint files
-    does not compute it a second time."""
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = held.checkpoint(eager=eager)
-    if eager:
-        held.unpersist()
-    return out
+    """Cut lineage with a written table: the frame is computed once, written as
+    Parquet under the shared checkpoint folder (``spark.checkpoint.dir``) and
+    read back, so later plans start from files (which also carry size
+    statistics for the optimizer) and survive the loss of any executor."""
+    import uuid
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/gainkit-tables/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:
