@@ -217,6 +217,30 @@ SQL_MAJORITY = (
     "SELECT l_linestatus, CAST(n_rows AS BIGINT) AS n_rows, class AS majority FROM r WHERE rk = 1")
 
 
+# --- D1 / D2 / D4 / D5 ---------------------------------------------------------
+
+def q_class_counts(spark, sf):
+    from gainkit.operators.impurity import class_counts
+    return class_counts(load_view(spark, sf, "v_multi"), "class", by=["l_linestatus"])
+
+
+SQL_CLASS_COUNTS = (f"SELECT l_linestatus, class, count(*) AS n_rows FROM ({VIEWS['v_multi'].sql}) "
+                    "GROUP BY l_linestatus, class")
+
+
+def q_distinct_counts(spark, sf):
+    from gainkit.operators.aggregates import distinct_counts
+    return distinct_counts(load_view(spark, sf, "v_rule"), ["l_quantity", "l_discount", "l_tax"],
+                           by=["l_returnflag"])
+
+
+SQL_DISTINCT_COUNTS = (
+    "SELECT l_returnflag, "
+    + ", ".join(f"count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS {c}_distinct"
+                for c in ["l_quantity", "l_discount", "l_tax"])
+    + f" FROM ({VIEWS['v_rule'].sql}) GROUP BY l_returnflag")
+
+
 # --- C2 / C3 / C5 --------------------------------------------------------------
 
 def q_hash_split(spark, sf):
@@ -359,6 +383,8 @@ QUERIES = {
     "e10_best_split_by_group": (q_best_split_by_group, SQL_BEST_SPLIT_BY_GROUP),
     "e10_best_split_docs": (q_best_split_docs, SQL_BEST_SPLIT_DOCS),
     "e10_best_split_multiclass": (q_best_split_multi, SQL_BEST_SPLIT_MULTI),
+    "d2_class_counts": (q_class_counts, SQL_CLASS_COUNTS),
+    "d5_distinct_counts": (q_distinct_counts, SQL_DISTINCT_COUNTS),
     "d8_majority": (q_majority, SQL_MAJORITY),
     "c3_hash_split": (q_hash_split, SQL_HASH_SPLIT),
     "c2_exact_split": (q_exact_split, SQL_EXACT_SPLIT),
