@@ -119,7 +119,7 @@ def test_curve_steps(spark):
 
 GATE = ["e1_entropy", "e2_info_gain", "e8_best_threshold", "e9_rank_splits", "e10_best_split_docs",
         "c3_hash_split", "c2_exact_split", "a4_replicate", "i4_network_score", "f_tree_root_docs",
-        "g4_holdout_accuracy_events"]
+        "g4_holdout_accuracy_events", "d2_class_counts", "d5_distinct_counts", "f_tree_two_levels_orders"]
 
 
 def test_oracle_gate_sf0001(spark):
