@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,7 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -29,30 +30,83 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when nothing is set
-    (local runs, tests) fall back to a fresh scratch folder."""
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir`` of
+    the session. Only a local master may go without one (it then gets a fresh
+    scratch folder); on a cluster a machine-local folder would lose rows, so a
+    missing setting raises."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="gainkit-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage with a written table: the frame is computed once, written as
-    Parquet under the shared checkpoint folder (``spark.checkpoint.dir``) and
-    read back, so later plans start from files (which also carry size
-    statistics for the optimizer) and survive the loss of any executor."""
-    import uuid
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/gainkit-tables/{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+class Scratch:
+    """One folder of written intermediate tables under the shared checkpoint
+    folder. ``cut`` writes a frame as Parquet and reads it back, so it is
+    computed once and later plans survive the loss of any executor. ``drop``
+    deletes a table that later plans no longer read, ``close`` the whole
+    folder; used as a context manager the folder goes when the block fails."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/gainkit-{name}-{uuid.uuid4().hex}"
+        self._n = 0
+        self._at: dict[int, tuple[DataFrame, str]] = {}
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        self._n += 1
+        path = f"{self.path}/t{self._n:04d}"
+        df.write.mode("error").parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self._at[id(out)] = (out, path)
+        return out
+
+    def bucketed(self, df: DataFrame, buckets: int, *keys: str):
+        """Writes the frame bucketed by ``keys``, so that grouping and joining
+        by them needs no shuffle of it. Returns (frame, function that drops it)."""
+        name, path = f"gainkit_{uuid.uuid4().hex}", f"{self.path}/b{uuid.uuid4().hex}"
+        df.write.bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
+
+        def drop():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            _delete(self.spark, path)
+
+        return self.spark.table(name), drop
+
+    def drop(self, *frames: DataFrame) -> None:
+        for df in frames:
+            held = self._at.pop(id(df), None)
+            if held:
+                _delete(self.spark, held[1])
+
+    def close(self) -> None:
+        _delete(self.spark, self.path)
+        self._at.clear()
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, kind, *_):
+        if kind is not None:
+            self.close()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def cut_lineage(df: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """Write the frame under the shared checkpoint folder and read it back."""
+    return (scratch or Scratch(df.sparkSession, "tables")).cut(df)
 
 
 def table_path(sf_dir: str, name: str) -> str:
