@@ -10,8 +10,9 @@ crosses. The order runs through strata of like size, so the words taken stay
 near the target, and within a stratum by a hash of the id.
 
 Positions come from counts per (source, stratum, hash bucket): buckets grow in
-number with the rows, so a hot source is ranked in many small windows, and
-only the counts meet in one window per source.
+number with the rows (to 4096 for each stratum of each source), so a hot source
+is ranked in many small windows, and only the counts meet in one window per
+source.
 
 Defined results: null sources are one source, last; null and empty texts have
 size 0, expect copies like the others and take no words; equal ids are ranked
@@ -24,10 +25,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gainkit.session import Scratch
+
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
 ROWS_PER_BUCKET = 20_000
+CELL_BITS = 12
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -61,8 +65,8 @@ def _hash(seed: int) -> Column:
     return F.conv(F.substring(drawn, 1, 8), 16, 10).cast("long")
 
 
-def _bucket(buckets: Column) -> Column:
-    return F.floor(F.col("_hash") * buckets / F.lit(1 << 32)).cast("long")
+def _bucket(cell: Column, buckets: Column) -> Column:
+    return F.floor(cell * buckets / F.lit(1 << CELL_BITS)).cast("long")
 
 
 def _same(a: str, b: str, *names: str) -> Column:
@@ -72,42 +76,48 @@ def _same(a: str, b: str, *names: str) -> Column:
     return cond
 
 
-def strata(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+def strata(sized: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """One row per (source, stratum): ``_offsets``, the number of the source's
     documents before each hash bucket of the stratum, and the source's size
-    and target."""
-    narrow = sized.select("_source", "_stratum", "_hash", "_size")
-    counts = narrow.groupBy("_source", "_stratum").agg(F.count(F.lit(1)).alias("_rows"), F.sum("_size").alias("_words")) \
-        .withColumn("_buckets", F.ceil(F.col("_rows") / ROWS_PER_BUCKET))
+    and target. The texts are read once for it; everything is derived from
+    counts per (source, stratum, leading ``CELL_BITS`` bits of the hash)."""
+    cells = sized.groupBy("_source", "_stratum", F.shiftright("_hash", 32 - CELL_BITS).alias("_cell")) \
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_words"))
+    cells = scratch.cut(cells)
+    counts = cells.groupBy("_source", "_stratum").agg(F.sum("_n").alias("_rows"), F.sum("_words").alias("_words")) \
+        .withColumn("_buckets", F.least(F.ceil(F.col("_rows") / ROWS_PER_BUCKET), F.lit(1 << CELL_BITS)))
     few = counts.select("_source", "_stratum", "_buckets")
-    filled = narrow.alias("n").join(few.alias("s"), _same("n", "s", "_source", "_stratum")) \
-        .select("n._source", "n._stratum", _bucket(F.col("_buckets")).alias("_bucket")) \
-        .groupBy("_source", "_stratum", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    cells = few.select("_source", "_stratum", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_buckets") - 1)).alias("_bucket"))
-    cells = cells.alias("c").join(filled.alias("f"), _same("c", "f", "_source", "_stratum", "_bucket"), "left") \
+    filled = cells.alias("n").join(few.alias("s"), _same("n", "s", "_source", "_stratum")) \
+        .select("n._source", "n._stratum", _bucket(F.col("_cell"), F.col("_buckets")).alias("_bucket"), "_n") \
+        .groupBy("_source", "_stratum", "_bucket").agg(F.sum("_n").alias("_n"))
+    every = few.select("_source", "_stratum", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_buckets") - 1)).alias("_bucket"))
+    every = every.alias("c").join(filled.alias("f"), _same("c", "f", "_source", "_stratum", "_bucket"), "left") \
         .select("c.*", F.coalesce(F.col("f._n"), F.lit(0)).alias("_n"))
     order = Window.partitionBy("_source").orderBy("_stratum", "_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    placed = cells.select("*", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before")) \
+    placed = every.select("*", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before")) \
         .groupBy("_source", "_stratum").agg(F.sort_array(F.collect_list(F.struct("_bucket", "_before"))).alias("_places")) \
         .select("_source", "_stratum", F.transform("_places", lambda x: x["_before"]).alias("_offsets"))
     aims = targets(counts.groupBy("_source").agg(F.sum("_words").alias("_words")), weights, share, most)
-    return placed.alias("p").join(aims.alias("a"), _same("p", "a", "_source")).select(
-        "p.*", F.col("a._words").alias("_source_size"), F.col("a._target").alias("_target"))
+    return scratch.cut(placed.alias("p").join(aims.alias("a"), _same("p", "a", "_source")).select(
+        "p.*", F.col("a._words").alias("_source_size"), F.col("a._target").alias("_target")))
 
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", seed: int = 0,
-        weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """A row for each row of ``docs``: struct ``_doc`` (the row itself), _size,
-    _source_size, _target and _copies (how often the mix holds it)."""
+        weights=WEIGHTS, share: float = SHARE, most: int = MOST, keep: list[str] | None = None) -> DataFrame:
+    """A row for each row of ``docs``: struct ``_doc`` (the row's columns
+    ``keep``, all by default), _size, _source_size, _target and _copies (how
+    often the mix holds it)."""
     digits = F.col("_size").cast("string")
 
     def sized(*payload):
         d = docs.select(*payload, F.col(key).alias("_key"), F.col(source).alias("_source"), word_count(F.col(text)).alias("_size"))
         return d.withColumn("_stratum", F.length(digits) * 100 + F.substring(digits, 1, 2).cast("int")).withColumn("_hash", _hash(seed))
 
-    d, s = sized(F.struct("*").alias("_doc")), strata(sized(), weights, share, most)
+    with Scratch(docs.sparkSession, "mix") as scratch:
+        d, s = sized(F.struct(*(keep or ["*"])).alias("_doc")), strata(sized(), scratch, weights, share, most)
+    cell = F.shiftright("_hash", 32 - CELL_BITS)
     whole = d.alias("d").join(s.alias("s"), _same("d", "s", "_source", "_stratum")).select(
-        "d.*", _bucket(F.size("_offsets")).alias("_bucket"), "_offsets", "_source_size", "_target")
+        "d.*", _bucket(cell, F.size("_offsets")).alias("_bucket"), "_offsets", "_source_size", "_target")
     whole = whole.withColumn("_before", F.get("_offsets", F.col("_bucket").cast("int"))).drop("_offsets")
     ranked = whole.withColumn("_rank", F.col("_before") + F.row_number().over(
         Window.partitionBy("_source", "_stratum", "_bucket").orderBy("_hash", "_key")))

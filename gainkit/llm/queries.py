@@ -75,7 +75,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = mixing.mix(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    m = mixing.mix(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
     return m.select(F.col("_doc.doc_id").alias("doc_id"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
                     F.col("_target").alias("target"), (F.col("_size") * F.col("_copies")).cast("long").alias("taken"))
 
