@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gainkit.llm.components import components
+from gainkit.llm.grouped import block_pairs, stream
 from gainkit.session import Scratch
 
 THRESHOLD = 0.98
@@ -116,45 +117,18 @@ def compared(vectors: DataFrame, described: DataFrame, scratch: Scratch, thresho
     vectors it links with there that no earlier list counts, and the smallest
     class of its component there."""
     entries = scratch.cut(lists(described))
-    at = ["label", "dim", "x", "y"]
-    sizes = entries.groupBy(*at).agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    n_blocks = F.ceil(F.col("c") / block).cast("int")
-    e = entries.join(sizes, at).withColumn("blocks", n_blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    e = e.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    e = e.select("id", "x", "y", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own")
-    full = e.join(vectors.select("id", "label", "dim", "v", "mult"), "id").join(described.select(F.col("id").alias("id2"), "order"), F.col("id") == F.col("id2"))
     keys = ["label", "dim", "x", "y", "i", "j"]
+    e = block_pairs(entries, keys[:4], block).select("id", "x", "y", "i", "j", "own")
+    full = e.join(vectors.select("id", "label", "dim", "v", "mult"), "id").join(described.select("id", "order"), "id")
     tasks = full.select(*keys, "own", "id", "mult", "order", "v").repartition(*keys).sortWithinPartitions(*keys)
 
     def run(batches):
-        held = None
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            if held is not None:
-                t = pa.concat_tables([held, t])
-            t = t.combine_chunks()
-            if not t.num_rows:
-                continue
-            new = _group_starts(t)
-            last = int(new[-1])
-            if last:
-                yield from _work(t.slice(0, last), new[:-1], threshold)
-            held = t.slice(last)
-        if held is not None and held.num_rows:
-            yield from _work(held, np.zeros(1, np.int64), threshold)
+        for t, starts in stream(batches, keys):
+            yield from _work(t, starts, threshold)
 
     return tasks.mapInArrow(run, "id long, n long, low long")
 
 
-def _group_starts(t: pa.Table) -> np.ndarray:
-    new = np.zeros(t.num_rows, bool)
-    new[0] = True
-    for c in ("label", "dim", "x", "y", "i", "j"):
-        v = t.column(c).to_pandas().factorize()[0]
-        new[1:] |= v[1:] != v[:-1]
-    return np.flatnonzero(new)
-
-
 def _work(t: pa.Table, starts: np.ndarray, threshold: float):
     """Compares the members of every group of ``t`` (groups begin at ``starts``)."""
     dims = t.column("dim").to_numpy()
