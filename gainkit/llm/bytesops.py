@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = U(pow(int(_BASE), -1, 1 << 64))
@@ -46,14 +46,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def text_slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES):
+def text_slices(column: pa.Array | pa.ChunkedArray, limit: int | None = None):
     """Yields (first row, data, offsets) over a string column; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column
     if column.null_count:
         column = column.fill_null(b"")
-    n = len(column)
+    n, limit = len(column), limit or SLICE_BYTES
     if not n:
         return
     off = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + n + 1]

@@ -51,7 +51,7 @@ SEED = 20
 SPAN = LENGTH - SEED + 1       # seeds in a window
 BEFORE = LENGTH - SEED         # most bytes of a window before its anchor
 WIDTH = 56                     # right context, padded to whole 8-byte characters
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 SAMPLE = 1 << 16
 NO_ID = 2**63 - 1
 
@@ -421,11 +421,11 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text:
     n = total // per + 1
     blocks, drop = scratch.bucketed(_blocks(rest.select("doc", "text")), n, "block")
     every = max(1, total // 16 // SAMPLE)
-    packed = _seeds(blocks, total // (16 << 20) + 1, every)
+    packed = _seeds(blocks, total // (8 << 20) + 1, every)
     shared = scratch.cut(packed.groupBy("part").applyInArrow(_shared, "block long, blob binary"))
     leads = [np.frombuffer(r[0], U) for r in shared.filter("block < 0").select("blob").collect()]
     leads = np.sort(np.concatenate([np.zeros(0, U), *leads]))
-    n_ranges = total // (8 << 20) + 1
+    n_ranges = total // (4 << 20) + 1
     splitters = np.unique(leads[np.linspace(0, len(leads) - 1, n_ranges + 1).astype(np.int64)[1:-1]]) if len(leads) else leads
     by_block = blocks.groupBy("block")
     sorted_out = by_block.cogroup(shared.filter("block >= 0").groupBy("block")).applyInArrow(_suffixes(splitters), "kind int, key long, blob binary") \
