@@ -1,6 +1,8 @@
 """Entropy, information gain, intrinsic value and gain ratio as grouped
 aggregates (E1-E6).  Each takes ``by`` columns, so the same call measures one
-table, every node of a tree level, or any other grouping at once."""
+table, every node of a tree level, or any other grouping at once.  Null
+features fail, or are left out with ``handle_null='drop'``; labels outside
+``classes`` fail."""
 
 from __future__ import annotations
 
@@ -33,14 +35,14 @@ def _as_discrete(df: DataFrame, feature: str, threshold: float | None):
     if threshold is None:
         return df, feature
     side = F.when(F.col(feature) >= F.lit(float(threshold)), F.lit(">=")).when(
-        F.col(feature) < F.lit(float(threshold)), F.lit("<"))
+        F.col(feature) < F.lit(float(threshold)), F.lit("<"))  # null stays null
     return df.withColumn("_side", side), "_side"
 
 
-def _measure(df, label, feature, by, threshold, classes):
+def _measure(df, label, feature, by, threshold, classes, handle_null):
     by = list(by or [])
     d, col = _as_discrete(df, feature, threshold)
-    out = split_candidates(d, label, [FeatureSpec(col, DISCRETE)], by, classes)
+    out = split_candidates(d, label, [FeatureSpec(col, DISCRETE)], by, classes, handle_null=handle_null, keep_position=True)
     out = out.drop("_p").withColumn("feature", F.lit(feature)) \
              .withColumn("threshold", F.lit(threshold).cast("double"))
     if by:
@@ -51,22 +53,22 @@ def _measure(df, label, feature, by, threshold, classes):
 
 
 def info_gain(df: DataFrame, label: str, feature: str, by: list[str] | None = None,
-              threshold: float | None = None, classes=None) -> DataFrame:
+              threshold: float | None = None, classes=None, handle_null: str = "error") -> DataFrame:
     """E2 (discrete: one part per value) or E3 (continuous: parts >= t and < t)."""
-    return _measure(df, label, feature, by, threshold, classes).select(
+    return _measure(df, label, feature, by, threshold, classes, handle_null).select(
         *(by or []), "feature", "threshold", "gain", "n_values", "n_rows")
 
 
 def intrinsic_value(df: DataFrame, feature: str, by: list[str] | None = None,
-                    threshold: float | None = None) -> DataFrame:
+                    threshold: float | None = None, handle_null: str = "error") -> DataFrame:
     """Split information of a feature (or a threshold) per group."""
     one = df.withColumn("_one", F.lit("1"))
-    return _measure(one, "_one", feature, by, threshold, ["1"]).select(
+    return _measure(one, "_one", feature, by, threshold, ["1"], handle_null).select(
         *(by or []), "feature", "threshold", "intrinsic_value", "n_values", "n_rows")
 
 
 def gain_ratio(df: DataFrame, label: str, feature: str, by: list[str] | None = None,
-               threshold: float | None = None, classes=None) -> DataFrame:
+               threshold: float | None = None, classes=None, handle_null: str = "error") -> DataFrame:
     """Gain / intrinsic value; 0 when the feature has one value in the group."""
-    return _measure(df, label, feature, by, threshold, classes).select(
+    return _measure(df, label, feature, by, threshold, classes, handle_null).select(
         *(by or []), "feature", "threshold", "gain", "intrinsic_value", "gain_ratio", "n_values", "n_rows")

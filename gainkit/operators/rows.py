@@ -74,6 +74,8 @@ def replicate(df: DataFrame, k: int, key: str) -> DataFrame:
     """A4: the table k times; copy c shifts ``key`` by c * count(key), so keys
     stay unique when they were.  One pass: each row is expanded in place (no
     join)."""
+    if k < 1:
+        raise ValueError(f"k must be 1 or more, not {k}")
     n = df.agg(F.count(F.col(key)).alias("n")).first()["n"]
     rest = [c for c in df.columns if c != key]
     out = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("copy"))

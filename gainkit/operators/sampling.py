@@ -58,7 +58,9 @@ def exact_rank(df: DataFrame, key, seed: int, target_bucket_rows: int = 1_000_00
     """Adds ``_rank`` (0-based, dense, exact) in the order of (md5 prefix, key).
     The order is cut into hash buckets (uniform, so evenly sized); bucket
     offsets come from a table of at most 2^20 counts, and ranks inside a
-    bucket from a window over that bucket only."""
+    bucket from a window over that bucket only.  Rows with equal keys are told
+    apart by a hash of all columns, so the ranks do not depend on how the rows
+    are partitioned."""
     keys = [key] if isinstance(key, str) else list(key)
     h = hash_u60(key, seed)
     total = df.count()
@@ -67,7 +69,7 @@ def exact_rank(df: DataFrame, key, seed: int, target_bucket_rows: int = 1_000_00
     counts = t.groupBy("_bk").agg(F.count(F.lit(1)).alias("_bn"))
     offs = counts.select("_bk", F.coalesce(F.sum("_bn").over(
         Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    w = Window.partitionBy("_bk").orderBy("_h", *keys)
+    w = Window.partitionBy("_bk").orderBy("_h", *keys, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     ranked = t.join(F.broadcast(offs), "_bk").withColumn("_rank", F.col("_off") + F.row_number().over(w) - 1)
     return ranked.drop("_h", "_bk", "_off")
 
@@ -77,7 +79,7 @@ def exact_split(df: DataFrame, key, weights=(4, 1), seed: int = 100, total: int
     hash order are train, the rest test.  With ``total`` only rows whose
     rank is below ``total`` are used (C2b)."""
     ranked = exact_rank(df, key, seed)
-    n = ranked.count() if total is None else total
+    n = df.count() if total is None else total
     if total is not None:
         ranked = ranked.where(F.col("_rank") < total)
     n_train = int(n * weights[0] / float(sum(weights)))

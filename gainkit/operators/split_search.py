@@ -48,17 +48,16 @@ def cnames(k: int) -> list[str]:
 # ---------------------------------------------------------------------------
 
 def value_class_counts(df: DataFrame, key: Column, y: Column, feats: list[tuple[int, str, str]],
-                       k: int, with_totals: bool = True) -> DataFrame:
+                       k: int, with_totals: bool = True, coded: bool = False) -> DataFrame:
     """(_g, _p, _vs, _vd, c0..c{k-1}): rows per class for every distinct value
     of every feature in every group.  ``feats`` holds (position, column, kind).
-    Discrete values are kept as text in ``_vs`` (or as integer codes in ``_vd``
-    when the column is already numeric and kind is discrete), continuous ones
-    in ``_vd``.  With ``with_totals`` a pseudo feature ``_p = -1`` carries the
+    Discrete values are kept as text in ``_vs`` (with ``coded`` they are
+    dictionary codes and kept in ``_vd``), continuous ones in ``_vd``.  With ``with_totals`` a pseudo feature ``_p = -1`` carries the
     class totals of each group."""
     structs, names = [], []
     for pos, col, kind in feats:
         c = F.col(col)
-        if kind == DISCRETE and not _numeric(df, col):
+        if kind == DISCRETE and not coded:
             vs, vd = c.cast("string"), F.lit(None).cast("double")
         else:
             vs, vd = F.lit(None).cast("string"), c.cast("double")
@@ -75,11 +74,6 @@ def value_class_counts(df: DataFrame, key: Column, y: Column, feats: list[tuple[
     return long.groupBy(G, P, VS, VD).agg(*counts)
 
 
-def _numeric(df: DataFrame, col: str) -> bool:
-    from pyspark.sql.types import NumericType
-    return isinstance(df.schema[col].dataType, NumericType)
-
-
 # ---------------------------------------------------------------------------
 # discrete features
 # ---------------------------------------------------------------------------
@@ -298,11 +292,32 @@ def labels_of(df: DataFrame, label: str, classes=None, max_classes: int = 10_000
 
 def label_index(label: str, classes: list[str]) -> Column:
     """0-based position of the label in ``classes`` (null when unknown)."""
-    arr = F.array(*[F.lit(c) for c in classes])
+    arr = F.array(*[F.lit(c) for c in classes]).cast("array<string>")
     pos = F.array_position(arr, F.col(label).cast("string"))
     return F.when(pos > 0, (pos - 1).cast("int"))
 
 
+def known_label(label: str, classes: list[str]) -> Column:
+    """As :func:`label_index`; a null or unlisted label fails the query, as in ``fit``."""
+    name = F.coalesce(F.col(label).cast("string"), F.lit("null"))
+    return F.coalesce(label_index(label, classes), F.raise_error(
+        F.concat(F.lit(f"{label}: label outside the {len(classes)} classes: "), name)).cast("int"))
+
+
+def without_nulls(df: DataFrame, features: list[str], handle_null: str) -> DataFrame:
+    """Null features by the rule of ``fit``: 'error' fails the query, 'drop'
+    leaves out rows with a null in any of them."""
+    if handle_null not in ("error", "drop"):
+        raise ValueError("handle_null must be 'error' or 'drop'")
+    features = list(dict.fromkeys(features))
+    if handle_null == "drop":
+        return df.dropna(subset=features)
+    for f in features:
+        stop = F.raise_error(F.lit(f"{f}: null feature; use handle_null='drop' or clean the input")).cast(df.schema[f].dataType)
+        df = df.withColumn(f, F.coalesce(F.col(f), stop))
+    return df
+
+
 def _group_key(by: list[str]) -> Column:
     if not by:
         return F.struct(F.lit(0).alias("_all"))
@@ -332,16 +347,22 @@ def _normalise_spec(spec) -> list[FeatureSpec]:
 
 
 def split_candidates(df: DataFrame, label: str, spec, by: list[str] | None = None, classes=None,
-                     block_rows: int | None = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                     block_rows: int | None = DEFAULT_BLOCK_ROWS, handle_null: str = "error",
+                     keep_position: bool = False) -> DataFrame:
     """One row per (by..., feature) candidate with
     kind, threshold (continuous), gain, intrinsic_value, gain_ratio, n_values,
-    n_rows.  Continuous features with one value give no candidate."""
+    n_rows.  Continuous features with one value give no candidate.  Null
+    features and labels outside ``classes`` fail unless ``handle_null`` is
+    'drop' (rows with a null feature go; unknown labels still fail).  With
+    ``keep_position`` the group (a struct ``_g``) and the feature's place
+    (``_p``) stay in, as :func:`rank_splits` needs them."""
     by = list(by or [])
     spec = _normalise_spec(spec)
+    df = without_nulls(df, [s.name for s in spec], handle_null)
     classes = labels_of(df, label, classes)
     k = len(classes)
     feats = [(i, s.name, s.kind) for i, s in enumerate(spec)]
-    vc = value_class_counts(df, _group_key(by), label_index(label, classes), feats, k, with_totals=False)
+    vc = value_class_counts(df, _group_key(by), known_label(label, classes), feats, k, with_totals=False)
     names = F.array(*[F.lit(s.name) for s in spec])
     kinds = F.array(*[F.lit(s.kind) for s in spec])
     parts = []
@@ -363,14 +384,13 @@ def split_candidates(df: DataFrame, label: str, spec, by: list[str] | None = Non
                      F.element_at(kinds, F.col(P) + 1).alias("kind"),
                      "threshold", "gain", "intrinsic_value", "gain_ratio", "n_values",
                      F.col("n").alias("n_rows"))
-    return out
+    return out if keep_position else _expand_key(out.drop(P), by)
 
 
 def rank_splits(cands: DataFrame, by: list[str] | None = None) -> DataFrame:
     """E9 over the output of :func:`split_candidates` (keeps its columns, adds
-    mean_gain, qualified, rank).  Needs the internal ``_p`` column, so pass
-    the frame returned by ``split_candidates(..., keep_position=True)`` or by
-    :func:`split_candidates` directly."""
+    mean_gain, qualified, rank).  Pass what ``split_candidates(...,
+    keep_position=True)`` returns: ties go by the feature's place."""
     by = list(by or [])
     keyed = cands.withColumn(G, _group_key(by)) if G not in cands.columns else cands
     ranked = rank_candidates(keyed.withColumnRenamed("gain_ratio", "ratio")).withColumnRenamed("ratio", "gain_ratio")
@@ -378,26 +398,28 @@ def rank_splits(cands: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 
 def best_split(df: DataFrame, label: str, spec, by: list[str] | None = None, classes=None,
-               block_rows: int | None = DEFAULT_BLOCK_ROWS, all_candidates: bool = False) -> DataFrame:
+               block_rows: int | None = DEFAULT_BLOCK_ROWS, all_candidates: bool = False,
+               handle_null: str = "error") -> DataFrame:
     """The chosen split of each group (or every candidate with its rank)."""
     by = list(by or [])
-    ranked = rank_splits(split_candidates(df, label, spec, by, classes, block_rows))
+    ranked = rank_splits(split_candidates(df, label, spec, by, classes, block_rows, handle_null, True))
     if not all_candidates:
         ranked = ranked.where(F.col("rank") == 1)
     return _expand_key(ranked.drop(P), by)
 
 
 def best_threshold(df: DataFrame, label: str, features, by: list[str] | None = None, classes=None,
-                   block_rows: int | None = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                   block_rows: int | None = DEFAULT_BLOCK_ROWS, handle_null: str = "error") -> DataFrame:
     """Best threshold of each continuous feature per group:
     (by..., feature, threshold, gain, intrinsic_value, gain_ratio, n_values,
     n_candidates).  Features with one value in a group are left out."""
     by = list(by or [])
     names = [f.name if isinstance(f, FeatureSpec) else f for f in features]
+    df = without_nulls(df, names, handle_null)
     classes = labels_of(df, label, classes)
     k = len(classes)
     feats = [(i, n, CONTINUOUS) for i, n in enumerate(names)]
-    vc = value_class_counts(df, _group_key(by), label_index(label, classes), feats, k, with_totals=False)
+    vc = value_class_counts(df, _group_key(by), known_label(label, classes), feats, k, with_totals=False)
     cb = continuous_best(vc, k, block_rows, _row_bound(df, block_rows)).where(F.col("threshold").isNotNull())
     arr = F.array(*[F.lit(n) for n in names])
     out = cb.select(G, F.element_at(arr, F.col(P) + 1).alias("feature"), "threshold", "gain",
@@ -407,15 +429,16 @@ def best_threshold(df: DataFrame, label: str, features, by: list[str] | None = N
 
 
 def all_thresholds(df: DataFrame, label: str, features, by: list[str] | None = None, classes=None,
-                   block_rows: int | None = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                   block_rows: int | None = DEFAULT_BLOCK_ROWS, handle_null: str = "error") -> DataFrame:
     """E3/E5/E7 for every candidate: (by..., feature, value, next_value,
     threshold, gain, intrinsic_value, gain_ratio)."""
     by = list(by or [])
     names = [f.name if isinstance(f, FeatureSpec) else f for f in features]
+    df = without_nulls(df, names, handle_null)
     classes = labels_of(df, label, classes)
     k = len(classes)
     feats = [(i, n, CONTINUOUS) for i, n in enumerate(names)]
-    vc = value_class_counts(df, _group_key(by), label_index(label, classes), feats, k, with_totals=False)
+    vc = value_class_counts(df, _group_key(by), known_label(label, classes), feats, k, with_totals=False)
     th = threshold_table(vc, k, block_rows, _row_bound(df, block_rows)).where(F.col("_next").isNotNull())
     arr = F.array(*[F.lit(n) for n in names])
     out = th.select(G, F.element_at(arr, F.col(P) + 1).alias("feature"), F.col(VD).alias("value"),

@@ -241,7 +241,7 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
         # node-sized tables go to every task only when their counted size allows
         small = n_nodes <= broadcast_nodes
         bc = F.broadcast if small else (lambda d: d)
-        vc = value_class_counts(rows, F.col("node_id"), F.col("_y"), feats, k, with_totals=True)
+        vc = value_class_counts(rows, F.col("node_id"), F.col("_y"), feats, k, with_totals=True, coded=True)
         vc = vc.persist(StorageLevel.MEMORY_AND_DISK)  # read by every measure below
 
         totals = vc.where(F.col(P) == -1).select(F.col(G).alias("node_id"), F.array(*cs).alias("_cc"))

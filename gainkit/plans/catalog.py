@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gainkit.functions.curve import fixed_weights, minmax_scale, network_sql
+from gainkit.functions.curve import fixed_weights, minmax_scale, network_score, network_sql, squared_loss
 from gainkit.functions.measures import REPORT_DIGITS as RD
 from gainkit.operators.aggregates import majority_class
 from gainkit.operators.impurity import entropy, gain_ratio, intrinsic_value
@@ -337,16 +337,15 @@ SQL_MINMAX = (SQL_EVENTS_SCALED + " SELECT event_id, round(value_scaled, 9) AS v
 
 def q_network(spark, sf):
     s = _scaled_events(spark, sf)
-    return s.select("event_id", F.round(F.expr(NET), 9).alias("yhat"))
+    return s.select("event_id", F.round(network_score("value_scaled", *W), 9).alias("yhat"))
 
 
 SQL_NETWORK = SQL_EVENTS_SCALED + f" SELECT event_id, round({NET}, 9) AS yhat FROM s"
 
 
 def q_network_loss(spark, sf):
-    s = _scaled_events(spark, sf).withColumn("yhat", F.expr(NET))
-    return s.agg(F.round(F.avg(F.pow(F.col("k_scaled") - F.col("yhat"), 2)), 9).alias("loss"),
-                 F.count(F.lit(1)).alias("n_rows"))
+    s = _scaled_events(spark, sf).withColumn("yhat", network_score("value_scaled", *W))
+    return squared_loss(s, "k_scaled", "yhat").select(F.round("loss", 9).alias("loss"), F.lit(s.count()).alias("n_rows"))
 
 
 SQL_NETWORK_LOSS = (SQL_EVENTS_SCALED + f" SELECT round(avg(pow(k_scaled - {NET}, 2)), 9) AS loss, "

@@ -71,7 +71,7 @@ def test_all_thresholds_one_row_per_gap(spark):
 def test_majority_and_distinct(spark):
     df = spark.createDataFrame([("a", "1"), ("a", "0"), ("b", "1"), ("b", "1"), ("c", None)], "g string, class string")
     m = {r["g"]: r["majority"] for r in majority_class(df, "class", by=["g"], classes=["0", "1"]).collect()}
-    assert m == {"a": "0", "b": "1", "c": "0"}
+    assert m == {"a": "0", "b": "1", "c": None}
     d = distinct_counts(df, ["class"]).first()
     assert d["class_distinct"] == 3
 
@@ -146,3 +146,48 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() >= 1
     assert "gain_ratio" in df.columns
+
+
+def test_null_features_fail_or_go(spark):
+    from gainkit import best_threshold
+    from gainkit.operators.impurity import gain_ratio, info_gain
+    df = spark.createDataFrame([("1", None)] * 3 + [("0", 1.0), ("1", 2.0), ("0", 3.0)], "class string, x double")
+    clean = df.dropna()
+    with pytest.raises(Exception, match="null feature"):
+        best_threshold(df, "class", ["x"]).collect()
+    with pytest.raises(Exception, match="null feature"):
+        info_gain(df, "class", "x", threshold=2.0).collect()
+    assert best_threshold(df, "class", ["x"], handle_null="drop").collect() == best_threshold(clean, "class", ["x"]).collect()
+    assert gain_ratio(df, "class", "x", threshold=2.0, handle_null="drop").first()["n_values"] == 2
+
+
+def test_unknown_labels_fail(spark):
+    from gainkit.operators.impurity import gain_ratio
+    df = spark.createDataFrame([("1", "a"), ("0", "b"), ("zz", "a"), (None, "b")], "class string, g string")
+    for bad in (df, df.where("class is not null"), df.where("class is null or class <> 'zz'")):
+        with pytest.raises(Exception, match="label outside"):
+            gain_ratio(bad, "class", "g", classes=["0", "1"]).collect()
+
+
+def test_large_integers_stay_apart(spark):
+    from gainkit.operators.impurity import info_gain
+    from gainkit.spec import DISCRETE, FeatureSpec
+    from gainkit import split_candidates
+    df = spark.createDataFrame([(str(i % 2), 2**53 + i, "h") for i in range(4)], "class string, x long, h string")
+    r = info_gain(df, "class", "x").first()
+    assert (r["n_values"], r["gain"]) == (4, 1.0)
+    c = split_candidates(df, "class", [FeatureSpec("x", DISCRETE)], by=["h"])
+    assert c.columns[:2] == ["h", "feature"] and c.first()["n_values"] == 4
+
+
+def test_exact_split_of_repeated_keys_is_fixed(spark):
+    df = spark.range(4000).selectExpr("id % 7 AS k", "id AS v")
+    one, two = (sorted(r["v"] for r in exact_split(df.repartition(n), "k", (4, 1), 100)[0].collect()) for n in (3, 7))
+    assert one == two and len(one) == 3200
+
+
+def test_replicate_needs_a_copy(spark):
+    from gainkit.operators.rows import replicate
+    with pytest.raises(ValueError):
+        replicate(spark.range(3), 0, "id")
+    assert replicate(spark.range(3), 1, "id").count() == 3
