@@ -13,9 +13,10 @@ rounds over its elements.
 2. Bands of registers make keys; classes that share a key are candidates.
    Pairs are not listed: in each bucket every member is first compared with one
    hub (the smallest id), then, where the bucket still holds more than one
-   component, with the member that has most links, and at last the pairs of
-   members in different components are compared, each in the first band it
-   shares.
+   component, with the member that has most links. At last the members that
+   are still in different components are compared by their registers within
+   blocks of their bucket, each pair in the first band it shares, and those
+   that step 3 leaves possible by their sets; pairs never become rows.
 3. For each candidate pair the counts of larger, smaller and equal registers
    and both set sizes give the likelihood of the similarity; pairs for which
    no similarity at or above the threshold is likely are dropped.
@@ -40,21 +41,26 @@ from pyspark.sql import functions as F
 
 from gainkit.llm.bytesops import LOWER, U, mix, shingle_sets, text_slices
 from gainkit.llm.components import components
+from gainkit.llm.grouped import block_pairs, stream
 from gainkit.session import Scratch
 
-M = 128
+M = 256
+#: registers that make bands; all of them estimate
+BANDED = 128
+#: members of a bucket compared in one task
+BLOCK = 256
 BASE = 1.001
 RATE = 20.0
 TOP = 65535
 #: pairs are dropped when likelier by this log ratio below the threshold than at or above it
-SLACK = 12.0
+SLACK = 10.0
 #: chance that a pair at the threshold shares no band, at most
 MISS = 1e-6
 NO_ID = 2**63 - 1
 _STEP = U(0x9E3779B97F4A7C15)
 
 
-def bands(threshold: float, m: int = M, miss: float = MISS) -> tuple[int, int]:
+def bands(threshold: float, m: int = BANDED, miss: float = MISS) -> tuple[int, int]:
     """(rows, bands): the most rows for which bands over m registers miss a
     pair at the threshold with probability ``miss`` at most."""
     for rows in range(m, 0, -1):
@@ -172,48 +178,118 @@ def _likely(ra, rb, na, nb, threshold: float) -> np.ndarray:
     return (top >= threshold) & (high >= ll.max(axis=1) - SLACK)
 
 
-def likely(pairs: DataFrame, reps: DataFrame, threshold: float, first_band: tuple[int, int] | None = None) -> DataFrame:
-    """The pairs (a, b) of classes that the registers and sizes leave possible.
-    With ``first_band`` pairs carry the key they met by, and count only in the
-    first band they share."""
+def likely(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of classes that the registers and sizes leave possible."""
     r = reps.select("id", "n", "regs")
     wide = pairs.join(r.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra")), "a") \
         .join(r.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb")), "b") \
-        .filter((F.least("na", "nb") >= F.greatest("na", "nb") * (threshold - 1e-9)))
-    wide = wide.select("a", "b", "na", "nb", "ra", "rb", *(["key"] if first_band else []))
+        .filter((F.least("na", "nb") >= F.greatest("na", "nb") * (threshold - 1e-9))).select("a", "b", "na", "nb", "ra", "rb")
 
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ra, rb = _matrix(batch.column(4)), _matrix(batch.column(5))
-            ok = _likely(ra, rb, batch.column(2).to_numpy(), batch.column(3).to_numpy(), threshold)
-            if first_band:
-                ka, kb = _band_keys(ra, *first_band), _band_keys(rb, *first_band)
-                ok &= ka[np.arange(len(ka)), (ka == kb).argmax(axis=1)] == batch.column(6).to_numpy()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok))
+            if batch.num_rows:
+                ok = _likely(_matrix(batch.column(4)), _matrix(batch.column(5)), batch.column(2).to_numpy(), batch.column(3).to_numpy(), threshold)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok))
 
     return wide.mapInArrow(run, "a long, b long")
 
 
+def _pairs_inside(t: pa.Table, starts: np.ndarray, shape: tuple[int, int], threshold: float):
+    """For each group of ``t`` the rows of its possible pairs: in different
+    components, met in the first band they share, not ruled out by registers."""
+    ids, comp, n, own = (t.column(c).to_numpy() for c in ("id", "comp", "n", "own"))
+    regs = _matrix(t.column("regs").combine_chunks())
+    key, apart = t.column("key").to_numpy(), t.column("i").to_numpy() != t.column("j").to_numpy()
+    band = _band_keys(regs, *shape)
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), t.num_rows], strict=True):
+        p, q = np.triu_indices(b - a, 1)
+        p, q = p + a, q + a
+        use = (comp[p] != comp[q]) & (np.minimum(n[p], n[q]) >= threshold * np.maximum(n[p], n[q]) - 1e-9)
+        if apart[a]:
+            use &= own[p] != own[q]
+        p, q = p[use], q[use]
+        found = [(np.zeros(0, np.int64),) * 2]
+        for at in range(0, len(p), 20_000):
+            x, y = p[at:at + 20_000], q[at:at + 20_000]
+            ok = band[x, (band[x] == band[y]).argmax(axis=1)] == key[a]
+            x, y = x[ok], y[ok]
+            ok = _likely(regs[x], regs[y], n[x], n[y], threshold)
+            found.append((x[ok], y[ok]))
+        x, y = (np.concatenate(z) for z in zip(*found, strict=True))
+        if len(x):
+            yield ids, comp, x, y
+
+
+def linked_inside(members: DataFrame, reps: DataFrame, texts: DataFrame, k: int, threshold: Fraction, shape: tuple[int, int], block: int = BLOCK) -> DataFrame:
+    """Links among the members (key, id, comp) of each bucket that lie in
+    different components, enough of them to join all components that any link
+    joins. Buckets are cut into blocks; members without a possible partner go
+    first by the registers, the others' full sets are compared in their block.
+    Pairs never become rows."""
+    keys, limit = ["key", "i", "j"], float(threshold)
+    regs = reps.select("id", "n", "regs")
+    first = block_pairs(members, ["key"], block).join(regs, "id").select(*keys, "own", "id", "comp", "n", "regs").repartition(*keys).sortWithinPartitions(*keys)
+
+    def involved(batches):
+        for t, starts in stream(batches, keys):
+            rows = [np.unique(np.concatenate((x, y))) for _, _, x, y in _pairs_inside(t, starts, shape, limit)]
+            if rows:
+                yield from t.drop_columns(["n", "regs"]).take(pa.array(np.concatenate(rows))).combine_chunks().to_batches()
+
+    left = first.mapInArrow(involved, "key long, i int, j int, own int, id long, comp long")
+    full = left.join(regs, "id").join(texts, "id").select(*keys, "own", "id", "comp", "n", "regs", "_text").repartition(*keys).sortWithinPartitions(*keys)
+
+    def compare(batches):
+        for t, starts in stream(batches, keys):
+            text = t.column("_text")
+            for ids, comp, x, y in _pairs_inside(t, starts, shape, limit):
+                sets = {i: _one_set(text[i].as_py(), k) for i in np.unique(np.concatenate((x, y))).tolist()}
+                up: dict = {}
+                out = []
+                for i, j in zip(x.tolist(), y.tolist(), strict=True):
+                    a, b = _top(up, int(comp[i])), _top(up, int(comp[j]))
+                    if a != b and _alike(sets[i], sets[j], threshold):
+                        up[a] = b
+                        out.append((int(ids[i]), int(ids[j])))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out]) for c in (0, 1)], names=["u", "v"])
+
+    return full.mapInArrow(compare, "u long, v long")
+
+
+def _top(up: dict, x: int) -> int:
+    while x in up:
+        x = up[x]
+    return x
+
+
+def _alike(x: np.ndarray, y: np.ndarray, threshold: Fraction) -> bool:
+    """Whether two sorted sets reach the threshold, exactly."""
+    at = np.searchsorted(x, y)
+    at[at == len(x)] = 0
+    both = int((x[at] == y).sum()) if len(x) else 0
+    return both > 0 and threshold.denominator * both >= threshold.numerator * (len(x) + len(y) - both)
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, threshold: Fraction) -> DataFrame:
     """The pairs whose full sets are similar enough, compared exactly."""
-    up, down = threshold.numerator, threshold.denominator
     wide = pairs.join(texts.select(F.col("id").alias("a"), F.col("_text").alias("ta")), "a") \
         .join(texts.select(F.col("id").alias("b"), F.col("_text").alias("tb")), "b").select("a", "b", "ta", "tb")
 
     def run(batches):
-        last, held = None, None
+        kept: dict = {}
+
+        def set_of(i, text):
+            if i not in kept:
+                if len(kept) >= 512:
+                    kept.clear()
+                kept[i] = _one_set(text.as_py(), k)
+            return kept[i]
+
         for batch in batches:
             ok = []
-            for a, ta, tb in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
-                if a != last:
-                    last, held = a, _one_set(ta.as_py(), k)
-                other = _one_set(tb.as_py(), k)
-                at = np.searchsorted(held, other)
-                at[at == len(held)] = 0
-                both = int((held[at] == other).sum()) if len(held) else 0
-                ok.append(down * both >= up * (len(held) + len(other) - both) and both > 0)
+            for a, b, ta, tb in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                ok.append(_alike(set_of(a, ta), set_of(b, tb), threshold))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
     return wide.mapInArrow(run, "u long, v long")
@@ -264,14 +340,9 @@ def classes(docs: DataFrame, scratch: Scratch, k: int = 5, threshold: Fraction =
     of = scratch.cut(components(links, scratch))
 
     rest = scratch.cut(open_buckets())
-    x, y = rest.alias("x"), rest.alias("y")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp"))) \
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.key").alias("key"))
-    seen = seen.union(again)
-    last = scratch.cut(likely(pairs, reps, limit, (rows, n_bands)).join(seen, ["a", "b"], "left_anti"))
-    links = scratch.cut(links.union(confirmed(last, texts, k, threshold)))
+    links = scratch.cut(links.union(linked_inside(rest, reps, texts, k, threshold, (rows, n_bands))))
     of = components(links, scratch)
-    scratch.drop(reps, shared, texts, tried, left, again, rest, last)
+    scratch.drop(reps, shared, texts, tried, left, again, rest)
 
     rep_of = cls.join(of, cls["rep"] == of["v"], "left").select("n", "d1", "d2", F.coalesce("component", "rep").alias("component"))
     return sk.select("id", "n", "d1", "d2").join(rep_of, ["n", "d1", "d2"], "left").select(
