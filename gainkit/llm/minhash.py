@@ -16,7 +16,8 @@ rounds over its elements.
    component, with the member that has most links. At last the members that
    are still in different components are compared by their registers within
    blocks of their bucket, each pair in the first band it shares, and those
-   that step 3 leaves possible by their sets; pairs never become rows.
+   that step 3 leaves possible by their sets; pairs never become rows. Members
+   of a bucket's largest component meet only the others, not one another.
 3. For each candidate pair the counts of larger, smaller and equal registers
    and both set sizes give the likelihood of the similarity; pairs for which
    no similarity at or above the threshold is likely are dropped.
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 
 from gainkit.llm.bytesops import LOWER, U, mix, shingle_sets, text_slices
 from gainkit.llm.components import components
-from gainkit.llm.grouped import block_pairs, stream
+from gainkit.llm.grouped import stream
 from gainkit.session import Scratch
 
 M = 256
@@ -220,6 +221,22 @@ def _pairs_inside(t: pa.Table, starts: np.ndarray, shape: tuple[int, int], thres
             yield ids, comp, x, y
 
 
+def dealt(members: DataFrame, block: int) -> DataFrame:
+    """Members (key, id, comp, ...) of buckets dealt to pairs of blocks: adds
+    i <= j (the pair) and own (the member's block). Two members in different
+    components meet in exactly one pair. A bucket of at most ``block`` rows is
+    one block; in others the largest component has blocks of its own, which are
+    never paired with each other."""
+    sizes = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("_n")) \
+        .groupBy("key").agg(F.max(F.struct("_n", "comp")).alias("_t"), F.sum("_n").alias("_c")).filter("_c > _t._n") \
+        .select("key", F.col("_t.comp").alias("_top"), (F.col("_c") <= block).alias("_one"), F.ceil(F.col("_t._n") / block).cast("int").alias("_p"),
+                F.ceil((F.col("_c") - F.col("_t._n")) / block).cast("int").alias("_q"))
+    h, top, last = F.xxhash64("id"), F.col("comp") == F.col("_top"), F.col("_p") + F.col("_q") - 1
+    m = members.join(sizes, "key").withColumn("own", F.when(F.col("_one"), 0).when(top, F.pmod(h, "_p")).otherwise(F.col("_p") + F.pmod(h, "_q")).cast("int"))
+    m = m.withColumn("_o", F.explode(F.when(F.col("_one"), F.array(F.lit(0))).otherwise(F.sequence(F.when(top, F.col("_p")).otherwise(0), last))))
+    return m.withColumn("i", F.least("own", "_o")).withColumn("j", F.greatest("own", "_o")).drop("_top", "_one", "_p", "_q", "_o")
+
+
 def linked_inside(members: DataFrame, reps: DataFrame, texts: DataFrame, k: int, threshold: Fraction, shape: tuple[int, int], block: int = BLOCK) -> DataFrame:
     """Links among the members (key, id, comp) of each bucket that lie in
     different components, enough of them to join all components that any link
@@ -228,16 +245,16 @@ def linked_inside(members: DataFrame, reps: DataFrame, texts: DataFrame, k: int,
     Pairs never become rows."""
     keys, limit = ["key", "i", "j"], float(threshold)
     regs = reps.select("id", "n", "regs")
-    first = block_pairs(members, ["key"], block).join(regs, "id").select(*keys, "own", "id", "comp", "n", "regs").repartition(*keys).sortWithinPartitions(*keys)
+    first = dealt(members.join(regs, "id"), block).select(*keys, "own", "id", "comp", "n", "regs").repartition(*keys).sortWithinPartitions(*keys)
 
     def involved(batches):
         for t, starts in stream(batches, keys):
             rows = [np.unique(np.concatenate((x, y))) for _, _, x, y in _pairs_inside(t, starts, shape, limit)]
             if rows:
-                yield from t.drop_columns(["n", "regs"]).take(pa.array(np.concatenate(rows))).combine_chunks().to_batches()
+                yield from t.take(pa.array(np.concatenate(rows))).combine_chunks().to_batches()
 
-    left = first.mapInArrow(involved, "key long, i int, j int, own int, id long, comp long")
-    full = left.join(regs, "id").join(texts, "id").select(*keys, "own", "id", "comp", "n", "regs", "_text").repartition(*keys).sortWithinPartitions(*keys)
+    left = first.mapInArrow(involved, "key long, i int, j int, own int, id long, comp long, n long, regs binary")
+    full = left.join(texts, "id").select(*keys, "own", "id", "comp", "n", "regs", "_text").repartition(*keys).sortWithinPartitions(*keys)
 
     def compare(batches):
         for t, starts in stream(batches, keys):

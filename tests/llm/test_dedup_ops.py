@@ -55,6 +55,30 @@ def test_near_documents_links_that_no_hub_has(spark, make_docs):
         check_near(minhash.near_duplicates(make_docs(docs), scratch).collect(), docs, 5, 4, 5)
 
 
+def test_members_meet_once_and_the_largest_component_never_itself(spark):
+    rows = [(1, n, 7 if n < 60 else 100 + n // 2) for n in range(75)] + [(2, n, n % 2) for n in range(6)] + [(3, n, n) for n in range(30)] + [(4, n, 5) for n in range(30)]
+    dealt = minhash.dealt(spark.createDataFrame(rows, "key long, id long, comp long"), 8).collect()
+    groups = {}
+    for r in dealt:
+        groups.setdefault((r.key, r.i, r.j), []).append(r)
+    met = {}
+    for (key, i, j), members in groups.items():
+        for x in members:
+            for y in members:
+                if x.id < y.id and x.comp != y.comp and (i == j or x.own != y.own):
+                    met[key, x.id, y.id] = met.get((key, x.id, y.id), 0) + 1
+    assert met == {(k, x, y): 1 for k, x, c in rows for h, y, d in rows if k == h and x < y and c != d}
+    assert sum(r.key == 1 and r.comp == 7 for r in dealt) <= 60 * 2 and not any(r.key == 4 for r in dealt)
+
+
+def test_links_inside_buckets_do_not_depend_on_the_block(spark, make_docs, monkeypatch):
+    docs = list(enumerate(variants(70, 9, seed=3)))
+    whole = minhash.linked_inside
+    monkeypatch.setattr(minhash, "linked_inside", lambda *a: whole(*a, block=5))
+    with Scratch(spark, "t") as scratch:
+        check_near(minhash.near_duplicates(make_docs(docs), scratch, k=3, threshold=Fraction(85, 100)).collect(), docs, 3, 85, 100)
+
+
 def test_near_documents_on_odd_rows(spark, make_docs):
     with Scratch(spark, "t") as scratch:
         check_near(minhash.near_duplicates(make_docs(ODD), scratch, k=3, threshold=Fraction(85, 100)).collect(), ODD, 3, 85, 100)
