@@ -133,7 +133,9 @@ def _bad_lines(data, symbol, w_start, w_end, l_start, l_end, l_words) -> np.ndar
 
     symbols = count(symbol)
     bad = symbols > SYMBOLS * l_words
-    separators = count((data == ord("|")) | (data == ord(">")) | (data == 0xBB))
+    quote = data == 0xBB  # the last byte of », but of û and others too
+    quote[1:] &= data[:-1] == 0xC2
+    separators = count((data == ord("|")) | (data == ord(">")) | quote)
     bad |= (separators >= 3) & (separators >= 0.2 * l_words)
     bang = data == ord("!")
     double = np.zeros(len(data), bool)
