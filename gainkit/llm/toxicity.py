@@ -17,7 +17,8 @@ for each sample row, which of them it has. Scoring reads every whole text.
 Defined results: null and empty texts have no features and get the base rate;
 rows without a label are not used for that category; without any labelled row
 of both classes a category's probability is its base rate (0.5 without rows);
-repeated rows each give their row; an empty table gives an empty one.
+repeated rows each give their row; an empty table gives an empty one. In the
+fit a repeated id counts once, with its smallest text and its largest labels.
 """
 
 from __future__ import annotations
@@ -146,10 +147,12 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict, key: str = "doc_id
         max_rows: int = MAX_ROWS, per_category: int = FEATURES) -> Chain:
     """``categories``: name -> 0/1 column expression over ``labels``, in the order of the chain."""
     names = list(categories)
-    cols = [e.cast("double").alias(f"_y{i}") for i, e in enumerate(categories.values())]
-    known = labels.filter(F.col(key).isNotNull()).select(F.col(key).alias("_key"), *cols).dropDuplicates(["_key"])
+    cols = [e.cast("double") for e in categories.values()]
+    known = labels.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(*[F.max(e).alias(f"_y{i}") for i, e in enumerate(cols)])
     chosen = known.orderBy(F.xxhash64("_key"), "_key").limit(max_rows)  # at most max_rows narrow rows
     sample = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key")
+    ys = [f"_y{i}" for i in range(len(names))]
+    sample = sample.groupBy("_key", *ys).agg(F.min("_text").alias("_text"))  # one row of each id, however often it is repeated
     schema = "_key long, _fold int, " + ", ".join(f"_y{i} double" for i in range(len(names))) + ", _f array<string>"
     n_y = len(names)
 
