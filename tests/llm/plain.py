@@ -167,3 +167,82 @@ def targets(sizes, share=1.5, most=2, weights=(5, 2, 1)):
         if not over:
             return held | now
         held |= {s: float(most * sizes[s]) for s in over}
+
+
+# The line rules' phrases and the personal-data patterns of the operators.
+PHRASES = re.compile(
+    "all rights reserved|cookie policy|uses cookies|accept cookies|privacy policy|terms of (?:use|service)|enable javascript|click here"
+    "|read more|subscribe to|sign up|log in|share this|back to top|licensed under|released under the|this work is licensed", re.I | re.A)
+IBAN = "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+SSN = "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+
+
+def bad_line(line):
+    w = WORD.findall(line)
+    n = len(w)
+    if not n:
+        return False
+    separators = sum(line.count(c) for c in "|>»")
+    marks = sum(line.count(c) for c in ".!?:;")
+    ends = re.search("[.!?:;][\"')\\]]?$", w[-1])
+    return (sum(line.count(c) for c in "#*$%&|<>") > 0.3 * n or (separators >= 3 and separators >= 0.2 * n)
+            or (n >= 3 and len(re.findall("!(?=!)", line)) > n / 3) or (n <= 30 and PHRASES.search(line) is not None)
+            or (n > 60 and not ends and marks * 60 < n and not re.search("[…。！？]", line)))
+
+
+def cleaned(text):
+    """The text without its failing lines, None where the document goes."""
+    figures = quality_base(text)
+    if figures[-1]:
+        return None
+    lines = re.findall("[^\n]*\n|[^\n]+", text)
+    lost = sum(len(WORD.findall(x)) for x in lines if bad_line(x.rstrip("\n")))
+    return None if lost > 0.3 * figures[0] else "".join(x for x in lines if not bad_line(x.rstrip("\n")))
+
+
+def mod97(hit):
+    plain = hit.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
+def redacted(text):
+    patterns = dict(KINDS) | {"iban": IBAN, "ssn": SSN}
+    for kind in ("email", "phone", "card", "iban", "ssn", "ip"):
+        hits = list(re.finditer(patterns[kind], text))
+        out, at = [], 0
+        for i, m in enumerate(hits):
+            near = text[max(at, m.start() - 40):m.start()] + " " + text[m.end():min(m.end() + 40, hits[i + 1].start() if i + 1 < len(hits) else len(text))]
+            ok = (mod97(m[0]) if kind == "iban" else
+                  not re.search("^(000|666|9)|-00-|-0000$", m[0]) and bool(re.search("ssn|social security|tax id|security number", near.lower())) if kind == "ssn"
+                  else valid(kind, m[0]))
+            out += [text[at:m.start()], f"[{kind.upper()}]" if ok else m[0]]
+            at = m.end()
+        text = "".join(out) + text[at:]
+    return text
+
+
+def copies(docs):
+    """docs: [(id, source, size)] -> {id: copies}: systematic sampling inside each source."""
+    total = {}
+    for _, s, n in docs:
+        total[s] = total.get(s, 0) + n
+    aim, out = targets(total), {}
+
+    def hashed(x, digits):
+        return int(hashlib.md5(x.encode()).hexdigest()[:digits], 16)
+
+    for s, words in total.items():
+        order = sorted((len(str(n)) * 100 + int(str(n)[:2]), hashed(f"0:{i}", 8), i) for i, t, n in docs if t == s)
+        step, start = aim[s] / words if words else 0.0, hashed("offset:0:" + ("\0null" if s is None else s), 5) / 2 ** 20
+        for rank, (_, _, i) in enumerate(order, 1):
+            out[i] = int(step * rank + start) - int(step * (rank - 1) + start)
+    return out
+
+
+def pipeline(docs, encode):
+    """docs: [(id, text, source)] with different ids -> [(id, text, source, n_chars, ids)], a row for each copy."""
+    source = {i: s for i, _, s in docs}
+    texts = {i: c for i, t, _ in docs if (c := cleaned(t)) is not None}
+    texts = {i: redacted(texts[i]) for i, (_, _, kept) in near_documents(list(texts.items()), 5, 4, 5).items() if kept}
+    n = copies([(i, source[i], len(WORD.findall(t))) for i, t in texts.items()])
+    return [(i, t, source[i], len(t), tuple(encode(t))) for i, t in texts.items() for _ in range(n[i])]
