@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from gainkit.operators.score import route
 from gainkit.operators.tree import TreeModel
-from gainkit.session import cut_lineage
+from gainkit.session import Scratch
 
 
 def node_hits(model: TreeModel, df: DataFrame, label: str | None = None) -> DataFrame:
@@ -38,11 +38,20 @@ def node_hits(model: TreeModel, df: DataFrame, label: str | None = None) -> Data
 
 def prune(model: TreeModel, df: DataFrame, label: str | None = None) -> TreeModel:
     """Pruned copy of ``model`` (pruned nodes become leaves with
-    stop_reason 'pruned' and predict their training majority)."""
+    stop_reason 'pruned' and predict their training majority). Only the new
+    tree's table stays; those of the levels are deleted."""
+    scratch = Scratch(df.sparkSession, "prune")
+    try:
+        return _pruned(model, df, label, scratch)
+    finally:
+        scratch.close()
+
+
+def _pruned(model: TreeModel, df: DataFrame, label: str | None, scratch: Scratch) -> TreeModel:
     hits = node_hits(model, df, label)
     t = (model.tree.join(hits, "node_id", "left")
          .select("node_id", "parent_id", "depth", "is_leaf", F.coalesce("leaf_ok", F.lit(0)).alias("leaf_ok")))
-    t = cut_lineage(t)
+    t = scratch.cut(t)
     max_depth = t.agg(F.max("depth")).first()[0] or 0
     kept = None
     decided = []
@@ -57,7 +66,7 @@ def prune(model: TreeModel, df: DataFrame, label: str | None = None) -> TreeMode
         pruned = ~F.col("is_leaf") & (F.col("leaf_ok") >= sub_ok)
         lvl = lvl.select("node_id", "parent_id", pruned.alias("pruned"),
                          F.when(F.col("is_leaf") | pruned, F.col("leaf_ok")).otherwise(sub_ok).alias("kept_ok"))
-        kept = cut_lineage(lvl)
+        kept = scratch.cut(lvl)
         decided.append(kept)
     flags = reduce(lambda a, b: a.unionByName(b), decided).select("node_id", "pruned")
     cut = flags.where("pruned").select(F.col("node_id").alias("_anc"))
@@ -76,7 +85,7 @@ def prune(model: TreeModel, df: DataFrame, label: str | None = None) -> TreeMode
         keep_if("n_branches").alias("n_branches"), keep_if("first_child").alias("first_child"),
         "n_rows", "class_counts", "majority",
         F.when(p, F.col("majority")).otherwise(F.col("prediction")).alias("prediction"))
-    tree = cut_lineage(tree)
+    tree = Scratch(df.sparkSession, "tree").cut(tree)
     levels = {r["depth"]: r["n"] for r in tree.where(~F.col("is_leaf")).groupBy("depth")
               .agg(F.count(F.lit(1)).alias("n")).collect()}
     return model.with_tree(tree, levels)

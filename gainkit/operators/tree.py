@@ -41,25 +41,10 @@ from gainkit.operators.split_search import (
     DEFAULT_BLOCK_ROWS, G, P, VD, cnames, continuous_best, discrete_stats, labels_of,
     rank_candidates, value_class_counts,
 )
-from gainkit.session import cut_lineage, ensure_checkpoint_dir
+from gainkit.session import Scratch
 from gainkit.spec import CONTINUOUS, DISCRETE, FeatureSpec, check_spec, infer_spec
 
 ID_LIMIT = 1 << 62
-_DEBUG_PLAN = bool(__import__("os").environ.get("GAINKIT_DEBUG_PLAN"))
-_DEBUG_TIME = bool(__import__("os").environ.get("GAINKIT_DEBUG_TIME"))
-
-
-class _Clock:
-    def __init__(self):
-        import time
-        self._t = time.time
-        self.last = self._t()
-
-    def mark(self, what):
-        if _DEBUG_TIME:
-            now = self._t()
-            print(f"[fit] {what}: {now - self.last:.2f}s", flush=True)
-            self.last = now
 BROADCAST_NODES = 500_000       # split nodes per level sent to every task at most
 BROADCAST_DICT = 1_000_000      # values of one discrete feature sent to every task at most
 
@@ -154,18 +139,6 @@ def _majority(counts: Column, classes: list[str]) -> Column:
     return F.element_at(arr, F.array_position(counts, F.array_max(counts)).cast("int"))
 
 
-def _materialize(df: DataFrame, reliable: bool, keep: list) -> DataFrame:
-    """Small per-level tables: written with a reliable checkpoint (cuts the
-    plan chain between levels) or cached and released when the finished tree
-    has been written."""
-    if reliable:
-        return cut_lineage(df)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    df.count()
-    keep.append(df)
-    return df
-
-
 def _dense_positions(df: DataFrame, key: str) -> DataFrame:
     """(key, _pos): 0-based rank of ``key`` computed partition by partition."""
     spark = df.sparkSession
@@ -182,7 +155,8 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
         block_rows: int | None = DEFAULT_BLOCK_ROWS, checkpoint_interval: int = 4,
         broadcast_nodes: int = BROADCAST_NODES, id_limit: int = ID_LIMIT) -> TreeModel:
     """grow a tree on ``df`` (label column + features).  Returns a
-    :class:`TreeModel` whose ``tree`` DataFrame is checkpointed."""
+    :class:`TreeModel` whose ``tree`` and ``dictionary`` are written tables; the
+    tables of the levels are deleted when the fit ends or fails."""
     if stop_rule not in ("first_constant", "all_constant"):
         raise ValueError("stop_rule must be 'first_constant' or 'all_constant'")
     if handle_null not in ("error", "drop"):
@@ -190,9 +164,20 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
     spec = list(spec) if spec is not None else infer_spec(df, label)
     spec = [s if isinstance(s, FeatureSpec) else FeatureSpec(s, CONTINUOUS) for s in spec]
     check_spec(df, label, spec)
+    scratch, kept = Scratch(df.sparkSession, "fit"), Scratch(df.sparkSession, "tree")
+    try:
+        return _grow(df, label, spec, classes, max_depth, stop_rule, handle_null, block_rows, checkpoint_interval,
+                     broadcast_nodes, id_limit, scratch, kept)
+    except BaseException:
+        kept.close()
+        raise
+    finally:
+        scratch.close()
+
+
+def _grow(df, label, spec, classes, max_depth, stop_rule, handle_null, block_rows, checkpoint_interval,
+          broadcast_nodes, id_limit, scratch: Scratch, kept: Scratch) -> TreeModel:
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-
     base = df.select(F.col(label).cast("string").alias("_label"), *[F.col(s.name) for s in spec])
     if handle_null == "drop":
         base = base.dropna()
@@ -200,7 +185,7 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
     k = len(classes)
     cs = cnames(k)
 
-    dictionary = cut_lineage(build_dictionary(base, spec))
+    dictionary = kept.cut(build_dictionary(base, spec))
     dict_sizes = {r[P]: r["n"] for r in dictionary.groupBy(P).agg(F.count(F.lit(1)).alias("n")).collect()}
 
     from gainkit.operators.split_search import label_index
@@ -233,9 +218,6 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
     depth = 0
     n_nodes = 1
     prev_rows = None
-    cached_small: list[DataFrame] = []
-    clock = _Clock()
-    clock.mark("prepare")
     while True:
         held: list[DataFrame] = []
         # node-sized tables go to every task only when their counted size allows
@@ -301,16 +283,8 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
             F.coalesce(F.col("_cc"), F.array(*[F.lit(0).cast("long")] * k)).alias("class_counts"),
             F.when(F.col("_cc").isNotNull(), _majority(F.col("_cc"), classes)).alias("majority"),
         )
-        if _DEBUG_PLAN:
-            import time as _t
-            for _i in range(3):
-                _a = _t.time()
-                dec.count()
-                print(f"[fit] level {depth} dec run {_i}: {_t.time() - _a:.2f}s", flush=True)
-        clock.mark(f"level {depth} build")
         # written: every later step of the level and the final tree read it
-        dec = _materialize(dec, True, cached_small)
-        clock.mark(f"level {depth} decisions")
+        dec = scratch.cut(dec)
         vc_disc = vc.where(F.col(P).isin(d_pos)) if d_pos else None
 
         for h in held:
@@ -322,7 +296,6 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
                                               F.max("n_branches").alias("b"),
                                               F.sum("n_branches").alias("kids")).first()
         n_split, b_d = int(st["n"]), int(st["b"] or 0)
-        clock.mark(f"level {depth} stats")
         levels[depth] = n_split
 
         base_next = base_d + r_d
@@ -391,8 +364,7 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
                            F.concat("path", F.array(F.col("node_id"))).alias("path"), "used", "_pmaj", "_cc",
                            "_psp", "_pth", "_pfc")
         # the next frontier is written: this cuts the plan chain between levels
-        kids = _materialize(kids, True, cached_small)
-        clock.mark(f"level {depth} children")
+        kids = scratch.cut(kids)
         empty = kids.where(F.col("_cc").isNull())
         records.append(empty.select(
             "node_id", "parent_id", "depth", "branch", "branch_value", "path",
@@ -420,7 +392,7 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
         depth += 1
         vc.unpersist()
         if checkpoint_interval and depth % checkpoint_interval == 0:
-            nxt = cut_lineage(nxt)
+            nxt = scratch.cut(nxt)
             rows.unpersist()
         else:
             # filled by the next level's histogram pass; the parent rows stay
@@ -429,13 +401,10 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
             prev_rows = rows
         rows = nxt
         base_d, r_d = base_next, r_next
-        clock.mark(f"level {depth - 1} rows")
 
     rows.unpersist()
     if prev_rows is not None:
         prev_rows.unpersist()
     tree = reduce(lambda a, b: a.unionByName(b), records)
-    tree = cut_lineage(tree)
-    for c in cached_small:
-        c.unpersist()
+    tree = kept.cut(tree)
     return TreeModel(tree, spec, classes, label, dictionary, dict_sizes, max_depth, levels)

@@ -16,8 +16,9 @@ from gainkit.functions.curve import fixed_weights, minmax_scale, network_score,
 from gainkit.functions.measures import REPORT_DIGITS as RD
 from gainkit.operators.aggregates import majority_class
 from gainkit.operators.impurity import entropy, gain_ratio, intrinsic_value
-from gainkit.operators.rows import horizontal_sum, replicate, row_range
-from gainkit.operators.sampling import exact_rank, hash_side, kfold_assign
+from gainkit.operators.rows import (cast_columns, drop_header_rows, horizontal_sum, parse_flag, project_ordinals,
+                                    rename_positional, replicate, row_range, union_rows)
+from gainkit.operators.sampling import exact_rank, exact_split, hash_side, kfold_assign
 from gainkit.operators.split_search import best_split, best_threshold
 from gainkit.plans import oracle as O
 from gainkit.plans.views import VIEWS, load_view
@@ -308,6 +309,75 @@ SQL_HORIZONTAL_SUM = ("SELECT l_orderkey, l_linenumber, round(l_quantity + l_lin
                       "round(l_extendedprice + l_tax + l_discount, 6) AS charges FROM lineitem")
 
 
+# --- B2 / B3 / B4 / B6 / B7 / B11 / C2b -------------------------------------------
+
+def q_drop_header_rows(spark, sf):
+    o = read_table(spark, sf, "orders")
+    first = F.when(F.col("o_orderkey") % 7 == 0, "index").otherwise(F.col("o_orderkey").cast("string"))
+    return drop_header_rows(o.select(first.alias("_c0"), "o_totalprice"))
+
+
+SQL_DROP_HEADER_ROWS = "SELECT CAST(o_orderkey AS VARCHAR) AS _c0, o_totalprice FROM orders WHERE o_orderkey % 7 <> 0"
+
+
+def q_project_ordinals(spark, sf):
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return project_ordinals(o, [3, 0])
+
+
+SQL_PROJECT_ORDINALS = "SELECT o_totalprice, o_orderkey FROM orders"
+
+
+def q_rename_positional(spark, sf):
+    return rename_positional(read_table(spark, sf, "orders").select("o_orderkey", "o_custkey"), ["key", "customer"])
+
+
+SQL_RENAME_POSITIONAL = "SELECT o_orderkey AS key, o_custkey AS customer FROM orders"
+
+
+def q_cast_columns(spark, sf):
+    k = F.when(F.col("event_id") % 5 == 0, "n/a").otherwise(F.get_json_object("props", "$.k"))
+    return cast_columns(read_table(spark, sf, "events").select("event_id", k.alias("k")), ["k"], "double", strict=False)
+
+
+SQL_CAST_COLUMNS = ("SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS k "
+                    "FROM events")
+
+
+def q_parse_flag(spark, sf):
+    i = F.col("event_id")
+    text = F.when(i % 4 == 0, "True").when(i % 4 == 1, "False").when(i % 4 == 2, (i % 10).cast("string")).otherwise(F.col("event_type"))
+    return read_table(spark, sf, "events").select("event_id", parse_flag(text).alias("flag"))
+
+
+SQL_PARSE_FLAG = ("SELECT event_id, CAST(CASE event_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN event_id % 10 END AS INTEGER) AS flag "
+                  "FROM events")
+
+
+def q_union_rows(spark, sf):
+    o = read_table(spark, sf, "orders")
+    return union_rows(o.filter("o_orderstatus = 'F'").select("o_orderkey", "o_totalprice"), o.select("o_totalprice", "o_orderkey"))
+
+
+SQL_UNION_ROWS = ("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' "
+                  "UNION ALL SELECT o_orderkey, o_totalprice FROM orders")
+
+
+def q_exact_split_total(spark, sf):
+    """An exact 4:1 split of the first half of the lines, in hash order of
+    their key."""
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    train, test = exact_split(li, ["l_orderkey", "l_linenumber"], total=li.count() // 2)
+    return train.withColumn("side", F.lit(0)).unionByName(test.withColumn("side", F.lit(1)))
+
+
+SQL_EXACT_SPLIT_TOTAL = (
+    "WITH r AS (SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY ('0x' || substr(md5(concat_ws('|', "
+    "CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), '100')), 1, 15))::BIGINT, l_orderkey, l_linenumber) - 1 AS rank, "
+    "count(*) OVER () // 2 AS n FROM lineitem) "
+    "SELECT l_orderkey, l_linenumber, CASE WHEN rank < floor(n * 4 / 5) THEN 0 ELSE 1 END AS side FROM r WHERE rank < n")
+
+
 # --- I1 / I2 / I4 / I5 -----------------------------------------------------------
 
 W = fixed_weights()
@@ -390,6 +460,13 @@ QUERIES = {
     "c5_kfold": (q_kfold, SQL_KFOLD),
     "a4_replicate": (q_replicate, SQL_REPLICATE),
     "b1_row_range": (q_row_range, SQL_ROW_RANGE),
+    "b2_drop_header_rows": (q_drop_header_rows, SQL_DROP_HEADER_ROWS),
+    "b3_project_ordinals": (q_project_ordinals, SQL_PROJECT_ORDINALS),
+    "b4_rename_positional": (q_rename_positional, SQL_RENAME_POSITIONAL),
+    "b6_cast_columns": (q_cast_columns, SQL_CAST_COLUMNS),
+    "b7_parse_flag": (q_parse_flag, SQL_PARSE_FLAG),
+    "b11_union_rows": (q_union_rows, SQL_UNION_ROWS),
+    "c2b_exact_split_total": (q_exact_split_total, SQL_EXACT_SPLIT_TOTAL),
     "b5_horizontal_sum": (q_horizontal_sum, SQL_HORIZONTAL_SUM),
     "i1_minmax_scale": (q_minmax, SQL_MINMAX),
     "i2_inverse_scale": (q_inverse_scaled, SQL_INVERSE_SCALED),
