@@ -1,7 +1,9 @@
 """Operator 5: near-duplicate vectors by a pivot-permutation index.
 
-Reference points (pivots) are a bounded sample of the vectors: the ``pivots``
-rows with the smallest hash of their id. A vector is described by its
+Reference points (pivots) are a bounded sample of the vectors: of the rows with
+the smallest hash of their id, those that are not near one chosen before. So a
+group that holds a large share of the rows has no more pivots than others, its
+members see the same ones, and they meet. A vector is described by its
 ``prefix`` nearest pivots in order. Inverted lists are kept for pairs of
 pivots: a vector is in the list of each pair among its prefix, so two vectors
 meet in a list exactly when they share two pivots or more, and meet in
@@ -37,6 +39,8 @@ from gainkit.session import Scratch
 
 THRESHOLD = 0.98
 PIVOTS = 512
+APART = 0.9     # pivots have cosines below this
+DRAWN = 4       # rows read for each pivot wanted, as near ones are passed over
 PREFIX = 6
 BLOCK = 1024
 NO_ID = 2**63 - 1
@@ -49,17 +53,28 @@ def usable(vector: str = "embedding") -> F.Column:
 
 
 def pivots(vectors: DataFrame, n: int = PIVOTS) -> dict[int, np.ndarray]:
-    """At most ``n`` unit reference vectors for each vector length, those with
-    the smallest hash of their id. Nothing else reaches the driver."""
+    """At most ``n`` unit reference vectors for each vector length, none near
+    another, from the ``DRAWN * n`` rows with the smallest hash of their id.
+    Nothing else reaches the driver."""
     nth = F.row_number().over(Window.partitionBy("dim").orderBy(F.xxhash64("id"), "id", "label"))
-    rows = vectors.select("id", "label", "dim", "v").withColumn("nth", nth).filter(F.col("nth") <= n).select("dim", "nth", "v").collect()
+    rows = vectors.select("id", "label", "dim", "v").withColumn("nth", nth).filter(F.col("nth") <= DRAWN * n).select("dim", "nth", "v").collect()
     out = {}
     for dim in {r["dim"] for r in rows}:
         own = sorted((r for r in rows if r["dim"] == dim), key=lambda r: r["nth"])
-        out[dim] = unit(np.array([r["v"] for r in own], np.float64))
+        out[dim] = thinned(unit(np.array([r["v"] for r in own], np.float64)), n)
     return out
 
 
+def thinned(x: np.ndarray, n: int) -> np.ndarray:
+    """The first ``n`` rows that have a cosine below ``APART`` to all taken before."""
+    out, taken = np.empty((min(n, len(x)), x.shape[1])), 0
+    for row in x:
+        if taken < len(out) and (out[:taken] @ row < APART).all():
+            out[taken] = row
+            taken += 1
+    return out[:taken]
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     """Rows of length one; scaled first, so that large and small values survive the squares."""
     x = x / np.abs(x).max(axis=1, keepdims=True)
@@ -151,48 +166,49 @@ def _work(t: pa.Table, starts: np.ndarray, threshold: float):
         orders = flat.column("order").combine_chunks()
         width = len(orders.values) // len(orders) if len(orders) else 0
         sets = np.sort(orders.flatten().to_numpy().reshape(-1, width), axis=1)
-        found = []
         for g in own_groups.tolist():
             a, b = int(starts[g]), int(ends[g])
-            m = v[place[a - lo]:place[a - lo] + b - a]
+            members = slice(place[a - lo], place[a - lo] + b - a)
+            lower = _lower(sets[members], x[a], y[a])
+            if len(lower) and np.bincount(lower[:, 1]).max() == b - a:
+                continue  # all share an earlier list
+            m = v[members]
             near = (m @ m.T) >= threshold
+            np.fill_diagonal(near, False)
             if apart[a]:
                 near &= own[a:b, None] != own[None, a:b]
-            p, q = np.nonzero(np.triu(near, 1))
-            if len(p):
-                found.append((p + a, q + a))
-        if not found:
-            continue
-        p, q = (np.concatenate(z) for z in zip(*found, strict=True))
-        label = _components(p, q, ids)
-        first = _first_two(sets[place[p - lo]], sets[place[q - lo]])
-        counted = (first[0] == x[p]) & (first[1] == y[p])
-        n = np.zeros(t.num_rows, np.int64)
-        np.add.at(n, p[counted], mult[q[counted]])
-        np.add.at(n, q[counted], mult[p[counted]])
-        linked = np.unique(np.concatenate((p, q)))
-        yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(n[linked]), pa.array(label[linked])], names=["id", "n", "low"])
-
-
-def _components(p: np.ndarray, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """The smallest id that each row reaches by the links (p, q)."""
+            if not near.any():
+                continue
+            near &= ~_shared(lower, b - a)
+            linked = near.any(axis=1)
+            if linked.any():
+                n, low = near @ mult[a:b], _components(near, ids[a:b])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b][linked]), pa.array(n[linked]), pa.array(low[linked])], names=["id", "n", "low"])
+
+
+def _components(near: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The smallest id that each row reaches by the links ``near``."""
     label = ids.copy()
     while True:
-        before = label.copy()
-        low = np.minimum(label[p], label[q])
-        np.minimum.at(label, p, low)
-        np.minimum.at(label, q, low)
-        if (label == before).all():
+        low = np.minimum(label, np.where(near, label, np.iinfo(np.int64).max).min(axis=1))
+        if (low == label).all():
             return label
+        label = low
+
+
+def _lower(sets: np.ndarray, x: int, y: int) -> np.ndarray:
+    """(row, pivot): the pivots that come before the pair (x, y) in a row's set."""
+    at, k = np.nonzero((sets < y) & (sets != x))
+    return np.stack((at, sets[at, k]), 1)
 
 
-def _first_two(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The two smallest pivots that the sorted sets share (the one pivot twice
-    where there is only one)."""
-    shared = (a[:, :, None] == b[:, None, :]).any(axis=2)
-    big = np.where(shared, a, np.iinfo(np.int32).max)
-    big.sort(axis=1)
-    return (big[:, 0], big[:, 0]) if a.shape[1] == 1 else (big[:, 0], big[:, 1])
+def _shared(lower: np.ndarray, n: int) -> np.ndarray:
+    """Whether two of the ``n`` rows share one of their ``lower`` pivots, so that
+    the two smallest pivots they share are others."""
+    which, column = np.unique(lower[:, 1], return_inverse=True)
+    has = np.zeros((n, len(which)), np.float32)
+    has[lower[:, 0], column] = 1
+    return has @ has.T > 0
 
 
 def near_duplicates(table: DataFrame, scratch: Scratch, threshold: float = THRESHOLD, n_pivots: int = PIVOTS, block: int = BLOCK,

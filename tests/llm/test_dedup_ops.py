@@ -158,6 +158,19 @@ def test_near_vectors_recall_at_the_threshold(spark):
     assert recall >= 0.9
 
 
+def test_near_vectors_of_a_large_group(spark):
+    """A third of the vectors is one group of near copies."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(2400, 64))
+    x[:800] = rng.normal(size=64) + rng.normal(size=(800, 64)) * 0.07
+    source = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    df = spark.createDataFrame(source, "vec_id long, embedding array<double>, label int")
+    with Scratch(spark, "t") as scratch:
+        recall, _ = check_vectors(embed.near_duplicates(df, scratch).collect(), source)
+        blocks, _ = check_vectors(embed.near_duplicates(df, scratch, block=100).collect(), source)
+    assert recall >= 0.9 and blocks == recall
+
+
 def test_near_vectors_on_odd_rows(spark):
     v, w = [1.0, 0.0, 0.0], [0.999, 0.01, 0.0]
     rows = [(1, v, 0), (2, v, 0), (2, v, 0), (3, w, 0), (4, v, 1), (5, v, None), (6, None, 0), (7, [0.0, 0.0, 0.0], 0), (8, [None, 1.0, 0.0], 0), (9, [float("nan"), 1.0, 0.0], 0),
