@@ -25,6 +25,10 @@ the left.
    bytes before them, the smallest id of each group is found, and larger ids
    get the covered interval. Intervals of a document are united with its text.
 
+A row is known by its block and its number there, never by its id alone: ids
+(null ones above all) may repeat with different texts. Ids only decide which of
+two documents is the smaller one.
+
 Packed arrays travel between the steps, not rows per suffix. Equality to the
 left is by 64-bit hash of at most 30 bytes, to the right by bytes.
 
@@ -55,10 +59,11 @@ BLOCK_BYTES = 2 << 20
 SAMPLE = 1 << 16
 NO_ID = 2**63 - 1
 
-_REC = np.dtype([("right", "S56"), ("left", "S32"), ("doc", "<i8"), ("pos", "<i4"), ("nl", "<i2"), ("nr", "<i2"), ("block", "<i8")])
-#: what is covered of a document, and the anchor it was found at
-_HIT = np.dtype([("doc", "<i8"), ("start", "<i4"), ("end", "<i4"), ("pos", "<i4"), ("block", "<i8")])
-_TWIN = np.dtype([("doc", "<i8"), ("pos", "<i4"), ("twin", "<i4")])
+_REC = np.dtype([("right", "S56"), ("left", "S32"), ("doc", "<i8"), ("row", "<i4"), ("pos", "<i4"), ("nl", "<i2"), ("nr", "<i2"), ("block", "<i8")])
+#: what is covered of a block's row, and the anchor it was found at
+_HIT = np.dtype([("row", "<i4"), ("start", "<i4"), ("end", "<i4"), ("pos", "<i4"), ("block", "<i8")])
+#: an anchor, and the place of the same id (``twin`` in row ``other``) that shares its fate
+_TWIN = np.dtype([("row", "<i4"), ("pos", "<i4"), ("other", "<i4"), ("twin", "<i4")])
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +91,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return at, code[at]
 
 
-def _contexts(data, offsets, at, doc, ids, block) -> np.ndarray:
+def _contexts(data, offsets, at, doc, ids, numbers, block) -> np.ndarray:
     """Suffix records of the anchors ``at`` of documents ``doc``."""
     out = np.zeros(len(at), _REC)
     lo, hi = offsets[doc], offsets[doc + 1]
@@ -97,7 +102,7 @@ def _contexts(data, offsets, at, doc, ids, block) -> np.ndarray:
     left = padded[(at + 31)[:, None] - np.arange(32)]
     left[np.arange(32) >= nl[:, None]] = 0
     out["right"], out["left"] = right.view("S56")[:, 0], left.view("S32")[:, 0]
-    out["doc"], out["pos"], out["nl"], out["nr"], out["block"] = ids[doc], at - lo, nl, nr, block
+    out["doc"], out["row"], out["pos"], out["nl"], out["nr"], out["block"] = ids[doc], numbers[doc], at - lo, nl, nr, block
     return out
 
 
@@ -178,20 +183,20 @@ def covered(rec: np.ndarray) -> np.ndarray:
         least[hit] = np.minimum(least[hit], r)
     at = np.flatnonzero(most >= 0)
     out = np.zeros(len(at), _HIT)
-    out["doc"], out["start"], out["end"] = rec["doc"][at], rec["pos"][at] - most[at], rec["pos"][at] - least[at] + LENGTH
+    out["row"], out["start"], out["end"] = rec["row"][at], rec["pos"][at] - most[at], rec["pos"][at] - least[at] + LENGTH
     out["pos"], out["block"] = rec["pos"][at], rec["block"][at]
     return out
 
 
 def settle(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of suffixes with the same bytes on both sides one of the smallest id goes
-    on. Windows of larger ids are all covered by it; further places in the same
-    document (twins) share its fate. Returns (going on, intervals, twins)."""
+    on. Windows of larger ids are all covered by it; further places under the
+    same id (twins, in this row or another) share its fate. Returns (going on, intervals, twins)."""
     keys = np.concatenate((words64(rec["right"]), words64(rec["left"]), (rec["nl"].astype(U) * U(64) + rec["nr"].astype(U))[:, None]), axis=1)
     h = np.zeros(len(rec), U)
     for c in keys.T:
         h = mix(h * U(0x9FB21C651E98DF25) + c)
-    order = np.lexsort((rec["pos"], rec["doc"], h))
+    order = np.lexsort((rec["pos"], rec["row"], rec["doc"], h))
     rec, keys = rec[order], keys[order]
     same = np.zeros(len(rec), bool)
     same[1:] = (keys[1:] == keys[:-1]).all(axis=1)
@@ -200,10 +205,11 @@ def settle(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     twin = same & ~larger
     gone, again = rec[larger], rec[twin]
     hits = np.zeros(len(gone), _HIT)
-    hits["doc"], hits["start"], hits["end"] = gone["doc"], gone["pos"] - gone["nl"], gone["pos"] + gone["nr"]
+    hits["row"], hits["start"], hits["end"] = gone["row"], gone["pos"] - gone["nl"], gone["pos"] + gone["nr"]
     hits["pos"], hits["block"] = gone["pos"], gone["block"]
     twins = np.zeros(len(again), _TWIN)
-    twins["doc"], twins["pos"], twins["twin"] = again["doc"], rec["pos"][first[twin]], again["pos"]
+    twins["row"], twins["pos"] = rec["row"][first[twin]], rec["pos"][first[twin]]
+    twins["other"], twins["twin"] = again["row"], again["pos"]
     return rec[~same], hits, twins
 
 
@@ -211,11 +217,9 @@ def expand(hits: np.ndarray, twins: np.ndarray) -> np.ndarray:
     """The intervals, also those at the twins of the anchors they were found at."""
     if not len(hits) or not len(twins):
         return hits
-    twins = twins[np.lexsort((twins["pos"], twins["doc"]))]
-    key = np.zeros(len(twins), np.dtype([("doc", "<i8"), ("pos", "<i4")]))
-    key["doc"], key["pos"] = twins["doc"], twins["pos"]
-    want = np.zeros(len(hits), key.dtype)
-    want["doc"], want["pos"] = hits["doc"], hits["pos"]
+    place = lambda x: (x["row"].astype(np.int64) << 32) + x["pos"]
+    twins = twins[np.argsort(place(twins), kind="stable")]
+    key, want = place(twins), place(hits)
     lo, hi = np.searchsorted(key, want), np.searchsorted(key, want, side="right")
     n = hi - lo
     if not n.sum():
@@ -226,26 +230,29 @@ def expand(hits: np.ndarray, twins: np.ndarray) -> np.ndarray:
     shift = twins["twin"][at] - twins["pos"][at]
     more["start"] += shift
     more["end"] += shift
+    more["row"], more["pos"] = twins["other"][at], twins["twin"][at]
     return np.concatenate((hits, more))
 
 
 # ---------------------------------------------------------------- Spark steps
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """(block, doc, text): runs of about ``BLOCK_BYTES`` as the tasks read them."""
+    """(block, doc, text, row): runs of about ``BLOCK_BYTES`` as the tasks read
+    them, and the number of each row in its block."""
     def run(batches):
         from pyspark import TaskContext
-        part, seq, held = TaskContext.get().partitionId(), 0, 0
+        part, seq, held, row = TaskContext.get().partitionId(), 0, 0, 0
         for batch in batches:
             for i, data, offsets in text_slices(batch.column(1)):
                 if held and held + len(data) > BLOCK_BYTES:
-                    seq, held = seq + 1, 0
+                    seq, held, row = seq + 1, 0, 0
                 held += len(data)
                 n = len(offsets) - 1
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, (part << 24) + seq)), batch.column(0).slice(i, n), batch.column(1).slice(i, n)],
-                                                 names=["block", "doc", "text"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, (part << 24) + seq)), batch.column(0).slice(i, n), batch.column(1).slice(i, n),
+                                                  pa.array(np.arange(row, row + n, dtype=np.int32))], names=["block", "doc", "text", "row"])
+                row += n
 
-    return docs.mapInArrow(run, "block long, doc long, text string")
+    return docs.mapInArrow(run, "block long, doc long, text string, row int")
 
 
 def _range_of(h: np.ndarray, n: int) -> np.ndarray:
@@ -319,11 +326,12 @@ def _shared(table: pa.Table) -> pa.Table:
 
 def _suffixes(splitters: np.ndarray):
     """For one block with its shared seed hashes: its suffixes by range (kind 0,
-    key the range), intervals settled here (kind 1) and twins (kind 2)."""
+    key the range), intervals settled here (kind 1), twins inside a piece (kind 2) and between
+    pieces (kind 3)."""
     def run(key, texts: pa.Table, shared: pa.Table) -> pa.Table:
         block = key[0].as_py()
         known = np.unique(np.concatenate([np.zeros(0, U), *(np.frombuffer(x, U) for x in shared.column("blob").to_pylist())]))
-        ids = texts.column("doc").to_numpy()
+        ids, numbers = texts.column("doc").to_numpy(), texts.column("row").to_numpy()
         pieces = []
         for i, data, offsets in text_slices(texts.column("text")):
             at, h = anchors(data, offsets)
@@ -342,18 +350,18 @@ def _suffixes(splitters: np.ndarray):
             k = np.searchsorted(known, h)
             k[k == len(known)] = 0
             use = known[k] == h
-            rec, hit, twin = settle(_contexts(data, offsets, at[use], doc[use] - i, ids[i:], block))
+            rec, hit, twin = settle(_contexts(data, offsets, at[use], doc[use] - i, ids[i:], numbers[i:], block))
             recs.append(rec)
             hits.append(hit)
             twins.append(twin)
-        rec, hit, _ = settle(np.concatenate(recs))
+        rec, hit, again = settle(np.concatenate(recs))  # between the pieces; twins only where an id repeats
         hits.append(hit)
         part = np.searchsorted(splitters, words64(rec["right"])[:, 0], side="right") if len(rec) else np.zeros(0, np.int64)
         order = np.argsort(part, kind="stable")
         rec, part = rec[order], part[order]
         cut = np.flatnonzero(np.diff(part, prepend=-1))
         rows = [(0, int(part[c]), x.tobytes()) for c, x in zip(cut, np.split(rec, cut[1:]) if len(cut) else [], strict=True)]
-        rows += [(k, block, x.tobytes()) for k, x in ((1, np.concatenate(hits)), (2, np.concatenate(twins))) if len(x)]
+        rows += [(k, block, x.tobytes()) for k, x in ((1, np.concatenate(hits)), (2, np.concatenate(twins)), (3, again)) if len(x)]
         return pa.table({"kind": pa.array([r[0] for r in rows], pa.int32()), "key": pa.array([r[1] for r in rows], pa.int64()),
                          "blob": pa.array([r[2] for r in rows], pa.binary())})
 
@@ -380,12 +388,11 @@ _RESULT = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 str
 def _united(key, texts: pa.Table, found: pa.Table) -> pa.Table:
     """Per document of one block: the union of its intervals and what is left."""
     kinds, blobs = found.column("kind").to_pylist(), found.column("blob").to_pylist()
-    hits = np.concatenate([np.zeros(0, _HIT), *(np.frombuffer(b, _HIT) for k, b in zip(kinds, blobs, strict=True) if k == 1)])
-    twins = np.concatenate([np.zeros(0, _TWIN), *(np.frombuffer(b, _TWIN) for k, b in zip(kinds, blobs, strict=True) if k == 2)])
-    hits = expand(hits, twins)
-    hits = hits[np.argsort(hits["doc"], kind="stable")]
-    ids = texts.column("doc").to_numpy()
-    lo, hi = np.searchsorted(hits["doc"], ids), np.searchsorted(hits["doc"], ids, side="right")
+    of = lambda kind, dtype: np.concatenate([np.zeros(0, dtype), *(np.frombuffer(b, dtype) for k, b in zip(kinds, blobs, strict=True) if k == kind)])
+    hits = expand(expand(of(1, _HIT), of(3, _TWIN)), of(2, _TWIN))
+    hits = hits[np.argsort(hits["row"], kind="stable")]
+    ids, numbers = texts.column("doc").to_numpy(), texts.column("row").to_numpy()
+    lo, hi = np.searchsorted(hits["row"], numbers), np.searchsorted(hits["row"], numbers, side="right")
     rows = []
     for i, data, offsets in text_slices(texts.column("text")):
         for j in range(len(offsets) - 1):
@@ -413,9 +420,9 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text:
     named = scratch.cut(src.select("doc", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("h")))
     total = named.agg(F.sum("n_bytes")).first()[0] or 0
     first = named.groupBy("h", "n_bytes").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("c")).filter(f"c > 1 and n_bytes >= {LENGTH}").drop("c")
-    copies = scratch.cut(named.join(first, ["h", "n_bytes"]).filter("doc > first").select("doc", "n_bytes").distinct())
+    copies = scratch.cut(named.join(first, ["h", "n_bytes"]).filter("doc > first").select("doc", "h").distinct())
     small = scratch.cut(named.filter(f"n_bytes < {LENGTH}").select("doc", "n_bytes", F.lower(F.hex("h")).alias("kept_sha256")))
-    rest = src.filter(F.octet_length("text") >= LENGTH).join(copies.select("doc"), "doc", "left_anti")
+    rest = src.filter(F.octet_length("text") >= LENGTH).withColumn("h", F.unhex(F.sha2("text", 256))).join(copies, ["doc", "h"], "left_anti")
 
     per = max(12 << 20, total // 50_000)
     n = total // per + 1
@@ -437,7 +444,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text:
     scratch.drop(found)
 
     none = F.array().cast("array<int>")
-    whole = named.join(copies.select("doc"), "doc", "left_semi").filter(f"n_bytes >= {LENGTH}").select(
+    whole = named.join(copies, ["doc", "h"], "left_semi").select(
         "doc", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.sha2(F.lit(""), 256).alias("kept_sha256"),
         F.array(F.lit(0), F.col("n_bytes").cast("int")).alias("spans"))
     zero = F.lit(0).cast("long")

@@ -1,9 +1,11 @@
 """Operators 1, 2, 5, 7 and the component helper against plain statements."""
 
+import hashlib
 import random
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -226,6 +228,53 @@ def test_repeated_bytes_on_odd_rows(spark, make_docs):
         assert suffix.kept_digests(make_docs([]), scratch).count() == 0
 
 
+def removed_rows(docs, length=50):
+    """The rule for rows whose ids repeat: [(id, n_bytes, n_removed, kept_sha256)], null ids last."""
+    data = sorted((2**63 - 1 if i is None else i, t.encode()) for i, t in docs)
+    first, out = {}, []
+    for i, b in data:
+        for p in range(len(b) - length + 1):
+            first.setdefault(b[p:p + length], i)
+    for i, b in data:
+        gone = {q for p in range(len(b) - length + 1) if first[b[p:p + length]] < i for q in range(p, p + length)}
+        out.append((i, len(b), len(gone), hashlib.sha256(bytes(c for q, c in enumerate(b) if q not in gone)).hexdigest()))
+    return sorted(out)
+
+
+def rows_with_repeated_ids():
+    rnd = random.Random(8)
+    abc = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    shared, copied, own = abc(90), abc(120), abc(80)
+    docs = [(1, copied), (None, copied), (None, abc(200)), (None, own), (None, "z" * 60), (2, abc(40) + shared + abc(40)), (None, abc(10) + shared), (None, abc(170) + shared + abc(9)),
+            (7, copied), (7, abc(300)), (7, shared), (7, shared), (7, abc(70) + own[:60]), (None, own + abc(200) + own), (None, "short"), (3, abc(60) + "zz"), (None, abc(60))]
+    docs += [(i, abc(20) + shared + copied[:70] + abc(15)) for i in (None, None, 7, 7, 9, 9)]
+    # equal contexts on both sides of the anchors, under one id and before any smaller id's text in the same block
+    docs += [(i, abc(30) + docs[5][1] + abc(30) + docs[5][1] + abc(5)) for i in (None, None, 7)]
+    return docs
+
+
+def test_repeated_bytes_where_ids_repeat(spark, make_docs):
+    docs = rows_with_repeated_ids()
+    with Scratch(spark, "t") as scratch:
+        got = suffix.kept_digests(make_docs(docs).repartition(2), scratch).collect()
+        assert sorted((2**63 - 1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in got) == removed_rows(docs)
+        one = suffix.kept_digests(make_docs(docs).coalesce(1), scratch).collect()
+        assert sorted(one, key=str) == sorted(got, key=str)
+
+
+@pytest.mark.parametrize("slice_bytes", [1, 300, 900])
+def test_repeated_bytes_where_ids_repeat_in_pieces_of_a_block(monkeypatch, slice_bytes):
+    monkeypatch.setattr(bytesops, "SLICE_BYTES", slice_bytes)
+    docs = [(2**63 - 1 if i is None else i, t) for i, t in rows_with_repeated_ids()]
+    docs += [(11, docs[3][1] + docs[7][1] * 2), (11, docs[3][1] + docs[7][1] * 2), (10, docs[7][1])]
+    n, key = len(docs), (pa.scalar(0),)
+    texts = pa.table({"block": pa.array([0] * n), "doc": pa.array([i for i, _ in docs]), "text": pa.array([t for _, t in docs]), "row": pa.array(range(n), pa.int32())})
+    out = suffix._suffixes(np.zeros(0, np.uint64))(key, texts, pa.table({"block": pa.array([], pa.int64()), "blob": pa.array([], pa.binary())}))
+    found = pa.concat_tables([suffix._in_range(out.slice(k, 1)) for k in range(out.num_rows)])
+    got = suffix._united(key, texts, found).to_pylist()
+    assert sorted((r["doc"], r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in got) == removed_rows(docs)
+
+
 def test_repeated_bytes_with_small_blocks(spark, monkeypatch):
     from gainkit.llm import suffix as s
     monkeypatch.setattr(s, "BLOCK_BYTES", 20_000)
