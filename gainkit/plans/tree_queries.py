@@ -104,6 +104,36 @@ def q_repeated_holdout_docs(spark, sf):
                             spec=list(VIEWS["v_docs"].spec), classes=BIN, max_depth=3)
 
 
+def _fit_full(name):
+    def q(spark, sf):
+        m = fit(load_view(spark, sf, name), "class", list(VIEWS[name].spec), classes=BIN)
+        return _tree_cols(m.tree)
+    q.__doc__ = f"F10/F12: the full tree (max depth 20) of the {name} view."
+    return q
+
+
+def _holdout_accuracy_full(name, key):
+    def q(spark, sf):
+        train, test = hash_split(load_view(spark, sf, name), key, (4, 1), 100)
+        return accuracy(fit(train, "class", list(VIEWS[name].spec), classes=BIN), test)
+    q.__doc__ = f"G1/G2/G4: the full tree (max depth 20) of the {name} view's train side, scored on the held-out side."
+    return q
+
+
+def q_fit_prune_orders_full(spark, sf):
+    """The full tree (max depth 20) of the orders view's train side, pruned on the holdout."""
+    v = load_view(spark, sf, "v_orders")
+    train, test = hash_split(v, "o_orderkey", (4, 1), 100)
+    m = fit(train, "class", list(VIEWS["v_orders"].spec), classes=BIN)
+    return _tree_cols(prune(m, test, "class").tree)
+
+
+def q_repeated_holdout_docs_full(spark, sf):
+    """Five keyed holdout rounds (seeds 100..500) of full trees (max depth 20), pruned."""
+    return repeated_holdout(load_view(spark, sf, "v_docs"), "class", key="doc_id", rounds=5,
+                            spec=list(VIEWS["v_docs"].spec), classes=BIN)
+
+
 TREE_QUERIES = {
     "f_tree_root_rule": (q_tree_root_rule, SQL_TREE_ROOT_RULE),
     "f_tree_root_orders": (q_tree_root_orders, SQL_TREE_ROOT_ORDERS),
@@ -118,4 +148,10 @@ TREE_QUERIES = {
     "f_fit_docs": (q_fit_docs, None),
     "g5_fit_prune_orders": (q_fit_prune_orders, None),
     "g7_repeated_holdout_docs": (q_repeated_holdout_docs, None),
+    "f_fit_rule": (_fit_full("v_rule"), None),
+    "f_fit_orders": (_fit_full("v_orders"), None),
+    "g4_holdout_accuracy_events_full": (_holdout_accuracy_full("v_events", "event_id"), None),
+    "g4_holdout_accuracy_docs_full": (_holdout_accuracy_full("v_docs", "doc_id"), None),
+    "g5_fit_prune_orders_full": (q_fit_prune_orders_full, None),
+    "g7_repeated_holdout_docs_full": (q_repeated_holdout_docs_full, None),
 }
