@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gainkit.llm import embed, minhash, mixing, pii, quality, spbpe, suffix, tokenfile, toxicity, warc
+from gainkit.llm import codes, embed, minhash, mixing, pii, quality, spbpe, suffix, tokenfile, toxicity, warc
 from gainkit.session import Scratch
 from gainkit.sources.tables import read_table
 
@@ -86,6 +86,45 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, chain)
 
 
+def op11_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Scratch(spark, "op11") as scratch:
+        return codes.compress(read_table(spark, sf_dir, "embeddings"), scratch)
+
+
+def _op11_sql(parts: int = codes.PARTS, entries: int = codes.ENTRIES, rounds: int = codes.ROUNDS) -> str:
+    """The rounds written one after the other; vectors of one length."""
+    steps = [f"""
+WITH k AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (
+  SELECT vec_id, label, part, q[part * len(q) // {parts} + 1 : (part + 1) * len(q) // {parts}] AS v FROM k, range({parts}) r(part)),
+b0 AS MATERIALIZED (
+  SELECT part, entry, v FROM (SELECT part, v, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM p) WHERE entry < {entries}),"""]
+    for n in range(rounds + 1):
+        steps.append(f"""
+a{n} AS MATERIALIZED (
+  SELECT p.vec_id, p.label, p.part, p.v, min({{'d': list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': b.entry}}) AS best
+  FROM p JOIN b{n} b ON p.part = b.part GROUP BY p.vec_id, p.label, p.part, p.v),""")
+        if n < rounds:
+            steps.append(f"""
+m{n} AS (
+  SELECT part, entry, pos, sum(x) AS s, count(*) AS n
+  FROM (SELECT part, best.e AS entry, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a{n}) GROUP BY part, entry, pos),
+b{n + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM b{n} b LEFT JOIN (
+    SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY pos) AS v FROM m{n} GROUP BY part, entry) m
+  ON b.part = m.part AND b.entry = m.entry),""")
+    steps.append(f"""
+h AS (SELECT sha256(coalesce(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry), '')) AS codebooks_sha256 FROM b{rounds}),
+c AS (
+  SELECT vec_id, label, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM c, h
+""")
+    return "".join(steps)
+
+
 OP9_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
@@ -115,5 +154,5 @@ FROM c
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash_neardup, op2_merkle_fixity, op3_token_files, op4_pii, op5_pivot_neardup, op6_byte_bpe, op7_suffix_dedup,
-    op8_quality_rules, op9_source_mix, op10_toxicity)}
-SQL = {"op2_merkle_fixity": OP2_SQL, "op9_source_mix": OP9_SQL}
+    op8_quality_rules, op9_source_mix, op10_toxicity, op11_code_compression)}
+SQL = {"op2_merkle_fixity": OP2_SQL, "op9_source_mix": OP9_SQL, "op11_code_compression": _op11_sql()}
