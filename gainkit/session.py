@@ -86,6 +86,12 @@ class Scratch:
             if held:
                 _delete(self.spark, held[1])
 
+    def delete(self, path: str) -> None:
+        """Deletes a path of this folder that is not held as a frame."""
+        if not path.startswith(f"{self.path}/"):
+            raise ValueError(f"{path} is not under {self.path}")
+        _delete(self.spark, path)
+
     def close(self) -> None:
         _delete(self.spark, self.path)
         self._at.clear()
