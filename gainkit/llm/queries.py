@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gainkit.llm import codes, embed, minhash, mixing, pii, quality, spbpe, suffix, tokenfile, toxicity, warc
+from gainkit.llm import codes, embed, linededup, minhash, mixing, pii, quality, spbpe, suffix, tokenfile, toxicity, warc
 from gainkit.session import Scratch
 from gainkit.sources.tables import read_table
 
@@ -125,6 +125,26 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
     return "".join(steps)
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Scratch(spark, "op12") as scratch:
+        d = linededup.deduplicate(read_table(spark, sf_dir, "documents"), scratch, keep=["doc_id"])
+        return d.select(F.col("_doc.doc_id").alias("doc_id"), F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"),
+                        F.sha2("_text", 256).alias("kept_sha256"))
+
+
+OP12_SQL = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+k AS (
+  SELECT *, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS key FROM l),
+c AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.doc_id, pos, line, c.key IS NOT NULL AND c.top <> k.doc_id AS gone FROM k LEFT JOIN c ON k.key = c.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
 OP9_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
@@ -154,5 +174,5 @@ FROM c
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash_neardup, op2_merkle_fixity, op3_token_files, op4_pii, op5_pivot_neardup, op6_byte_bpe, op7_suffix_dedup,
-    op8_quality_rules, op9_source_mix, op10_toxicity, op11_code_compression)}
-SQL = {"op2_merkle_fixity": OP2_SQL, "op9_source_mix": OP9_SQL, "op11_code_compression": _op11_sql()}
+    op8_quality_rules, op9_source_mix, op10_toxicity, op11_code_compression, op12_line_dedup)}
+SQL = {"op2_merkle_fixity": OP2_SQL, "op9_source_mix": OP9_SQL, "op11_code_compression": _op11_sql(), "op12_line_dedup": OP12_SQL}
