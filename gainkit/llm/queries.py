@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gainkit.llm import codes, embed, linededup, minhash, mixing, pii, quality, spbpe, suffix, tokenfile, toxicity, warc
+from gainkit.llm import codes, embed, lexical, linededup, minhash, mixing, pii, quality, spbpe, suffix, tokenfile, toxicity, warc
 from gainkit.session import Scratch
 from gainkit.sources.tables import read_table
 
@@ -145,6 +145,34 @@ FROM m GROUP BY doc_id
 """
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Scratch(spark, "op13") as scratch:
+        return lexical.ranked(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), scratch)
+
+
+OP13_SQL = r"""
+WITH q AS MATERIALIZED (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) GROUP BY item_id, term),
+t AS MATERIALIZED (
+  SELECT doc_id, term, count(*) AS tf FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents) GROUP BY doc_id, term),
+d AS MATERIALIZED (SELECT doc_id, sum(tf)::BIGINT AS n FROM t GROUP BY doc_id),
+s AS MATERIALIZED (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM d),
+w AS MATERIALIZED (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM t WHERE term IN (SELECT term FROM q) GROUP BY term), s),
+i AS MATERIALIZED (
+  SELECT t.doc_id, t.term, w.w * ((1000000000 * t.tf) // (1000 * t.tf + 8 * (100 - 75 + (75 * d.n * s.docs) // s.terms))) AS impact
+  FROM t JOIN w ON t.term = w.term JOIN d ON t.doc_id = d.doc_id, s),
+r AS (SELECT q.item_id, i.doc_id, sum(q.times * i.impact)::BIGINT AS score FROM q JOIN i ON q.term = i.term GROUP BY q.item_id, i.doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+
 OP9_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
@@ -174,5 +202,7 @@ FROM c
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash_neardup, op2_merkle_fixity, op3_token_files, op4_pii, op5_pivot_neardup, op6_byte_bpe, op7_suffix_dedup,
-    op8_quality_rules, op9_source_mix, op10_toxicity, op11_code_compression, op12_line_dedup)}
-SQL = {"op2_merkle_fixity": OP2_SQL, "op9_source_mix": OP9_SQL, "op11_code_compression": _op11_sql(), "op12_line_dedup": OP12_SQL}
+    op8_quality_rules, op9_source_mix, op10_toxicity, op11_code_compression, op12_line_dedup,
+    op13_lexical_search)}
+SQL = {"op2_merkle_fixity": OP2_SQL, "op9_source_mix": OP9_SQL, "op11_code_compression": _op11_sql(), "op12_line_dedup": OP12_SQL,
+       "op13_lexical_search": OP13_SQL}
