@@ -246,3 +246,75 @@ def pipeline(docs, encode):
     texts = {i: redacted(texts[i]) for i, (_, _, kept) in near_documents(list(texts.items()), 5, 4, 5).items() if kept}
     n = copies([(i, source[i], len(WORD.findall(t))) for i, t in texts.items()])
     return [(i, t, source[i], len(t), tuple(encode(t))) for i, t in texts.items() for _ in range(n[i])]
+
+
+def vector_codes(rows, parts=8, entries=16, rounds=6):
+    """rows: [(id, vector, label)] -> ({row: (code, error)}, label errors, codebooks), every entry tried."""
+    import math
+    good = {n: [math.floor(4096 * x) for x in v] for n, (_, v, _) in enumerate(rows)
+            if v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    dim = max(1, -(-max(map(len, good.values()), default=0) // parts))
+    cut = {n: [(q + [0] * (dim * parts - len(q)))[p * dim:(p + 1) * dim] for p in range(parts)] for n, q in good.items()}
+    first = sorted(good, key=lambda n: (rows[n][0] is None, rows[n][0] or 0, good[n]))[:entries]
+    books = [[cut[n][p] for n in first] for p in range(parts)]
+
+    def nearest(x, book):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e)), i) for i, e in enumerate(book))
+
+    for _ in range(rounds):
+        new = []
+        for p in range(parts):
+            own = [[] for _ in first]
+            for q in cut.values():
+                own[nearest(q[p], books[p])[1]].append(q[p])
+            new.append([[sum(c) // len(o) for c in zip(*o)] if o else books[p][i] for i, o in enumerate(own)])
+        books = new
+    out, by_label = {}, {}
+    for n, q in cut.items():
+        hit = [nearest(q[p], books[p]) for p in range(parts)]
+        out[n] = ("".join(f"{i:02x}" for _, i in hit), sum(d for d, _ in hit))
+        by_label[rows[n][2]] = by_label.get(rows[n][2], 0) + out[n][1]
+    flat = ",".join(str(x) for b in books for e in b for x in e)
+    return out, by_label, hashlib.sha256(flat.encode()).hexdigest()
+
+
+def line_dedup(docs):
+    """docs: [(id, text)] -> [(id, n_lines, n_dropped, sha256)]; null ids are one document, below all others."""
+    def key(line):
+        return re.sub("[A-Z]", lambda m: m[0].lower(), line.strip("\t\n\x0b\x0c\r "))
+
+    where = {}
+    for i, t in docs:
+        for line in (t or "").split("\n"):
+            where.setdefault(key(line), set()).add(i)
+    top = {k: max(x for x in ids if x is not None) for k, ids in where.items() if len(k) >= 20 and len(ids) >= 3}
+    out = []
+    for i, t in docs:
+        all_ = (t or "").split("\n")
+        stay = [x for x in all_ if key(x) not in top or top[key(x)] == i]
+        out.append((i, len(all_), len(all_) - len(stay), hashlib.sha256("\n".join(stay).encode()).hexdigest()))
+    return out
+
+
+def lexical(docs, items, k=10):
+    """docs: [(id, text)], items: distinct [(id, text)] -> [(item_id, rank, doc_id, score)]"""
+    import math
+    from collections import Counter
+
+    def found(text):
+        return Counter(re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower(text)))
+
+    rows = [(i, c) for i, c in ((i, found(t)) for i, t in docs) if c]
+    n, length = len(rows), sum(sum(c.values()) for _, c in rows)
+    df = Counter(t for _, c in rows for t in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for i, c in rows:
+            m = 25 + 75 * sum(c.values()) * n // length
+            s = sum(times * math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m))
+                    for t, times in found(text).items() if t in c)
+            if s > 0:
+                scored.append((-s, i is None, i or 0))
+        out += [(item, r + 1, None if null else i, -s) for r, (s, null, i) in enumerate(sorted(scored)[:k])]
+    return out
