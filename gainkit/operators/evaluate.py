@@ -33,7 +33,7 @@ def repeated_holdout(df: DataFrame, label: str, key=None, rounds: int = 5, weigh
         model = fit(train, label, spec, classes=classes, **fit_args)
         if prune:
             model = prune_tree(model, test, label)
-        n_train = model.tree.where(F.col("node_id") == 0).select(F.col("n_rows").alias("n_train"))
+        n_train = model.nodes.where(F.col("node_id") == 0).select(F.col("n_rows").alias("n_train"))
         acc = accuracy(model, test, label)
         out.append(acc.crossJoin(n_train).select(
             F.lit(r).alias("round"), F.lit(seed).alias("seed"), "n_train",

@@ -4,8 +4,9 @@ candidate ranking) for many groups at once.
 Everything is keyed by a group column ``_g``: the user's ``by`` columns packed
 in a struct for the standalone operators, or ``node_id`` while a tree grows.
 One scan of the input builds a value x class histogram for every (group,
-feature) pair; discrete statistics are plain aggregates over it and continuous
-thresholds come from prefix sums over the distinct values in ascending order.
+feature) pair; one ordered scan of it (see ``ordered``) gives the sums of
+discrete features and, from running counts over the distinct values, every
+threshold of the continuous ones.
 
 Tie and rounding rules (fixed so that results do not depend on summation
 order or partitioning):
@@ -18,26 +19,14 @@ order or partitioning):
 
 from __future__ import annotations
 
-import math
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gainkit.functions.measures import COMPARE_DIGITS, rounded, safe_ratio, sum_sql, xl_sql, xlog2x
+from gainkit.functions.measures import rounded, safe_ratio, sum_sql, xl_sql
+from gainkit.operators.ordered import G, P, RANGE_ROWS, TOTALS, VD, VS, Y, ThresholdScan
+from gainkit.session import cut_lineage
 from gainkit.spec import CONTINUOUS, DISCRETE, FeatureSpec
 
-G, P, VS, VD, Y, B = "_g", "_p", "_vs", "_vd", "_y", "_b"
-
-# (group, feature) pairs with more distinct values than this are split into
-# value ranges so that no single task sorts a whole feature (the root node
-# holds every row).  Below it the plain window is used.
-DEFAULT_BLOCK_ROWS = 1_000_000
-# Upper bound on ranges per hot pair and on the broadcast range table.
-MAX_BLOCKS = 256
-BROADCAST_BOUNDS_MAX = 2_000_000
-
 
 def cnames(k: int) -> list[str]:
     return [f"c{i}" for i in range(k)]
@@ -52,26 +41,20 @@ def value_class_counts(df: DataFrame, key: Column, y: Column, feats: list[tuple[
     """(_g, _p, _vs, _vd, c0..c{k-1}): rows per class for every distinct value
     of every feature in every group.  ``feats`` holds (position, column, kind).
     Discrete values are kept as text in ``_vs`` (with ``coded`` they are
-    dictionary codes and kept in ``_vd``), continuous ones in ``_vd``.  With ``with_totals`` a pseudo feature ``_p = -1`` carries the
+    dictionary codes in ``_vd`` and there is no ``_vs``), continuous ones in ``_vd``.  With ``with_totals`` the pseudo feature ``TOTALS`` carries the
     class totals of each group."""
-    structs, names = [], []
+    row = lambda pos, vs, vd: f"named_struct('{P}', {pos}" + ("" if coded else f", '{VS}', {vs}") + f", '{VD}', {vd})"
+    none = ("CAST(NULL AS STRING)", "CAST(NULL AS DOUBLE)")
+    each = []
     for pos, col, kind in feats:
-        c = F.col(col)
-        if kind == DISCRETE and not coded:
-            vs, vd = c.cast("string"), F.lit(None).cast("double")
-        else:
-            vs, vd = F.lit(None).cast("string"), c.cast("double")
-        name = f"_s{pos}"
-        structs.append(F.struct(F.lit(pos).alias(P), vs.alias(VS), vd.alias(VD)).alias(name))
-        names.append(name)
+        col = "`" + col.replace("`", "``") + "`"
+        text = kind == DISCRETE and not coded
+        each.append(row(pos, f"CAST({col} AS STRING)" if text else none[0], none[1] if text else f"CAST({col} AS DOUBLE)"))
     if with_totals:
-        structs.append(F.struct(F.lit(-1).alias(P), F.lit(None).cast("string").alias(VS),
-                                F.lit(None).cast("double").alias(VD)).alias("_s_tot"))
-        names.append("_s_tot")
-    wide = df.select(key.alias(G), y.alias(Y), *structs)
-    long = wide.unpivot([G, Y], names, "_f", "_s").select(G, Y, "_s.*")
-    counts = [F.expr(f"count_if({Y} = {i})").alias(c) for i, c in enumerate(cnames(k))]
-    return long.groupBy(G, P, VS, VD).agg(*counts)
+        each.append(row(TOTALS, *none))
+    wide = df.select(key.alias(G), y.alias(Y), *[F.expr(e).alias(f"_s{i}") for i, e in enumerate(each)])
+    long = wide.unpivot([G, Y], [f"_s{i}" for i in range(len(each))], "_f", "_s").selectExpr(G, Y, "_s.*")
+    return long.groupBy(G, P, *([] if coded else [VS]), VD).agg(*[F.expr(f"count_if({Y} = {i}) AS {c}") for i, c in enumerate(cnames(k))])
 
 
 # ---------------------------------------------------------------------------
@@ -102,163 +85,6 @@ def discrete_stats(vc: DataFrame, k: int) -> DataFrame:
     )
 
 
-# ---------------------------------------------------------------------------
-# continuous features
-# ---------------------------------------------------------------------------
-
-def _threshold_terms(lt: list[Column], tot: list[Column]):
-    n = reduce(add, tot)
-    n_lt = reduce(add, lt)
-    n_ge = n - n_lt
-    ge = [t - l for t, l in zip(tot, lt)]
-    h = (xlog2x(n) - reduce(add, [xlog2x(t) for t in tot])) / n
-    cond = (xlog2x(n_lt) - reduce(add, [xlog2x(c) for c in lt])
-            + xlog2x(n_ge) - reduce(add, [xlog2x(c) for c in ge])) / n
-    iv = (xlog2x(n) - xlog2x(n_lt) - xlog2x(n_ge)) / n
-    return h - cond, iv
-
-
-def _midpoint(v: Column, nxt: Column) -> Column:
-    """Midpoint of neighbouring values; if rounding puts it on the lower value
-    (or out of range) the upper value is used, so that '< t' keeps v."""
-    mid = (v + nxt) / 2.0
-    return F.when((mid > v) & (mid <= nxt), mid).otherwise(nxt)
-
-
-def _prefix_plain(vc: DataFrame, k: int) -> DataFrame:
-    cs = cnames(k)
-    w = Window.partitionBy(G, P).orderBy(VD)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return vc.select(
-        G, P, VD,
-        *[F.sum(c).over(run).alias(f"l{c}") for c in cs],
-        *[F.sum(c).over(whole).alias(f"t{c}") for c in cs],
-        F.lead(VD).over(w).alias("_next"),
-        F.count(F.lit(1)).over(whole).alias("n_values"),
-    )
-
-
-def _prefix_blocked(vc: DataFrame, k: int, block_rows: int) -> DataFrame | None:
-    """Two-level prefix sum: hot (group, feature) pairs are cut into value
-    ranges at approximate quantiles; per-range totals give offsets, and the
-    running sums are taken inside each range.  Exact: the ranges only decide
-    where work is split.  Returns None when no pair is hot."""
-    cs = cnames(k)
-    sizes = vc.groupBy(G, P).agg(F.count(F.lit(1)).alias("_gn"))
-    hot = sizes.where(F.col("_gn") > block_rows)
-    stats = hot.agg(F.count(F.lit(1)).alias("nh"), F.max("_gn").alias("mx")).first()
-    n_hot, biggest = stats["nh"], stats["mx"]
-    if not n_hot:
-        return None
-    q = int(min(MAX_BLOCKS, max(2, math.ceil(biggest / block_rows))))
-    fracs = [i / q for i in range(1, q)]
-    bounds = (vc.join(hot.select(G, P), [G, P], "left_semi")
-              .groupBy(G, P)
-              .agg(F.percentile_approx(VD, fracs, 10 * q).alias("_bounds")))
-    # approximate sketches depend on merge order: freeze the bounds once
-    from gainkit.session import cut_lineage
-    bounds = cut_lineage(bounds)
-    if n_hot * q <= BROADCAST_BOUNDS_MAX:
-        bounds = F.broadcast(bounds)
-    vb = (vc.join(bounds, [G, P], "left")
-          .withColumn(B, F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(VD))), F.lit(0)))
-          .drop("_bounds"))
-    wb = Window.partitionBy(G, P).orderBy(B)
-    blocks = vb.groupBy(G, P, B).agg(*[F.sum(c).alias(f"b{c}") for c in cs],
-                                      F.min(VD).alias("_bmin"),
-                                      F.count(F.lit(1)).alias("_bn"))
-    blocks = blocks.select(
-        G, P, B,
-        *[F.coalesce(F.sum(f"b{c}").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-          .alias(f"o{c}") for c in cs],
-        *[F.sum(f"b{c}").over(wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-          .alias(f"t{c}") for c in cs],
-        F.lead("_bmin").over(wb).alias("_nmin"),
-        F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        .alias("n_values"),
-    )
-    joined = vb.join(blocks, [G, P, B])
-    w = Window.partitionBy(G, P, B).orderBy(VD)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return joined.select(
-        G, P, B, VD,
-        *[(F.col(f"o{c}") + F.sum(c).over(run)).alias(f"l{c}") for c in cs],
-        *[F.col(f"t{c}") for c in cs],
-        F.coalesce(F.lead(VD).over(w), F.col("_nmin")).alias("_next"),
-        "n_values",
-    )
-
-
-def threshold_table(vc: DataFrame, k: int, block_rows: int | None = DEFAULT_BLOCK_ROWS,
-                    max_group_rows: int | None = None) -> DataFrame:
-    """Every candidate threshold of every continuous (group, feature):
-    (_g, _p, threshold, gain, iv, lt counts, totals, n_values).  The last
-    distinct value gives no candidate (next is null)."""
-    pre = None
-    if block_rows is not None and (max_group_rows is None or max_group_rows > block_rows):
-        pre = _prefix_blocked(vc, k, block_rows)
-    if pre is None:
-        pre = _prefix_plain(vc, k)
-    cs = cnames(k)
-    extra = [B] if B in pre.columns else []
-    n, nl = sum_sql(f"t{c}" for c in cs), sum_sql(f"l{c}" for c in cs)
-    step = pre.selectExpr(
-        G, P, *extra, VD, "_next", "n_values",
-        *[f"l{c}" for c in cs], *[f"t{c}" for c in cs],
-        f"{n} AS _n", f"{nl} AS _nl",
-        f"{sum_sql(xl_sql(f't{c}') for c in cs)} AS _sxt",
-        f"{sum_sql(xl_sql(f'l{c}') for c in cs)} AS _sxl",
-        f"{sum_sql(xl_sql(f'(t{c} - l{c})') for c in cs)} AS _sxg",
-    )
-    xn, xnl, xng = xl_sql("_n"), xl_sql("_nl"), xl_sql("(_n - _nl)")
-    return step.selectExpr(
-        G, P, *extra, VD, "_next", "n_values",
-        f"CASE WHEN ({VD} + _next) / 2D > {VD} AND ({VD} + _next) / 2D <= _next "
-        f"THEN ({VD} + _next) / 2D ELSE _next END AS threshold",
-        f"greatest((({xn} - _sxt) - ({xnl} - _sxl + {xng} - _sxg)) / _n, 0D) AS gain",
-        f"({xn} - {xnl} - {xng}) / _n AS iv",
-        f"array({', '.join(f'l{c}' for c in cs)}) AS lt_counts",
-        f"array({', '.join(f't{c}' for c in cs)}) AS class_counts",
-    )
-
-
-def continuous_best(vc: DataFrame, k: int, block_rows: int | None = DEFAULT_BLOCK_ROWS,
-                    max_group_rows: int | None = None) -> DataFrame:
-    """Per continuous (_g, _p): the threshold with the largest gain (ties ->
-    largest threshold), its iv and ratio, and n_values.  A feature with one
-    value has n_values = 1 and a null threshold.
-
-    The arg-max runs as windows over the same partitioning and order as the
-    prefix sums (no new exchange or sort): the best rounded gain of the pair,
-    then the last row (largest threshold) that reaches it."""
-    th = threshold_table(vc, k, block_rows, max_group_rows)
-    keys = [G, P, B] if B in th.columns else [G, P]
-    score = F.when(F.col("_next").isNotNull(), rounded(F.col("gain"))).otherwise(F.lit(-1.0))
-    w_all = Window.partitionBy(*keys).orderBy(VD).rowsBetween(Window.unboundedPreceding,
-                                                              Window.unboundedFollowing)
-    w = Window.partitionBy(*keys).orderBy(VD)
-    best = (th.withColumn("_score", score)
-            .withColumn("_top", F.max("_score").over(w_all))
-            .where(F.col("_score") == F.col("_top"))
-            .withColumn("_later", F.lead(VD).over(w))
-            .where(F.col("_later").isNull()))
-    if B in keys:
-        # one row per value range of a hot pair: pick the best range (bounded group)
-        wb = Window.partitionBy(G, P).orderBy(F.col("_score").desc(), F.col(VD).desc())
-        best = best.withColumn("_rk", F.row_number().over(wb)).where(F.col("_rk") == 1)
-    has = F.col("_next").isNotNull()
-    return best.select(
-        G, P, "n_values", (F.col("n_values") - 1).alias("n_candidates"),
-        F.when(has, F.col("threshold")).alias("threshold"),
-        F.when(has, F.col("gain")).alias("gain"),
-        F.when(has, F.col("iv")).alias("iv"),
-        F.when(has, safe_ratio(F.col("gain"), F.col("iv"))).alias("ratio"),
-        F.when(has, F.col("lt_counts")).alias("lt_counts"),
-        "class_counts",
-    )
-
-
 # ---------------------------------------------------------------------------
 # ranking
 # ---------------------------------------------------------------------------
@@ -331,12 +157,12 @@ def _expand_key(df: DataFrame, by: list[str]) -> DataFrame:
     return df.select(*[F.col(f"{G}.{b}").alias(b) for b in by], *rest)
 
 
-def _row_bound(df: DataFrame, block_rows: int | None) -> int | None:
-    """Rows of the input: no (group, feature) pair can have more distinct
-    values, so when this is below ``block_rows`` the hot-pair probe (a second
-    pass over the histogram) is skipped.  A plain Parquet scan counts from
-    file metadata."""
-    return df.count() if block_rows is not None else None
+def _scanned(scan: ThresholdScan, rows) -> DataFrame:
+    """What ``rows`` takes from the scan, written, as the scan's ranges go."""
+    try:
+        return cut_lineage(rows(scan))
+    finally:
+        scan.close()
 
 
 def _normalise_spec(spec) -> list[FeatureSpec]:
@@ -347,7 +173,7 @@ def _normalise_spec(spec) -> list[FeatureSpec]:
 
 
 def split_candidates(df: DataFrame, label: str, spec, by: list[str] | None = None, classes=None,
-                     block_rows: int | None = DEFAULT_BLOCK_ROWS, handle_null: str = "error",
+                     range_rows: int = RANGE_ROWS, handle_null: str = "error",
                      keep_position: bool = False) -> DataFrame:
     """One row per (by..., feature) candidate with
     kind, threshold (continuous), gain, intrinsic_value, gain_ratio, n_values,
@@ -362,24 +188,16 @@ def split_candidates(df: DataFrame, label: str, spec, by: list[str] | None = Non
     classes = labels_of(df, label, classes)
     k = len(classes)
     feats = [(i, s.name, s.kind) for i, s in enumerate(spec)]
-    vc = value_class_counts(df, _group_key(by), known_label(label, classes), feats, k, with_totals=False)
     names = F.array(*[F.lit(s.name) for s in spec])
     kinds = F.array(*[F.lit(s.kind) for s in spec])
-    parts = []
     d_pos = [i for i, s in enumerate(spec) if s.discrete]
-    c_pos = [i for i, s in enumerate(spec) if not s.discrete]
-    if d_pos:
-        ds = discrete_stats(vc.where(F.col(P).isin(d_pos)), k)
-        parts.append(ds.select(G, P, F.lit(None).cast("double").alias("threshold"), "gain",
-                               F.col("iv").alias("intrinsic_value"), F.col("ratio").alias("gain_ratio"),
-                               "n_values", "n"))
-    if c_pos:
-        cb = continuous_best(vc.where(F.col(P).isin(c_pos)), k, block_rows,
-                             _row_bound(df, block_rows)).where(F.col("threshold").isNotNull())
-        parts.append(cb.select(G, P, "threshold", "gain", F.col("iv").alias("intrinsic_value"),
-                               F.col("ratio").alias("gain_ratio"), "n_values",
-                               F.aggregate("class_counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("n")))
-    out = reduce(lambda a, b: a.unionByName(b), parts)
+    vc = value_class_counts(df, _group_key(by), known_label(label, classes), feats, k, with_totals=len(d_pos) < len(spec))
+    if len(d_pos) == len(spec):
+        out = discrete_stats(vc, k).withColumn("threshold", F.lit(None).cast("double"))
+    else:
+        out = _scanned(ThresholdScan(vc, k, d_pos, range_rows=range_rows), ThresholdScan.stats).where(F.col("gain").isNotNull())
+    out = out.withColumnsRenamed({"iv": "intrinsic_value", "ratio": "gain_ratio"}) \
+        .withColumn("n", F.aggregate("class_counts", F.lit(0).cast("long"), lambda a, x: a + x))
     out = out.select(G, P, F.element_at(names, F.col(P) + 1).alias("feature"),
                      F.element_at(kinds, F.col(P) + 1).alias("kind"),
                      "threshold", "gain", "intrinsic_value", "gain_ratio", "n_values",
@@ -398,18 +216,18 @@ def rank_splits(cands: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 
 def best_split(df: DataFrame, label: str, spec, by: list[str] | None = None, classes=None,
-               block_rows: int | None = DEFAULT_BLOCK_ROWS, all_candidates: bool = False,
+               range_rows: int = RANGE_ROWS, all_candidates: bool = False,
                handle_null: str = "error") -> DataFrame:
     """The chosen split of each group (or every candidate with its rank)."""
     by = list(by or [])
-    ranked = rank_splits(split_candidates(df, label, spec, by, classes, block_rows, handle_null, True))
+    ranked = rank_splits(split_candidates(df, label, spec, by, classes, range_rows, handle_null, True))
     if not all_candidates:
         ranked = ranked.where(F.col("rank") == 1)
     return _expand_key(ranked.drop(P), by)
 
 
 def best_threshold(df: DataFrame, label: str, features, by: list[str] | None = None, classes=None,
-                   block_rows: int | None = DEFAULT_BLOCK_ROWS, handle_null: str = "error") -> DataFrame:
+                   range_rows: int = RANGE_ROWS, handle_null: str = "error") -> DataFrame:
     """Best threshold of each continuous feature per group:
     (by..., feature, threshold, gain, intrinsic_value, gain_ratio, n_values,
     n_candidates).  Features with one value in a group are left out."""
@@ -419,8 +237,9 @@ def best_threshold(df: DataFrame, label: str, features, by: list[str] | None = N
     classes = labels_of(df, label, classes)
     k = len(classes)
     feats = [(i, n, CONTINUOUS) for i, n in enumerate(names)]
-    vc = value_class_counts(df, _group_key(by), known_label(label, classes), feats, k, with_totals=False)
-    cb = continuous_best(vc, k, block_rows, _row_bound(df, block_rows)).where(F.col("threshold").isNotNull())
+    vc = value_class_counts(df, _group_key(by), known_label(label, classes), feats, k)
+    cb = _scanned(ThresholdScan(vc, k, [], range_rows=range_rows), ThresholdScan.stats).where(F.col("threshold").isNotNull()) \
+        .withColumn("n_candidates", F.col("n_values") - 1)
     arr = F.array(*[F.lit(n) for n in names])
     out = cb.select(G, F.element_at(arr, F.col(P) + 1).alias("feature"), "threshold", "gain",
                     F.col("iv").alias("intrinsic_value"), F.col("ratio").alias("gain_ratio"),
@@ -429,7 +248,7 @@ def best_threshold(df: DataFrame, label: str, features, by: list[str] | None = N
 
 
 def all_thresholds(df: DataFrame, label: str, features, by: list[str] | None = None, classes=None,
-                   block_rows: int | None = DEFAULT_BLOCK_ROWS, handle_null: str = "error") -> DataFrame:
+                   range_rows: int = RANGE_ROWS, handle_null: str = "error") -> DataFrame:
     """E3/E5/E7 for every candidate: (by..., feature, value, next_value,
     threshold, gain, intrinsic_value, gain_ratio)."""
     by = list(by or [])
@@ -438,8 +257,8 @@ def all_thresholds(df: DataFrame, label: str, features, by: list[str] | None = N
     classes = labels_of(df, label, classes)
     k = len(classes)
     feats = [(i, n, CONTINUOUS) for i, n in enumerate(names)]
-    vc = value_class_counts(df, _group_key(by), known_label(label, classes), feats, k, with_totals=False)
-    th = threshold_table(vc, k, block_rows, _row_bound(df, block_rows)).where(F.col("_next").isNotNull())
+    vc = value_class_counts(df, _group_key(by), known_label(label, classes), feats, k)
+    th = _scanned(ThresholdScan(vc, k, [], range_rows=range_rows), ThresholdScan.candidates)
     arr = F.array(*[F.lit(n) for n in names])
     out = th.select(G, F.element_at(arr, F.col(P) + 1).alias("feature"), F.col(VD).alias("value"),
                     F.col("_next").alias("next_value"), "threshold", "gain",

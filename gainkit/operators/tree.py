@@ -1,18 +1,18 @@
 """Grow a gain-ratio classification tree level by level.
 
-Each level is one pass over the rows that are still in splittable nodes:
-a value x class histogram keyed by ``node_id`` feeds every measure for every
-node of the level (see ``split_search``).  The per-node decisions are a small
-table; rows move to their child through one join with it (broadcast only when
-the number of split nodes was counted and is below ``broadcast_nodes``).
-
-Node ids: level d holds ids ``base_d + pos`` with ``pos < R_d``.  A node that
-splits in ``n_branches`` ways gets the consecutive ids
-``first_child .. first_child + n_branches - 1`` with
-``first_child = base_{d+1} + pos * B_d`` (B_d = widest split of the level), so
-ids are computed on the executors, are the same on every run and are unique.
-If the id range would pass ``id_limit`` the split nodes of the level are
-numbered densely first.
+A level has a histogram (rows per class for each value of each feature of each
+node) and one ordered scan over it (see ``ordered``) that yields every measure
+of every node. Nodes whose class counts already make them leaves are settled
+when their parent splits, and their rows are read no more. Of the other nodes
+only some are counted: where a child holds more than half of its parent's
+rows, its histogram is the parent's minus those of its siblings, whenever that
+handles fewer rows than counting would.
+
+Node ids: level d holds ids ``base_d + pos`` with ``pos < R_d``. A split node
+owns the ids ``first_child .. first_child + B - 1`` with ``first_child =
+base_{d+1} + pos * B`` (B = widest split of the level), so ids are computed on
+the executors, are the same on every run and are unique. If the id range would
+pass ``id_limit`` the split nodes of the level are numbered densely first.
 
 Rules (kept from the reference algorithm):
 * a node is a leaf when its rows have one class ('pure'), when its depth is
@@ -21,9 +21,11 @@ Rules (kept from the reference algorithm):
   ``stop_rule='all_constant'``), or when no candidate split exists
   ('no_candidate'); leaves predict the majority class, ties -> the earliest
   label in ``classes``;
-* a discrete split makes one child per value seen at the root, in value
-  order; a child without rows is a leaf predicting the parent's majority
-  ('empty'); the feature is not offered again below that node;
+* a discrete split has a child for each value seen at the root, in value
+  order; the feature is not offered again below that node. Only children with
+  rows are kept as nodes: a row with another known value gets the split's
+  default, the majority of the split node. ``TreeModel.tree`` writes these
+  children out as leaves ('empty');
 * a continuous split makes child 0 (``>= t``) and child 1 (``< t``) and the
   feature stays available.
 """
@@ -34,18 +36,18 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gainkit.operators.split_search import (
-    DEFAULT_BLOCK_ROWS, G, P, VD, cnames, continuous_best, discrete_stats, labels_of,
-    rank_candidates, value_class_counts,
-)
+from gainkit.functions.measures import COMPARE_DIGITS, rounded
+from gainkit.operators.ordered import RANGE_ROWS, ThresholdScan, numbered
+from gainkit.operators.split_search import G, P, VD, cnames, label_index, labels_of, value_class_counts
 from gainkit.session import Scratch
 from gainkit.spec import CONTINUOUS, DISCRETE, FeatureSpec, check_spec, infer_spec
 
 ID_LIMIT = 1 << 62
-BROADCAST_NODES = 500_000       # split nodes per level sent to every task at most
+BROADCAST_NODES = 500_000       # nodes sent to every task at most,
+BROADCAST_BYTES = 64_000_000    # and bytes of them
 BROADCAST_DICT = 1_000_000      # values of one discrete feature sent to every task at most
 
 TREE_COLUMNS = [
@@ -56,11 +58,16 @@ TREE_COLUMNS = [
 ]
 
 
+CANDIDATE = "struct<_p:int, threshold:double, gain:double, intrinsic_value:double, gain_ratio:double, n_values:long>"
+
+
 @dataclass
 class TreeModel:
-    """A fitted tree: ``tree`` has one row per node (see TREE_COLUMNS)."""
+    """A fitted tree. ``nodes`` is a written table with a row for each node that
+    has rows: TREE_COLUMNS, ``mean_gain`` and ``candidates`` (what the node
+    could have been split by, by feature position)."""
 
-    tree: DataFrame
+    nodes: DataFrame
     spec: list[FeatureSpec]
     classes: list[str]
     label: str
@@ -68,14 +75,59 @@ class TreeModel:
     dict_sizes: dict = field(default_factory=dict)
     max_depth: int = 20
     levels: dict = field(default_factory=dict)  # depth -> number of split nodes
+    n_nodes: int = 0
 
     @property
     def feature_names(self) -> list[str]:
         return [s.name for s in self.spec]
 
-    def with_tree(self, tree: DataFrame, levels: dict | None = None) -> "TreeModel":
-        return TreeModel(tree, self.spec, self.classes, self.label, self.dictionary,
-                         self.dict_sizes, self.max_depth, self.levels if levels is None else levels)
+    def with_nodes(self, nodes: DataFrame) -> "TreeModel":
+        return _model(nodes, self.spec, self.classes, self.label, self.dictionary, self.dict_sizes, self.max_depth)
+
+    @property
+    def tree(self) -> DataFrame:
+        """One row for each node, children without rows included."""
+        whole = self.nodes.select(*TREE_COLUMNS)
+        if not any(s.discrete for s in self.spec):
+            return whole
+        return whole.unionByName(self.empty_children())
+
+    def empty_children(self) -> DataFrame:
+        """The children that no training row reached, as leaves that predict
+        their parent's majority: nodes x dictionary rows, so on request only."""
+        splits = self.nodes.where(F.col("split_kind") == DISCRETE).select(
+            F.col("node_id").alias("parent_id"), "depth", "path", "first_child", "majority", F.col("split_pos").alias(P))
+        values = self.dictionary
+        if sum(self.dict_sizes.values()) <= BROADCAST_DICT:     # few feature positions: one side goes to every task
+            values = F.broadcast(values)
+        every = splits.join(values, P).withColumn("node_id", F.col("first_child") + F.col("code"))
+        none = lambda kind, *names: [F.lit(None).cast(kind).alias(n) for n in names]
+        zero = F.lit(0).cast("long")
+        return every.join(self.nodes.select("node_id"), "node_id", "left_anti").select(
+            "node_id", "parent_id", (F.col("depth") + 1).alias("depth"), F.col("code").alias("branch"), F.col("value").alias("branch_value"),
+            F.concat("path", F.array("node_id")).alias("path"), F.lit(True).alias("is_leaf"), F.lit("empty").alias("stop_reason"),
+            *none("string", "split_feature", "split_kind"), *none("int", "split_pos"), *none("double", "threshold", "gain", "gain_ratio"),
+            *none("int", "n_branches"), *none("long", "first_child"), zero.alias("n_rows"),
+            F.array(*[zero] * len(self.classes)).cast("array<long>").alias("class_counts"), *none("string", "majority"), F.col("majority").alias("prediction"))
+
+    def candidates(self) -> DataFrame:
+        """The ledger of the fit: a row for each node and feature it could have
+        been split by, with the rank (1 = chosen, if the node was split)."""
+        names, kinds = (F.array(*[F.lit(x) for x in xs]) for xs in ([s.name for s in self.spec], [s.kind for s in self.spec]))
+        g, r = (lambda x: rounded(x["gain"])), (lambda x: rounded(x["gain_ratio"]))
+        order = F.transform("candidates", lambda x: F.struct((g(x) >= rounded(F.col("mean_gain"))).alias("qualified"), r(x).alias("r"), x[P].alias("p"), x.alias("x")))
+        return self.nodes.where(F.size("candidates") > 0).select(
+            "node_id", "depth", "is_leaf", "mean_gain", F.posexplode(F.sort_array(order, asc=False)).alias("rank", "c")).select(
+            "node_id", "depth", (F.col("rank") + 1).alias("rank"), F.element_at(names, F.col(f"c.x.{P}") + 1).alias("feature"),
+            F.element_at(kinds, F.col(f"c.x.{P}") + 1).alias("kind"), "c.x.threshold", "c.x.gain", "c.x.intrinsic_value", "c.x.gain_ratio", "c.x.n_values",
+            "mean_gain", "c.qualified", ((F.col("rank") == 0) & ~F.col("is_leaf")).alias("chosen"))
+
+
+def _model(nodes: DataFrame, spec, classes, label, dictionary, dict_sizes, max_depth) -> TreeModel:
+    """The model over a written node table, with its counts per depth."""
+    counts = nodes.groupBy("depth").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("is_leaf")).alias("split")).collect()
+    return TreeModel(nodes, spec, classes, label, dictionary, dict_sizes, max_depth,
+                     {r["depth"]: r["split"] for r in counts if r["split"]}, sum(r["n"] for r in counts))
 
 
 # ---------------------------------------------------------------------------
@@ -86,8 +138,9 @@ def fcol(pos: int) -> str:
     return f"_f{pos}"
 
 
-def build_dictionary(df: DataFrame, spec: list[FeatureSpec]) -> DataFrame:
-    """(_p, value, code) for every discrete feature; codes follow value order."""
+def build_dictionary(df: DataFrame, spec: list[FeatureSpec], scratch: Scratch | None = None) -> DataFrame:
+    """(_p, value, code) for every discrete feature; codes follow value
+    order. The values of all features are numbered in one order over ranges."""
     d_pos = [i for i, s in enumerate(spec) if s.discrete]
     spark = df.sparkSession
     if not d_pos:
@@ -96,8 +149,9 @@ def build_dictionary(df: DataFrame, spec: list[FeatureSpec]) -> DataFrame:
                for i in d_pos]
     vals = (df.select(*structs).unpivot([], [f"_d{i}" for i in d_pos], "_f", "_s")
             .select("_s.*").where(F.col("value").isNotNull()).distinct())
-    w = Window.partitionBy(P).orderBy("value")
-    return vals.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
+    placed = numbered(vals, [P, "value"], "_n", scratch)
+    first = placed.groupBy(P).agg(F.min("_n").alias("_first"))      # a row for each discrete feature
+    return placed.join(F.broadcast(first), P).select(P, "value", (F.col("_n") - F.col("_first")).cast("int").alias("code"))
 
 
 def encode_features(df: DataFrame, spec: list[FeatureSpec], dictionary: DataFrame,
@@ -120,30 +174,12 @@ def encode_features(df: DataFrame, spec: list[FeatureSpec], dictionary: DataFram
     return out
 
 
-def branch_index(spec: list[FeatureSpec], pos_col: str = "split_pos", t_col: str = "threshold") -> Column:
-    """Child position of a row at its node: the code for a discrete split,
-    0 for value >= t and 1 for value < t; null when the row cannot go on."""
-    expr = None
-    for i, s in enumerate(spec):
-        if s.discrete:
-            e = F.col(fcol(i))
-        else:
-            v = F.col(fcol(i))
-            e = F.when(v >= F.col(t_col), F.lit(0)).when(v < F.col(t_col), F.lit(1))
-        expr = (F.when(F.col(pos_col) == i, e) if expr is None else expr.when(F.col(pos_col) == i, e))
-    return expr if expr is not None else F.lit(None).cast("int")
-
-
-def _majority(counts: Column, classes: list[str]) -> Column:
-    arr = F.array(*[F.lit(c) for c in classes])
-    return F.element_at(arr, F.array_position(counts, F.array_max(counts)).cast("int"))
-
-
-def _dense_positions(df: DataFrame, key: str) -> DataFrame:
-    """(key, _pos): 0-based rank of ``key`` computed partition by partition."""
-    spark = df.sparkSession
-    rdd = df.select(key).orderBy(key).rdd.map(lambda r: r[0]).zipWithIndex()
-    return spark.createDataFrame(rdd, f"{key} long, _pos long")
+def branch_sql(spec: list[FeatureSpec], pos: str = "split_pos", threshold: str = "threshold") -> str:
+    """Child position of a row at its node, as SQL text: the code for a discrete
+    split, 0 for value >= t and 1 for value < t; null when the row cannot go on."""
+    cases = [f"WHEN {pos} = {i} THEN " + (fcol(i) if s.discrete else f"CASE WHEN {fcol(i)} >= {threshold} THEN 0 WHEN {fcol(i)} < {threshold} THEN 1 END")
+             for i, s in enumerate(spec)]
+    return f"(CASE {' '.join(cases)} END)" if cases else "CAST(NULL AS INT)"
 
 
 # ---------------------------------------------------------------------------
@@ -152,11 +188,14 @@ def _dense_positions(df: DataFrame, key: str) -> DataFrame:
 
 def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classes=None,
         max_depth: int = 20, stop_rule: str = "first_constant", handle_null: str = "error",
-        block_rows: int | None = DEFAULT_BLOCK_ROWS, checkpoint_interval: int = 4,
-        broadcast_nodes: int = BROADCAST_NODES, id_limit: int = ID_LIMIT) -> TreeModel:
-    """grow a tree on ``df`` (label column + features).  Returns a
-    :class:`TreeModel` whose ``tree`` and ``dictionary`` are written tables; the
-    tables of the levels are deleted when the fit ends or fails."""
+        range_rows: int = RANGE_ROWS, checkpoint_interval: int = 4,
+        broadcast_nodes: int = BROADCAST_NODES, id_limit: int = ID_LIMIT,
+        prune_df: DataFrame | None = None, subtract: bool | None = None) -> TreeModel:
+    """grow a tree on ``df`` (label column + features) and, with
+    ``prune_df``, prune it on that table.  Returns a :class:`TreeModel` whose
+    ``nodes`` and ``dictionary`` are written tables; the tables of the levels
+    are deleted when the fit ends or fails.  ``subtract``: whether large
+    children's histograms are taken from their parents' (None: by cost)."""
     if stop_rule not in ("first_constant", "all_constant"):
         raise ValueError("stop_rule must be 'first_constant' or 'all_constant'")
     if handle_null not in ("error", "drop"):
@@ -166,245 +205,225 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
     check_spec(df, label, spec)
     scratch, kept = Scratch(df.sparkSession, "fit"), Scratch(df.sparkSession, "tree")
     try:
-        return _grow(df, label, spec, classes, max_depth, stop_rule, handle_null, block_rows, checkpoint_interval,
-                     broadcast_nodes, id_limit, scratch, kept)
+        model = _grow(df, label, spec, classes, max_depth, stop_rule, handle_null, range_rows, checkpoint_interval,
+                      broadcast_nodes, id_limit, subtract, scratch, kept)
     except BaseException:
         kept.close()
         raise
     finally:
         scratch.close()
-
-
-def _grow(df, label, spec, classes, max_depth, stop_rule, handle_null, block_rows, checkpoint_interval,
-          broadcast_nodes, id_limit, scratch: Scratch, kept: Scratch) -> TreeModel:
+    if prune_df is None:
+        return model
+    from gainkit.operators.prune import prune
+    pruned = prune(model, prune_df, label)
+    kept.drop(model.nodes)
+    return pruned
+
+
+FRONTIER = ["node_id", "parent_id", "depth", "branch", "branch_value", "path", "used", "class_counts"]
+TOTAL = "aggregate(class_counts, 0L, (a, x) -> a + x)"
+#: node columns that only split nodes or decided ones have
+SPLIT = {"split_feature": "string", "split_kind": "string", "split_pos": "int", "threshold": "double", "gain": "double", "gain_ratio": "double",
+         "n_branches": "int", "first_child": "long", "mean_gain": "double", "candidates": f"array<{CANDIDATE}>"}
+
+
+# The expressions of a level are SQL text: built once, one call each.
+
+def _text(x: str) -> str:
+    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _record(nodes: DataFrame, classes: list[str]) -> DataFrame:
+    """Rows of the node table from frontier rows with a ``stop_reason`` and the
+    columns of ``SPLIT`` they have; the rest are null."""
+    labels = f"array({', '.join(map(_text, classes))})" if classes else "array(CAST(NULL AS STRING))"
+    majority = f"CASE WHEN {TOTAL} > 0 THEN get({labels}, CAST(array_position(class_counts, array_max(class_counts)) AS INT) - 1) END"
+    return nodes.selectExpr(
+        *FRONTIER[:6], "stop_reason IS NOT NULL AS is_leaf", "stop_reason",
+        *[f"{c if c in nodes.columns else f'CAST(NULL AS {t})'} AS {c}" for c, t in SPLIT.items()],
+        f"{TOTAL} AS n_rows", "class_counts", f"{majority} AS majority", f"CASE WHEN stop_reason IS NOT NULL THEN {majority} END AS prediction")
+
+
+def _decided(stats: DataFrame, nodes: DataFrame, stop_rule: str, send) -> DataFrame:
+    """The frontier columns of each node with its candidates, their mean gain,
+    the chosen one (null for leaves) and the reason to stop. ``stats`` has a row
+    for each node and feature; all of a node's meet in one list."""
+    rows = stats.selectExpr(f"{G} AS node_id", P, "threshold", "gain", "iv AS intrinsic_value", "ratio AS gain_ratio", "n_values", "lt_counts") \
+        .join(send(nodes), "node_id")
+    of = ", ".join(f"'{c}', {c}" for c in (P, "threshold", "gain", "intrinsic_value", "gain_ratio", "n_values", "lt_counts"))
+    node = rows.groupBy("node_id").agg(*[F.expr(f"first({c}) AS {c}") for c in FRONTIER[1:]], F.expr(
+        f"sort_array(collect_list(CASE WHEN NOT array_contains(used, {P}) THEN named_struct({of}) END)) AS _f"))
+    const = "get(_f, 0).n_values" if stop_rule == "first_constant" else "array_max(transform(_f, x -> x.n_values))"
+    node = node.selectExpr(*FRONTIER, f"{const} AS _const", "filter(_f, x -> x.gain IS NOT NULL) AS _c")
+    r = lambda x: f"round({x}, {COMPARE_DIGITS})"
+    node = node.selectExpr("*", f"aggregate(_c, 0D, (a, x) -> a + {r('x.gain')}) / nullif(size(_c), 0) AS mean_gain",
+                           "CASE WHEN _const = 1 THEN 'constant' WHEN size(_c) = 0 THEN 'no_candidate' END AS stop_reason")
+    pick = f"array_max(transform(filter(_c, x -> {r('x.gain')} >= {r('mean_gain')}), x -> named_struct('r', {r('x.gain_ratio')}, 'p', x.{P}, 'x', x))).x"
+    of = ", ".join(f"'{c}', x.{c}" for c in (P, "threshold", "gain", "intrinsic_value", "gain_ratio", "n_values"))
+    return node.selectExpr(*FRONTIER, "mean_gain", "stop_reason", f"transform(_c, x -> named_struct({of})) AS candidates",
+                           f"CASE WHEN stop_reason IS NULL THEN {pick} END AS _pick")
+
+
+def _children(splits: DataFrame, counts: DataFrame, dictionary: DataFrame, small_dictionary: bool, spec: list[FeatureSpec], k: int, depth: int,
+              max_depth: int) -> DataFrame:
+    """The children with rows of the split nodes of a level: frontier columns,
+    why a child is a leaf whatever its features are (else null), its rows,
+    whether it is open and holds more than half of its parent's rows
+    (``_large``), and the id of its family's large child. ``counts``: the
+    level's histogram, which has the values seen at each node."""
+    parts, d_pos = [], [i for i, s in enumerate(spec) if s.discrete]
+    if len(d_pos) < len(spec):
+        above = "zip_with(class_counts, lt_counts, (a, b) -> a - b)"
+        parts.append(splits.where(f"split_kind = '{CONTINUOUS}'").selectExpr("*", "explode(array(0, 1)) AS _b").selectExpr(
+            "first_child + _b AS node_id", "node_id AS parent_id", "_b AS branch", "CASE WHEN _b = 0 THEN '>=' ELSE '<' END AS branch_value",
+            "path", "used", f"CASE WHEN _b = 0 THEN {above} ELSE lt_counts END AS class_counts"))
+    if d_pos:
+        seen = counts.where(f"{P} IN ({', '.join(map(str, d_pos))})").selectExpr(
+            f"{G} AS node_id", f"{P} AS split_pos", f"CAST({VD} AS INT) AS code", f"array({', '.join(cnames(k))}) AS _cc")
+        values = dictionary.withColumnRenamed(P, "split_pos")
+        many = splits.where(f"split_kind = '{DISCRETE}'").join(seen, ["node_id", "split_pos"]) \
+            .join(F.broadcast(values) if small_dictionary else values, ["split_pos", "code"])
+        parts.append(many.selectExpr("first_child + code AS node_id", "node_id AS parent_id", "code AS branch", "value AS branch_value",
+                                     "path", "array_append(used, split_pos) AS used", "_cc AS class_counts"))
+    kids = reduce(DataFrame.unionByName, parts)
+    return _with_sizes(kids.selectExpr("node_id", "parent_id", f"{depth} AS depth", "branch", "branch_value", "array_append(path, node_id) AS path",
+                                       "used", "class_counts"), max_depth)
+
+
+def _with_sizes(kids: DataFrame, max_depth: int) -> DataFrame:
+    n = "size(filter(class_counts, x -> x > 0))"
+    return kids.selectExpr("*", f"{TOTAL} AS _n", f"CASE WHEN {n} = 0 THEN 'empty' WHEN {n} = 1 THEN 'pure' WHEN depth > {max_depth} THEN 'depth' END AS stop_reason") \
+        .selectExpr("*", "stop_reason IS NULL AND parent_id IS NOT NULL AND _n * 2 > sum(_n) OVER (PARTITION BY parent_id) AS _large") \
+        .selectExpr("*", "max(CASE WHEN _large THEN node_id END) OVER (PARTITION BY parent_id) AS _of_large")
+
+
+def _level_counts(rows: DataFrame, feats, k: int, front: DataFrame, before: DataFrame, send, own: list) -> DataFrame:
+    """The histogram of a level's open nodes: counted from the rows flagged so,
+    and for each large child its parent's (in ``before``) minus its siblings'."""
+    cs = cnames(k)
+    counted = value_class_counts(rows.where("_counted"), F.col("node_id"), F.col("_y"), feats, k, coded=True).persist(StorageLevel.MEMORY_AND_DISK)
+    own.append(counted)
+    open_ = front.where("stop_reason IS NULL AND NOT _large").selectExpr(f"node_id AS {G}")
+    parents = front.where("_large").selectExpr(f"parent_id AS {G}", "node_id AS _to")
+    siblings = front.where("_of_large IS NOT NULL AND NOT _large").selectExpr(f"node_id AS {G}", "_of_large AS _to")
+    moved = lambda df, to, sign: df.join(send(to), G).selectExpr(f"_to AS {G}", P, VD, *[f"{sign}{c} AS {c}" for c in cs])
+    rest = moved(before.select(G, P, VD, *cs), parents, "").unionByName(moved(counted, siblings, "-")) \
+        .groupBy(G, P, VD).agg(*[F.expr(f"sum({c}) AS {c}") for c in cs]).where(" + ".join(cs) + " > 0")
+    return counted.join(send(open_), G, "left_semi").select(G, P, VD, *cs).unionByName(rest)
+
+
+def _grow(df, label, spec, classes, max_depth, stop_rule, handle_null, range_rows, checkpoint_interval,
+          broadcast_nodes, id_limit, subtract, scratch: Scratch, kept: Scratch) -> TreeModel:
     spark = df.sparkSession
     base = df.select(F.col(label).cast("string").alias("_label"), *[F.col(s.name) for s in spec])
     if handle_null == "drop":
         base = base.dropna()
     classes = labels_of(base, "_label", classes)
     k = len(classes)
-    cs = cnames(k)
 
-    dictionary = kept.cut(build_dictionary(base, spec))
+    dictionary = kept.cut(build_dictionary(base, spec, scratch))
     dict_sizes = {r[P]: r["n"] for r in dictionary.groupBy(P).agg(F.count(F.lit(1)).alias("n")).collect()}
+    small_dictionary = sum(dict_sizes.values()) <= BROADCAST_DICT
 
-    from gainkit.operators.split_search import label_index
-    rows = encode_features(base.withColumn("_y", label_index("_label", classes)), spec, dictionary,
-                           dict_sizes, keep=["_y"])
+    rows = encode_features(base.withColumn("_y", label_index("_label", classes)), spec, dictionary, dict_sizes, keep=["_y"])
     rows = rows.withColumn("node_id", F.lit(0).cast("long")).persist(StorageLevel.MEMORY_AND_DISK)
-    null_any = reduce(lambda a, b: a | b, [F.col(fcol(i)).isNull() for i in range(len(spec))], F.col("_y").isNull())
-    chk = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(null_any).alias("bad")).first()
-    if chk["bad"]:
+    bad = reduce(lambda a, b: a | b, [F.col(fcol(i)).isNull() for i in range(len(spec))], F.col("_y").isNull())
+    by_class = {(r["_y"], r["bad"]): r["count"] for r in rows.groupBy("_y", bad.alias("bad")).count().collect()}
+    n_bad = sum(n for (_, b), n in by_class.items() if b)
+    if n_bad:
         rows.unpersist()
-        raise ValueError(f"{chk['bad']} rows have a null feature or a label outside {classes}; "
+        raise ValueError(f"{n_bad} rows have a null feature or a label outside {classes}; "
                          "use handle_null='drop' or clean the input")
 
     feats = [(i, fcol(i), s.kind) for i, s in enumerate(spec)]
     d_pos = [i for i, s in enumerate(spec) if s.discrete]
-    c_pos = [i for i, s in enumerate(spec) if not s.discrete]
-    names_arr = F.array(*[F.lit(s.name) for s in spec]) if spec else F.array().cast("array<string>")
-    kinds_arr = F.array(*[F.lit(s.kind) for s in spec]) if spec else F.array().cast("array<string>")
-    nb_arr = F.array(*[F.lit(int(dict_sizes.get(i, 0)) if s.discrete else 2) for i, s in enumerate(spec)]) \
-        if spec else F.array().cast("array<int>")
-
-    nodes = spark.createDataFrame(
-        [(0, None, 0, None, None, [0], [])],
-        "node_id long, parent_id long, depth int, branch int, branch_value string, "
-        "path array<long>, used array<int>")
-    base_d, r_d = 0, 1
-    n_active = chk["n"]
+    names, kinds = (f"array({', '.join(map(_text, x))})" for x in ([s.name for s in spec], [s.kind for s in spec]))
+    branches = f"array({', '.join(str(int(dict_sizes.get(i, 0))) if s.discrete else '2' for i, s in enumerate(spec))})"
+    node_bytes = 200 + 8 * (max_depth + k + 2 * len(spec))
+
+    def sender(n: int):
+        """Small tables of ``n`` nodes go to every task, others are shuffled."""
+        return F.broadcast if n <= min(broadcast_nodes, BROADCAST_BYTES // node_bytes) else (lambda d: d)
+
+    root = [(0, None, 0, None, None, [0], [], [by_class.get((i, False), 0) for i in range(k)])]
+    front = spark.createDataFrame(root, "node_id long, parent_id long, depth int, branch int, branch_value string, "
+                                        "path array<long>, used array<int>, class_counts array<long>")
+    front = _with_sizes(front, max_depth)
+    n_rows, n_open = sum(by_class.values()), 1
+    base_d, r_d, depth = 0, 1, 0
     records: list[DataFrame] = []
-    levels: dict[int, int] = {}
-    depth = 0
-    n_nodes = 1
-    prev_rows = None
+    scan, old_rows, use_parents = None, None, False
     while True:
-        held: list[DataFrame] = []
-        # node-sized tables go to every task only when their counted size allows
-        small = n_nodes <= broadcast_nodes
-        bc = F.broadcast if small else (lambda d: d)
-        vc = value_class_counts(rows, F.col("node_id"), F.col("_y"), feats, k, with_totals=True, coded=True)
-        vc = vc.persist(StorageLevel.MEMORY_AND_DISK)  # read by every measure below
-
-        totals = vc.where(F.col(P) == -1).select(F.col(G).alias("node_id"), F.array(*cs).alias("_cc"))
-        fstats = []
-        if d_pos:
-            ds = discrete_stats(vc.where(F.col(P).isin(d_pos)), k)
-            fstats.append(ds.select(G, P, "n_values", F.lit(None).cast("double").alias("threshold"),
-                                    "gain", "iv", "ratio",
-                                    F.lit(None).cast("array<long>").alias("lt_counts")))
-        if c_pos:
-            cb = continuous_best(vc.where(F.col(P).isin(c_pos)), k, block_rows, max_group_rows=n_active)
-            fstats.append(cb.select(G, P, "n_values", "threshold", "gain", "iv", "ratio", "lt_counts"))
-        level_nodes = nodes.select("node_id", "depth", "used")
-        if fstats:
-            fs = reduce(lambda a, b: a.unionByName(b), fstats).withColumnRenamed(G, "node_id")
-            fs = fs.persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(fs)
-            fs = (fs.join(bc(level_nodes.select("node_id", "used")), "node_id")
-                  .where(~F.array_contains("used", F.col(P))))
-            summary = fs.groupBy("node_id").agg(
-                F.min(F.struct(F.col(P), F.col("n_values"))).getField("n_values").alias("_first_nv"),
-                F.max("n_values").alias("_max_nv"))
-            cands = fs.where(F.array_contains(F.array(*[F.lit(i) for i in d_pos]).cast("array<int>"), F.col(P))
-                             | (F.col("n_values") >= 2)) if d_pos else fs.where(F.col("n_values") >= 2)
-            ranked = rank_candidates(cands.withColumnRenamed("node_id", G)).where(F.col("rank") == 1)
-            best = ranked.select(F.col(G).alias("node_id"), F.col(P).alias("split_pos"), "threshold",
-                                 "gain", F.col("ratio").alias("gain_ratio"), "lt_counts")
-        else:
-            summary = spark.createDataFrame([], "node_id long, _first_nv long, _max_nv long")
-            best = spark.createDataFrame([], "node_id long, split_pos int, threshold double, gain double, "
-                                             "gain_ratio double, lt_counts array<long>")
-
-        dec = (nodes.join(bc(totals), "node_id", "left").join(bc(summary), "node_id", "left")
-               .join(bc(best), "node_id", "left"))
-        n_classes = F.size(F.filter("_cc", lambda x: x > 0))
-        const_nv = F.col("_first_nv") if stop_rule == "first_constant" else F.col("_max_nv")
-        stop = (F.when(F.col("_cc").isNull(), F.lit("empty"))
-                .when(n_classes == 1, F.lit("pure"))
-                .when(F.col("depth") > max_depth, F.lit("depth"))
-                .when(const_nv == 1, F.lit("constant"))
-                .when(F.col("split_pos").isNull(), F.lit("no_candidate")))
-        dec = dec.withColumn("stop_reason", stop).withColumn("is_leaf", F.col("stop_reason").isNotNull())
-        split_if = lambda c: F.when(~F.col("is_leaf"), c)
-        dec = dec.select(
-            "node_id", "parent_id", "depth", "branch", "branch_value", "path", "used",
-            "is_leaf", "stop_reason",
-            split_if(F.element_at(names_arr, F.col("split_pos") + 1)).alias("split_feature"),
-            split_if(F.element_at(kinds_arr, F.col("split_pos") + 1)).alias("split_kind"),
-            split_if(F.col("split_pos")).alias("split_pos"),
-            split_if(F.col("threshold")).alias("threshold"),
-            split_if(F.col("gain")).alias("gain"),
-            split_if(F.col("gain_ratio")).alias("gain_ratio"),
-            split_if(F.element_at(nb_arr, F.col("split_pos") + 1)).alias("n_branches"),
-            split_if(F.col("lt_counts")).alias("lt_counts"),
-            F.coalesce(F.aggregate("_cc", F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long"))
-            .alias("n_rows"),
-            F.coalesce(F.col("_cc"), F.array(*[F.lit(0).cast("long")] * k)).alias("class_counts"),
-            F.when(F.col("_cc").isNotNull(), _majority(F.col("_cc"), classes)).alias("majority"),
-        )
-        # written: every later step of the level and the final tree read it
-        dec = scratch.cut(dec)
-        vc_disc = vc.where(F.col(P).isin(d_pos)) if d_pos else None
-
-        for h in held:
-            h.unpersist()
-        if prev_rows is not None:
-            prev_rows.unpersist()
-            prev_rows = None
-        st = dec.where(~F.col("is_leaf")).agg(F.count(F.lit(1)).alias("n"),
-                                              F.max("n_branches").alias("b"),
-                                              F.sum("n_branches").alias("kids")).first()
-        n_split, b_d = int(st["n"]), int(st["b"] or 0)
-        levels[depth] = n_split
-
-        base_next = base_d + r_d
-        if n_split == 0:
-            r_next = 0
-            dec = dec.withColumn("first_child", F.lit(None).cast("long"))
-        elif base_next + r_d * b_d <= id_limit:
-            r_next = r_d * b_d
-            dec = dec.withColumn("first_child", F.when(
-                ~F.col("is_leaf"), F.lit(base_next) + (F.col("node_id") - F.lit(base_d)) * F.lit(b_d)))
+        records.append(_record(front.where("stop_reason IS NOT NULL"), classes))
+        nodes = front.where("stop_reason IS NULL").select(*FRONTIER)
+        if not n_open:
+            break
+        if not spec:
+            records.append(_record(nodes.withColumn("stop_reason", F.lit("no_candidate")), classes))
+            break
+        own: list[DataFrame] = []
+        if use_parents:
+            counts = _level_counts(rows, feats, k, front, scan.ranges, sender(n_open), own)
         else:
-            r_next = n_split * b_d
-            pos = _dense_positions(dec.where(~F.col("is_leaf")), "node_id")
-            dec = (dec.join(pos, "node_id", "left")
-                   .withColumn("first_child", F.when(~F.col("is_leaf"),
-                                                     F.lit(base_next) + F.col("_pos") * F.lit(b_d)))
-                   .drop("_pos"))
+            counts = value_class_counts(rows, F.col("node_id"), F.col("_y"), feats, k, coded=True)
+        above, scan = scan, ThresholdScan(counts, k, d_pos, n_rows * len(spec) + n_open, range_rows)
+        # written: the later steps of the level and the final tree read it
+        dec = scratch.cut(_decided(scan.stats(), nodes, stop_rule, sender(n_open)))
+        for done in own:
+            done.unpersist()
+        if above is not None:
+            above.close()
+        if old_rows is not None:
+            old_rows.unpersist()
+
+        split = dec.where("_pick IS NOT NULL")
+        n_split, wide = split.agg(F.expr("count(1)"), F.expr(f"coalesce(max(get({branches}, _pick.{P})), 0)")).first()
+        base_next, place, r_next = base_d + r_d, f"node_id - {base_d}", r_d * wide
+        if base_next + r_next > id_limit:
+            r_next = n_split * wide
             if base_next + r_next > id_limit:
-                raise OverflowError("tree too wide for 63-bit node ids")
-
-        leaf_pred = F.when(F.col("is_leaf"), F.col("majority"))
-        records.append(dec.select(*[c for c in TREE_COLUMNS if c != "prediction"], leaf_pred.alias("prediction")))
-        if n_split == 0:
-            vc.unpersist()
+                raise OverflowError(f"tree too wide for node ids up to {id_limit}")
+            dec = dec.join(numbered(split.select("node_id"), ["node_id"], "_n", scratch), "node_id", "left")
+            place = "_n"
+        dec = dec.selectExpr(
+            *FRONTIER, "stop_reason", "mean_gain", "candidates", f"get({names}, _pick.{P}) AS split_feature", f"get({kinds}, _pick.{P}) AS split_kind",
+            f"_pick.{P} AS split_pos", "_pick.threshold AS threshold", "_pick.gain AS gain", "_pick.gain_ratio AS gain_ratio", "_pick.lt_counts AS lt_counts",
+            f"get({branches}, _pick.{P}) AS n_branches", f"CASE WHEN _pick IS NOT NULL THEN {base_next} + ({place}) * {wide} END AS first_child")
+        records.append(_record(dec, classes))
+        if not n_split:
             break
 
-        splits = dec.where(~F.col("is_leaf"))
-        children = []
-        if c_pos:
-            cs_nodes = splits.where(F.col("split_kind") == CONTINUOUS)
-            ch = cs_nodes.select(
-                "node_id", "path", "used", "first_child", "majority", "class_counts", "lt_counts",
-                "split_pos", "threshold", F.explode(F.array(F.lit(0), F.lit(1))).alias("branch"))
-            ge = F.zip_with("class_counts", "lt_counts", lambda a, b: a - b)
-            children.append(ch.select(
-                (F.col("first_child") + F.col("branch")).alias("node_id"),
-                F.col("node_id").alias("parent_id"), "branch",
-                F.when(F.col("branch") == 0, F.lit(">=")).otherwise(F.lit("<")).alias("branch_value"),
-                "path", "used", F.col("majority").alias("_pmaj"),
-                F.when(F.col("branch") == 0, ge).otherwise(F.col("lt_counts")).alias("_cc"),
-                F.col("split_pos").alias("_psp"), F.col("threshold").alias("_pth"),
-                F.col("first_child").alias("_pfc")))
-        if d_pos:
-            ds_nodes = splits.where(F.col("split_kind") == DISCRETE)
-            seen = vc_disc.select(F.col(G).alias("node_id"), F.col(P).alias("split_pos"),
-                                  F.col(VD).cast("int").alias("code"), F.array(*cs).alias("_cc"))
-            # one child per dictionary value: the join key (feature position) has few
-            # values, so one side must be broadcast; pick the one whose size is known small
-            lhs = ds_nodes.select("node_id", "path", "used", "first_child", "majority", "split_pos", "threshold")
-            dct = dictionary.withColumnRenamed(P, "split_pos")
-            if sum(dict_sizes.values()) <= BROADCAST_DICT:
-                ch = lhs.join(F.broadcast(dct), "split_pos")
-            else:
-                ch = dct.join(F.broadcast(lhs) if small else lhs, "split_pos")
-            ch = ch.join(seen, ["node_id", "split_pos", "code"], "left")
-            children.append(ch.select(
-                (F.col("first_child") + F.col("code")).alias("node_id"),
-                F.col("node_id").alias("parent_id"), F.col("code").alias("branch"),
-                F.col("value").alias("branch_value"), "path",
-                F.concat("used", F.array(F.col("split_pos"))).alias("used"),
-                F.col("majority").alias("_pmaj"), "_cc",
-                F.col("split_pos").alias("_psp"), F.col("threshold").alias("_pth"),
-                F.col("first_child").alias("_pfc")))
-        kids = reduce(lambda a, b: a.unionByName(b), children)
-        kids = kids.select("node_id", "parent_id", F.lit(depth + 1).alias("depth"), "branch", "branch_value",
-                           F.concat("path", F.array(F.col("node_id"))).alias("path"), "used", "_pmaj", "_cc",
-                           "_psp", "_pth", "_pfc")
         # the next frontier is written: this cuts the plan chain between levels
-        kids = scratch.cut(kids)
-        empty = kids.where(F.col("_cc").isNull())
-        records.append(empty.select(
-            "node_id", "parent_id", "depth", "branch", "branch_value", "path",
-            F.lit(True).alias("is_leaf"), F.lit("empty").alias("stop_reason"),
-            F.lit(None).cast("string").alias("split_feature"), F.lit(None).cast("string").alias("split_kind"),
-            F.lit(None).cast("int").alias("split_pos"), F.lit(None).cast("double").alias("threshold"),
-            F.lit(None).cast("double").alias("gain"), F.lit(None).cast("double").alias("gain_ratio"),
-            F.lit(None).cast("int").alias("n_branches"), F.lit(None).cast("long").alias("first_child"),
-            F.lit(0).cast("long").alias("n_rows"), F.array(*[F.lit(0).cast("long")] * k).alias("class_counts"),
-            F.lit(None).cast("string").alias("majority"), F.col("_pmaj").alias("prediction")))
-        nodes = kids.where(F.col("_cc").isNotNull()).select(
-            "node_id", "parent_id", "depth", "branch", "branch_value", "path", "used")
-        n_nodes = int(st["kids"])  # upper bound: every branch of every split node
-
-        # the parents' split as carried by their first child (every split has a
-        # branch 0): rows then depend on written data only, not on this level's plan
-        route = kids.where(F.col("branch") == 0).select(
-            F.col("parent_id").alias("node_id"), F.col("_psp").alias("split_pos"),
-            F.col("_pth").alias("threshold"), F.col("_pfc").alias("first_child"))
-        if n_split <= broadcast_nodes:
-            route = F.broadcast(route)
-        nxt = (rows.join(route, "node_id")
-               .withColumn("node_id", F.col("first_child") + branch_index(spec))
-               .drop("split_pos", "threshold", "first_child"))
+        splits = dec.where("first_child IS NOT NULL")
         depth += 1
-        vc.unpersist()
+        front = scratch.cut(_children(splits, scan.ranges, dictionary, small_dictionary, spec, k, depth, max_depth))
+        n_open, n_rows, n_large = front.agg(F.expr("count_if(stop_reason IS NULL)"), F.expr("coalesce(sum(_n) FILTER (WHERE stop_reason IS NULL), 0)"),
+                                            F.expr("coalesce(sum(_n) FILTER (WHERE _large), 0)")).first()
+        if not n_open:
+            continue
+        # taking a large child's counts from its parent shuffles histogram rows, counting it unpivots its rows
+        use_parents = n_large > 0 and (2 * scan.rows < n_large * len(spec) if subtract is None else subtract)
+        counted = "((stop_reason IS NULL OR _of_large IS NOT NULL) AND NOT _large)" if use_parents else "(stop_reason IS NULL)"
+        wanted = front.where(f"stop_reason IS NULL OR {counted}").selectExpr("node_id", f"{counted} AS _counted")
+        route = splits.select("node_id", "split_pos", "threshold", "first_child")
+        values = ["_y", *[fcol(i) for i in range(len(spec))]]
+        nxt = rows.join(sender(n_split)(route), "node_id").selectExpr(*values, f"first_child + {branch_sql(spec)} AS node_id") \
+            .join(sender(2 * n_open)(wanted), "node_id")
         if checkpoint_interval and depth % checkpoint_interval == 0:
             nxt = scratch.cut(nxt)
             rows.unpersist()
+            old_rows = None
         else:
-            # filled by the next level's histogram pass; the parent rows stay
+            # filled by the next level's histogram; the parents' rows stay
             # cached until then so that nothing is recomputed
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            prev_rows = rows
+            nxt, old_rows = nxt.persist(StorageLevel.MEMORY_AND_DISK), rows
         rows = nxt
         base_d, r_d = base_next, r_next
 
     rows.unpersist()
-    if prev_rows is not None:
-        prev_rows.unpersist()
-    tree = reduce(lambda a, b: a.unionByName(b), records)
-    tree = kept.cut(tree)
-    return TreeModel(tree, spec, classes, label, dictionary, dict_sizes, max_depth, levels)
+    if old_rows is not None:
+        old_rows.unpersist()
+    nodes = kept.cut(reduce(DataFrame.unionByName, records))
+    if scan is not None:
+        scan.close()
+    return _model(nodes, spec, classes, label, dictionary, dict_sizes, max_depth)

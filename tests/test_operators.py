@@ -46,11 +46,11 @@ def test_entropy_gain_iv_by_group(spark):
         assert iv[g] == pytest.approx(bf.split_info([n_ge, len(part) - n_ge], len(part)), abs=1e-12)
 
 
-@pytest.mark.parametrize("block_rows", [None, 2, 1_000_000])
-def test_best_threshold_matches_bruteforce(spark, block_rows):
+@pytest.mark.parametrize("range_rows", [2, 40, 1_000_000])
+def test_best_threshold_matches_bruteforce(spark, range_rows):
     rs = rows(7, 300)
     df = spark.createDataFrame(rs, "id long, g string, x double, d string, class string").repartition(9)
-    got = {r["g"]: r for r in best_threshold(df, "class", ["x"], by=["g"], block_rows=block_rows).collect()}
+    got = {r["g"]: r for r in best_threshold(df, "class", ["x"], by=["g"], range_rows=range_rows).collect()}
     for g in "xy":
         t, gain, iv, ratio, nv = bf.continuous_best([r for r in rs if r["g"] == g], "x", ["0", "1"])
         assert got[g]["threshold"] == t

@@ -77,7 +77,7 @@ def test_same_tree_any_partitioning_and_blocks(spark):
     rows = make_rows(21, 300)
     df = to_df(spark, rows)
     a = bf.canon_spark(fit(df.coalesce(1), "class", spark_spec(), max_depth=2).tree.collect())
-    b = bf.canon_spark(fit(df.repartition(13), "class", spark_spec(), block_rows=3, max_depth=2).tree.collect())
+    b = bf.canon_spark(fit(df.repartition(13), "class", spark_spec(), range_rows=3, max_depth=2).tree.collect())
     c = bf.canon_spark(fit(df.repartition(7), "class", spark_spec(), checkpoint_interval=1,
                            broadcast_nodes=0, max_depth=2).tree.collect())
     assert a == b == c
