@@ -130,41 +130,31 @@ class ThresholdScan:
     ``stats`` has a row for each (group, feature); ``candidates`` one for each
     threshold. Both read the cached ``ranges``; ``close`` lets them go."""
 
-    def __init__(self, counts: DataFrame, k: int, discrete: list[int], rows: int | None = None, range_rows: int = RANGE_ROWS):
-        """``rows``: a bound on the rows of ``counts`` if one is known; without
-        one, or beyond ``range_rows``, they are cached and counted."""
+    def __init__(self, counts: DataFrame, k: int, discrete: list[int], rows: int, range_rows: int = RANGE_ROWS):
+        """``rows``: a bound on the rows of ``counts``."""
         self.k, self.discrete = k, sorted(discrete)
         self.group = counts.schema[G].dataType
-        self.own: list[DataFrame] = []
-        if rows is None or rows > range_rows:
-            counts = self._held(counts)
-            rows = counts.count()
-        self.rows = rows
         order = [G, P, *([VS] if VS in counts.columns else []), VD]
         self.n = n_ranges(counts.sparkSession, rows, range_rows)
-        self.ranges = self._held(in_ranges(counts, order, self.n))
+        self.ranges = in_ranges(counts, order, self.n).persist(StorageLevel.MEMORY_AND_DISK)
         struct = self.group.typeName() == "struct"
         fields = self.group.fields if struct else [None]
         self.keys = [f"_k{i}" for i in range(len(fields))]
         self.kinds = [f.dataType.simpleString() if f else self.group.simpleString() for f in fields]
         flat = [F.col(f"{G}.`{f.name}`" if f else G).alias(n) for f, n in zip(fields, self.keys)]
         self.flat = self.ranges.select(*flat, F.col(P), F.col(VD), *[f"c{i}" for i in range(k)], R)
-        self.carries = self._carries() if self.n > 1 else {}
-
-    def _held(self, df: DataFrame) -> DataFrame:
-        self.own.append(df.persist(StorageLevel.MEMORY_AND_DISK))
-        return df
+        self.carries, self.sizes = self._carries() if self.n > 1 else ({}, None)
 
     def close(self) -> None:
-        while self.own:
-            self.own.pop().unpersist()
+        self.ranges.unpersist()
 
-    def _carries(self) -> dict[int, Carry]:
+    def _carries(self) -> tuple[dict[int, Carry], dict[int, int]]:
+        """The carry of each range, and the rows of each feature."""
         n_keys, k = len(self.keys), self.k
 
         def summary(batches):
             head = tail = value = totals = number = before = None
-            sums, one = np.zeros(k, np.int64), True
+            sums, one, rows = np.zeros(k, np.int64), True, np.zeros(0, np.int64)
             for b in batches:
                 if not len(b):
                     continue
@@ -176,18 +166,26 @@ class ThresholdScan:
                 c, begins = _counts(b, n_keys), np.flatnonzero(pair)
                 one &= not len(begins)
                 sums = c[begins[-1]:].sum(axis=0) if len(begins) else sums + c.sum(axis=0)
-                is_total = np.flatnonzero(b.column(n_keys).to_numpy() == TOTALS)
+                p = b.column(n_keys).to_numpy()
+                is_total = np.flatnonzero(p == TOTALS)
+                more = np.bincount(p - TOTALS, minlength=len(rows))
+                more[:len(rows)] += rows
+                rows = more
                 totals = c[is_total[-1]].tolist() if len(is_total) else totals
                 before = b.slice(len(b) - 1)
             if head is not None:
                 tail = [repr(before.column(i)[0].as_py()) for i in range(n_keys + 1)]
-                yield pa.RecordBatch.from_pydict({R: [number], "head": [head], "tail": [tail], "value": [value], "sums": [sums.tolist()], "one": [one], "totals": [totals]}, schema)
+                yield pa.RecordBatch.from_pydict({R: [number], "head": [head], "tail": [tail], "value": [value], "sums": [sums.tolist()], "one": [one], "totals": [totals], "rows": [rows.tolist()]}, schema)
 
         strings, longs = pa.list_(pa.string()), pa.list_(pa.int64())
-        schema = pa.schema([(R, pa.int32()), ("head", strings), ("tail", strings), ("value", pa.float64()), ("sums", longs), ("one", pa.bool_()), ("totals", longs)])
+        schema = pa.schema([(R, pa.int32()), ("head", strings), ("tail", strings), ("value", pa.float64()), ("sums", longs), ("one", pa.bool_()), ("totals", longs), ("rows", longs)])
         seen = self.flat.mapInArrow(
-            summary, f"{R} int, head array<string>, tail array<string>, value double, sums array<long>, one boolean, totals array<long>")
-        return carries(seen.collect(), n_keys, k)       # one row for each range
+            summary, f"{R} int, head array<string>, tail array<string>, value double, sums array<long>, one boolean, totals array<long>, rows array<long>").collect()
+        sizes: dict[int, int] = {}
+        for s in seen:          # one row for each range
+            for i, n in enumerate(s["rows"]):
+                sizes[i + TOTALS] = sizes.get(i + TOTALS, 0) + n
+        return carries(seen, n_keys, k), sizes
 
     def _scan(self, emit, schema: str) -> DataFrame:
         """``emit`` gets, for rows in order: the batch, their running and total

@@ -37,12 +37,13 @@ def cnames(k: int) -> list[str]:
 # ---------------------------------------------------------------------------
 
 def value_class_counts(df: DataFrame, key: Column, y: Column, feats: list[tuple[int, str, str]],
-                       k: int, with_totals: bool = True, coded: bool = False) -> DataFrame:
+                       k: int, with_totals: bool = True, coded: bool = False, only: str | None = None, always: tuple = ()) -> DataFrame:
     """(_g, _p, _vs, _vd, c0..c{k-1}): rows per class for every distinct value
     of every feature in every group.  ``feats`` holds (position, column, kind).
     Discrete values are kept as text in ``_vs`` (with ``coded`` they are
     dictionary codes in ``_vd`` and there is no ``_vs``), continuous ones in ``_vd``.  With ``with_totals`` the pseudo feature ``TOTALS`` carries the
-    class totals of each group."""
+    class totals of each group.  With ``only`` (a condition on the rows) other
+    rows count for the feature positions ``always`` alone."""
     row = lambda pos, vs, vd: f"named_struct('{P}', {pos}" + ("" if coded else f", '{VS}', {vs}") + f", '{VD}', {vd})"
     none = ("CAST(NULL AS STRING)", "CAST(NULL AS DOUBLE)")
     each = []
@@ -52,8 +53,11 @@ def value_class_counts(df: DataFrame, key: Column, y: Column, feats: list[tuple[
         each.append(row(pos, f"CAST({col} AS STRING)" if text else none[0], none[1] if text else f"CAST({col} AS DOUBLE)"))
     if with_totals:
         each.append(row(TOTALS, *none))
+    if only is not None:
+        at = [pos for pos, _, _ in feats] + [TOTALS]
+        each = [e if pos in always else f"CASE WHEN {only} THEN {e} END" for pos, e in zip(at, each)]
     wide = df.select(key.alias(G), y.alias(Y), *[F.expr(e).alias(f"_s{i}") for i, e in enumerate(each)])
-    long = wide.unpivot([G, Y], [f"_s{i}" for i in range(len(each))], "_f", "_s").selectExpr(G, Y, "_s.*")
+    long = wide.unpivot([G, Y], [f"_s{i}" for i in range(len(each))], "_f", "_s").where("_s IS NOT NULL").selectExpr(G, Y, "_s.*")
     return long.groupBy(G, P, *([] if coded else [VS]), VD).agg(*[F.expr(f"count_if({Y} = {i}) AS {c}") for i, c in enumerate(cnames(k))])
 
 
@@ -157,10 +161,11 @@ def _expand_key(df: DataFrame, by: list[str]) -> DataFrame:
     return df.select(*[F.col(f"{G}.{b}").alias(b) for b in by], *rest)
 
 
-def _scanned(scan: ThresholdScan, rows) -> DataFrame:
-    """What ``rows`` takes from the scan, written, as the scan's ranges go."""
+def _scanned(counts: DataFrame, k: int, discrete: list[int], rows: int, range_rows: int, take) -> DataFrame:
+    """What ``take`` gets from the scan, written, as the scan's ranges go."""
+    scan = ThresholdScan(counts, k, discrete, rows, range_rows)
     try:
-        return cut_lineage(rows(scan))
+        return cut_lineage(take(scan))
     finally:
         scan.close()
 
@@ -195,7 +200,7 @@ def split_candidates(df: DataFrame, label: str, spec, by: list[str] | None = Non
     if len(d_pos) == len(spec):
         out = discrete_stats(vc, k).withColumn("threshold", F.lit(None).cast("double"))
     else:
-        out = _scanned(ThresholdScan(vc, k, d_pos, range_rows=range_rows), ThresholdScan.stats).where(F.col("gain").isNotNull())
+        out = _scanned(vc, k, d_pos, df.count() * (len(spec) + 1), range_rows, ThresholdScan.stats).where(F.col("gain").isNotNull())
     out = out.withColumnsRenamed({"iv": "intrinsic_value", "ratio": "gain_ratio"}) \
         .withColumn("n", F.aggregate("class_counts", F.lit(0).cast("long"), lambda a, x: a + x))
     out = out.select(G, P, F.element_at(names, F.col(P) + 1).alias("feature"),
@@ -238,7 +243,7 @@ def best_threshold(df: DataFrame, label: str, features, by: list[str] | None = N
     k = len(classes)
     feats = [(i, n, CONTINUOUS) for i, n in enumerate(names)]
     vc = value_class_counts(df, _group_key(by), known_label(label, classes), feats, k)
-    cb = _scanned(ThresholdScan(vc, k, [], range_rows=range_rows), ThresholdScan.stats).where(F.col("threshold").isNotNull()) \
+    cb = _scanned(vc, k, [], df.count() * (len(names) + 1), range_rows, ThresholdScan.stats).where(F.col("threshold").isNotNull()) \
         .withColumn("n_candidates", F.col("n_values") - 1)
     arr = F.array(*[F.lit(n) for n in names])
     out = cb.select(G, F.element_at(arr, F.col(P) + 1).alias("feature"), "threshold", "gain",
@@ -258,7 +263,7 @@ def all_thresholds(df: DataFrame, label: str, features, by: list[str] | None = N
     k = len(classes)
     feats = [(i, n, CONTINUOUS) for i, n in enumerate(names)]
     vc = value_class_counts(df, _group_key(by), known_label(label, classes), feats, k)
-    th = _scanned(ThresholdScan(vc, k, [], range_rows=range_rows), ThresholdScan.candidates)
+    th = _scanned(vc, k, [], df.count() * (len(names) + 1), range_rows, ThresholdScan.candidates)
     arr = F.array(*[F.lit(n) for n in names])
     out = th.select(G, F.element_at(arr, F.col(P) + 1).alias("feature"), F.col(VD).alias("value"),
                     F.col("_next").alias("next_value"), "threshold", "gain",

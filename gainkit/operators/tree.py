@@ -48,6 +48,7 @@ from gainkit.spec import CONTINUOUS, DISCRETE, FeatureSpec, check_spec, infer_sp
 ID_LIMIT = 1 << 62
 BROADCAST_NODES = 500_000       # nodes sent to every task at most,
 BROADCAST_BYTES = 64_000_000    # and bytes of them
+SAVED_ROWS = 5_000_000          # additions that make histograms by subtraction worth their extra steps
 BROADCAST_DICT = 1_000_000      # values of one discrete feature sent to every task at most
 
 TREE_COLUMNS = [
@@ -297,21 +298,35 @@ def _with_sizes(kids: DataFrame, max_depth: int) -> DataFrame:
         .selectExpr("*", "max(CASE WHEN _large THEN node_id END) OVER (PARTITION BY parent_id) AS _of_large")
 
 
-def _level_counts(rows: DataFrame, feats, k: int, front: DataFrame, before: DataFrame, send, own: list) -> DataFrame:
-    """The histogram of a level's open nodes: counted from the rows flagged so,
-    and for each large child its parent's (in ``before``) minus its siblings'."""
-    cs = cnames(k)
-    counted = value_class_counts(rows.where("_counted"), F.col("node_id"), F.col("_y"), feats, k, coded=True).persist(StorageLevel.MEMORY_AND_DISK)
+def _level_counts(rows: DataFrame, feats, k: int, front: DataFrame, before: DataFrame, taken: list[int], send, own: list) -> DataFrame:
+    """The histogram of a level's open nodes. For the feature positions
+    ``taken``, only the rows flagged so are counted: a large child has its
+    parent's counts (in ``before``) minus its siblings'."""
+    cs, of = cnames(k), f"{P} IN ({', '.join(map(str, taken))})"
+    counted = value_class_counts(rows, F.col("node_id"), F.col("_y"), feats, k, coded=True, only="_counted",
+                                 always=tuple(i for i, _, _ in feats if i not in taken)).persist(StorageLevel.MEMORY_AND_DISK)
     own.append(counted)
-    open_ = front.where("stop_reason IS NULL AND NOT _large").selectExpr(f"node_id AS {G}")
+    open_ = front.where("stop_reason IS NULL").selectExpr(f"node_id AS {G}")
     parents = front.where("_large").selectExpr(f"parent_id AS {G}", "node_id AS _to")
     siblings = front.where("_of_large IS NOT NULL AND NOT _large").selectExpr(f"node_id AS {G}", "_of_large AS _to")
-    moved = lambda df, to, sign: df.join(send(to), G).selectExpr(f"_to AS {G}", P, VD, *[f"{sign}{c} AS {c}" for c in cs])
+    moved = lambda df, to, sign: df.where(of).join(send(to), G).selectExpr(f"_to AS {G}", P, VD, *[f"{sign}{c} AS {c}" for c in cs])
     rest = moved(before.select(G, P, VD, *cs), parents, "").unionByName(moved(counted, siblings, "-")) \
         .groupBy(G, P, VD).agg(*[F.expr(f"sum({c}) AS {c}") for c in cs]).where(" + ".join(cs) + " > 0")
     return counted.join(send(open_), G, "left_semi").select(G, P, VD, *cs).unionByName(rest)
 
 
+def _taken(sizes: dict[int, int] | None, n_large: int, n_features: int, subtract: bool | None) -> list[int]:
+    """The features (and the totals) whose counts large children take from
+    their parents: those with few histogram rows for the rows it saves, as
+    histogram rows are shuffled once more. Both ways give the same counts;
+    below ``SAVED_ROWS`` additions in all, the extra steps cost more."""
+    every = [-1, *range(n_features)]
+    if subtract is not None or not n_large or sizes is None:
+        return every if subtract and n_large else []
+    few = [i for i in every if 2 * sizes.get(i, 0) < n_large]
+    return few if sum(n_large - 2 * sizes.get(i, 0) for i in few) >= SAVED_ROWS else []
+
+
 def _grow(df, label, spec, classes, max_depth, stop_rule, handle_null, range_rows, checkpoint_interval,
           broadcast_nodes, id_limit, subtract, scratch: Scratch, kept: Scratch) -> TreeModel:
     spark = df.sparkSession
@@ -352,7 +367,7 @@ def _grow(df, label, spec, classes, max_depth, stop_rule, handle_null, range_row
     n_rows, n_open = sum(by_class.values()), 1
     base_d, r_d, depth = 0, 1, 0
     records: list[DataFrame] = []
-    scan, old_rows, use_parents = None, None, False
+    scan, old_rows, taken = None, None, []
     while True:
         records.append(_record(front.where("stop_reason IS NOT NULL"), classes))
         nodes = front.where("stop_reason IS NULL").select(*FRONTIER)
@@ -362,11 +377,11 @@ def _grow(df, label, spec, classes, max_depth, stop_rule, handle_null, range_row
             records.append(_record(nodes.withColumn("stop_reason", F.lit("no_candidate")), classes))
             break
         own: list[DataFrame] = []
-        if use_parents:
-            counts = _level_counts(rows, feats, k, front, scan.ranges, sender(n_open), own)
+        if taken:
+            counts = _level_counts(rows, feats, k, front, scan.ranges, taken, sender(n_open), own)
         else:
             counts = value_class_counts(rows, F.col("node_id"), F.col("_y"), feats, k, coded=True)
-        above, scan = scan, ThresholdScan(counts, k, d_pos, n_rows * len(spec) + n_open, range_rows)
+        above, scan = scan, ThresholdScan(counts, k, d_pos, n_rows * (len(spec) + 1), range_rows)
         # written: the later steps of the level and the final tree read it
         dec = scratch.cut(_decided(scan.stats(), nodes, stop_rule, sender(n_open)))
         for done in own:
@@ -401,9 +416,8 @@ def _grow(df, label, spec, classes, max_depth, stop_rule, handle_null, range_row
                                             F.expr("coalesce(sum(_n) FILTER (WHERE _large), 0)")).first()
         if not n_open:
             continue
-        # taking a large child's counts from its parent shuffles histogram rows, counting it unpivots its rows
-        use_parents = n_large > 0 and (2 * scan.rows < n_large * len(spec) if subtract is None else subtract)
-        counted = "((stop_reason IS NULL OR _of_large IS NOT NULL) AND NOT _large)" if use_parents else "(stop_reason IS NULL)"
+        taken = _taken(scan.sizes, n_large, len(spec), subtract)
+        counted = "((stop_reason IS NULL OR _of_large IS NOT NULL) AND NOT _large)" if taken else "(stop_reason IS NULL)"
         wanted = front.where(f"stop_reason IS NULL OR {counted}").selectExpr("node_id", f"{counted} AS _counted")
         route = splits.select("node_id", "split_pos", "threshold", "first_child")
         values = ["_y", *[fcol(i) for i in range(len(spec))]]

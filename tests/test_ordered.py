@@ -57,7 +57,7 @@ def test_a_hot_feature_is_dealt_to_many_ranges(spark):
     """One feature of one group: no task gets all of it, and the ranges agree with one."""
     rows = spark.range(30_000).select(((F.col("id") * 7919) % 30_011).cast("double").alias("x"), (F.xxhash64("id") % 2 == 0).cast("int").alias("_y"))
     counts = value_class_counts(rows, F.lit(0).cast("long"), F.col("_y"), [(0, "x", "continuous")], 2)
-    many, one = ThresholdScan(counts, 2, [], range_rows=5_000), ThresholdScan(counts, 2, [])
+    many, one = ThresholdScan(counts, 2, [], 30_001, range_rows=5_000), ThresholdScan(counts, 2, [], 30_001)
     sizes = [r["count"] for r in many.ranges.groupBy("_r").count().collect()]
     assert len(sizes) == 7 and max(sizes) < 10_000
     assert one.n == 2
