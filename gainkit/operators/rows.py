@@ -8,6 +8,28 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gainkit.operators.ordered import numbered
+
+
+def rank_index(df: DataFrame, order: list, name: str = "row_number") -> DataFrame:
+    """B1: the table with 0-based row numbers over ``order`` (columns or sort
+    expressions), from the sizes of sorted ranges: no window over the table.
+    Written once, so any number of ranges can be read from it."""
+    return numbered(df, order, name)
+
+
+def rows_at(df: DataFrame, order: list, begin: int, end: int, name: str | None = None) -> DataFrame:
+    """The rows at positions [begin, end) of ``order``; with ``name`` their
+    positions too. For many ranges of one table keep its :func:`rank_index`."""
+    at = name or "_at"
+    found = rank_index(df, order, at).where((F.col(at) >= F.lit(begin)) & (F.col(at) < F.lit(end)))
+    return found if name else found.drop(at)
+
+
+def preview(df: DataFrame, n: int = 20, order: list | None = None) -> DataFrame:
+    """The first ``n`` rows of ``order``, as a table; any rows without one."""
+    return (df.orderBy(*order) if order else df).limit(n)
+
 
 def row_range(df: DataFrame, begin: int, end: int, index: str = "index") -> DataFrame:
     """Half-open range [begin, end) of an index column (pushed to the scan)."""

@@ -134,15 +134,18 @@ def known_label(label: str, classes: list[str]) -> Column:
         F.concat(F.lit(f"{label}: label outside the {len(classes)} classes: "), name)).cast("int"))
 
 
-def without_nulls(df: DataFrame, features: list[str], handle_null: str) -> DataFrame:
+def without_nulls(df: DataFrame, features: list[str], handle_null: str, discrete: list[str] = ()) -> DataFrame:
     """Null features by the rule of ``fit``: 'error' fails the query, 'drop'
-    leaves out rows with a null in any of them."""
-    if handle_null not in ("error", "drop"):
-        raise ValueError("handle_null must be 'error' or 'drop'")
+    leaves out rows with a null in any of them, 'bucket' keeps nulls of the
+    ``discrete`` ones as a value and fails for others."""
+    if handle_null not in ("error", "drop", "bucket"):
+        raise ValueError("handle_null must be 'error', 'drop' or 'bucket'")
     features = list(dict.fromkeys(features))
     if handle_null == "drop":
         return df.dropna(subset=features)
     for f in features:
+        if handle_null == "bucket" and f in discrete:
+            continue
         stop = F.raise_error(F.lit(f"{f}: null feature; use handle_null='drop' or clean the input")).cast(df.schema[f].dataType)
         df = df.withColumn(f, F.coalesce(F.col(f), stop))
     return df
@@ -189,7 +192,7 @@ def split_candidates(df: DataFrame, label: str, spec, by: list[str] | None = Non
     (``_p``) stay in, as :func:`rank_splits` needs them."""
     by = list(by or [])
     spec = _normalise_spec(spec)
-    df = without_nulls(df, [s.name for s in spec], handle_null)
+    df = without_nulls(df, [s.name for s in spec], handle_null, [s.name for s in spec if s.discrete])
     classes = labels_of(df, label, classes)
     k = len(classes)
     feats = [(i, s.name, s.kind) for i, s in enumerate(spec)]

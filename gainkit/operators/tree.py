@@ -139,9 +139,10 @@ def fcol(pos: int) -> str:
     return f"_f{pos}"
 
 
-def build_dictionary(df: DataFrame, spec: list[FeatureSpec], scratch: Scratch | None = None) -> DataFrame:
+def build_dictionary(df: DataFrame, spec: list[FeatureSpec], scratch: Scratch | None = None, nulls: bool = False) -> DataFrame:
     """(_p, value, code) for every discrete feature; codes follow value
-    order. The values of all features are numbered in one order over ranges."""
+    order, with ``nulls`` a null is the last value. The values of all features
+    are numbered in one order over ranges."""
     d_pos = [i for i, s in enumerate(spec) if s.discrete]
     spark = df.sparkSession
     if not d_pos:
@@ -149,16 +150,16 @@ def build_dictionary(df: DataFrame, spec: list[FeatureSpec], scratch: Scratch |
     structs = [F.struct(F.lit(i).alias(P), F.col(spec[i].name).cast("string").alias("value")).alias(f"_d{i}")
                for i in d_pos]
     vals = (df.select(*structs).unpivot([], [f"_d{i}" for i in d_pos], "_f", "_s")
-            .select("_s.*").where(F.col("value").isNotNull()).distinct())
-    placed = numbered(vals, [P, "value"], "_n", scratch)
+            .select("_s.*").where(F.lit(nulls) | F.col("value").isNotNull()).distinct())
+    placed = numbered(vals, [P, F.col("value").asc_nulls_last()], "_n", scratch)
     first = placed.groupBy(P).agg(F.min("_n").alias("_first"))      # a row for each discrete feature
     return placed.join(F.broadcast(first), P).select(P, "value", (F.col("_n") - F.col("_first")).cast("int").alias("code"))
 
 
 def encode_features(df: DataFrame, spec: list[FeatureSpec], dictionary: DataFrame,
                     dict_sizes: dict, keep: list[str] | None = None) -> DataFrame:
-    """Rename features to f{pos}: discrete -> int code (null when unseen),
-    continuous -> double.  ``keep`` columns are carried along."""
+    """Rename features to f{pos}: discrete -> int code (null when unseen, as a
+    null is unless training kept nulls), continuous -> double.  ``keep`` columns are carried along."""
     keep = list(keep or [])
     out = df.select(*keep, *[F.col(s.name).alias(fcol(i)) for i, s in enumerate(spec)])
     for i, s in enumerate(spec):
@@ -170,7 +171,7 @@ def encode_features(df: DataFrame, spec: list[FeatureSpec], dictionary: DataFram
         if dict_sizes.get(i, 0) <= BROADCAST_DICT:
             d = F.broadcast(d)
         out = (out.withColumn(c, F.col(c).cast("string"))
-               .join(d, F.col(c) == F.col("_dv"), "left")
+               .join(d, F.col(c).eqNullSafe(F.col("_dv")), "left")
                .withColumn(c, F.col("_dc")).drop("_dv", "_dc"))
     return out
 
@@ -199,8 +200,8 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
     children's histograms are taken from their parents' (None: by cost)."""
     if stop_rule not in ("first_constant", "all_constant"):
         raise ValueError("stop_rule must be 'first_constant' or 'all_constant'")
-    if handle_null not in ("error", "drop"):
-        raise ValueError("handle_null must be 'error' or 'drop'")
+    if handle_null not in ("error", "drop", "bucket"):
+        raise ValueError("handle_null must be 'error', 'drop' or 'bucket'")
     spec = list(spec) if spec is not None else infer_spec(df, label)
     spec = [s if isinstance(s, FeatureSpec) else FeatureSpec(s, CONTINUOUS) for s in spec]
     check_spec(df, label, spec)
@@ -336,7 +337,7 @@ def _grow(df, label, spec, classes, max_depth, stop_rule, handle_null, range_row
     classes = labels_of(base, "_label", classes)
     k = len(classes)
 
-    dictionary = kept.cut(build_dictionary(base, spec, scratch))
+    dictionary = kept.cut(build_dictionary(base, spec, scratch, handle_null == "bucket"))
     dict_sizes = {r[P]: r["n"] for r in dictionary.groupBy(P).agg(F.count(F.lit(1)).alias("n")).collect()}
     small_dictionary = sum(dict_sizes.values()) <= BROADCAST_DICT
 
@@ -348,7 +349,7 @@ def _grow(df, label, spec, classes, max_depth, stop_rule, handle_null, range_row
     if n_bad:
         rows.unpersist()
         raise ValueError(f"{n_bad} rows have a null feature or a label outside {classes}; "
-                         "use handle_null='drop' or clean the input")
+                         "use handle_null='drop' (or 'bucket' for discrete features) or clean the input")
 
     feats = [(i, fcol(i), s.kind) for i, s in enumerate(spec)]
     d_pos = [i for i, s in enumerate(spec) if s.discrete]

@@ -17,12 +17,14 @@ from gainkit.functions.measures import REPORT_DIGITS as RD
 from gainkit.operators.aggregates import majority_class
 from gainkit.operators.impurity import entropy, gain_ratio, intrinsic_value
 from gainkit.operators.rows import (cast_columns, drop_header_rows, horizontal_sum, parse_flag, project_ordinals,
-                                    rename_positional, replicate, row_range, union_rows)
+                                    preview, rename_positional, replicate, row_range, rows_at, union_rows)
 from gainkit.operators.sampling import exact_rank, exact_split, hash_side, kfold_assign
-from gainkit.operators.split_search import best_split, best_threshold
+from gainkit.operators.split_search import all_thresholds, best_split, best_threshold
+from gainkit.operators.tree import build_dictionary
 from gainkit.plans import oracle as O
 from gainkit.plans.views import VIEWS, load_view
 from gainkit.sources.tables import read_table
+from gainkit.spec import DISCRETE, FeatureSpec
 
 BIN = ["0", "1"]
 FLAGS = ["A", "N", "R"]
@@ -436,7 +438,52 @@ SQL_INVERSE_SCALED = SQL_EVENTS_SCALED + " SELECT event_id, round(k_scaled * sk
 
 # ---------------------------------------------------------------------------
 
+# --- rows by position, previews, dictionaries, every threshold ---------------
+
+def q_rows_at(spark, sf):
+    """B1: positions [100, 5000) of the orders, dearest first."""
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return rows_at(o, [F.desc("o_totalprice"), F.col("o_orderkey")], 100, 5000, "position")
+
+
+SQL_ROWS_AT = ("SELECT * FROM (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS position FROM orders) "
+               "WHERE position >= 100 AND position < 5000")
+
+
+def q_preview(spark, sf):
+    """The 20 latest events."""
+    return preview(read_table(spark, sf, "events").select("event_id", "event_type", "value"), 20, [F.desc("event_id")])
+
+
+SQL_PREVIEW = "SELECT event_id, event_type, value FROM events ORDER BY event_id DESC LIMIT 20"
+
+
+def q_dictionary(spark, sf):
+    """Codes of every order key (as text) and every return flag, in value order."""
+    spec = [FeatureSpec("l_orderkey", DISCRETE), FeatureSpec("l_returnflag", DISCRETE)]
+    d = build_dictionary(read_table(spark, sf, "lineitem"), spec)
+    return d.select(F.when(F.col("_p") == 0, "l_orderkey").otherwise("l_returnflag").alias("feature"), "value", "code")
+
+
+SQL_DICTIONARY = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, v AS value, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM lineitem)"
+    for c in ("l_orderkey", "l_returnflag"))
+
+
+def q_all_thresholds(spark, sf):
+    """Every threshold of two features of the rule view, one with nearly as many values as rows."""
+    t = all_thresholds(load_view(spark, sf, "v_rule"), "class", ["l_extendedprice", "l_tax"], classes=BIN)
+    return t.select("feature", "value", "next_value", "threshold", _r("gain"), _r("intrinsic_value"), _r("gain_ratio"))
+
+
+SQL_ALL_THRESHOLDS = O.all_thresholds_sql(VIEWS["v_rule"].sql, ["l_extendedprice", "l_tax"], BIN)
+
+
 QUERIES = {
+    "a6_preview": (q_preview, SQL_PREVIEW),
+    "b1_rows_at": (q_rows_at, SQL_ROWS_AT),
+    "f1_dictionary_codes": (q_dictionary, SQL_DICTIONARY),
+    "e7_all_thresholds": (q_all_thresholds, SQL_ALL_THRESHOLDS),
     "e1_entropy": (q_entropy, SQL_ENTROPY),
     "e2_info_gain": (q_info_gain, SQL_INFO_GAIN),
     "e3_info_gain_threshold": (q_info_gain_threshold, SQL_INFO_GAIN_THRESHOLD),

@@ -106,6 +106,13 @@ def best_threshold_sql(src, by, features, classes) -> str:
             f"n_values - 1 AS n_candidates FROM cands")
 
 
+def all_thresholds_sql(src, features, classes) -> str:
+    head = candidates_sql(src, [], [(f, "continuous") for f in features], classes)
+    return head + "\n" + " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, v AS value, nxt AS next_value, threshold, round(gain, {RD}) AS gain, round(iv, {RD}) AS intrinsic_value, "
+        f"round(CASE WHEN iv > 0 THEN gain / iv ELSE 0 END, {RD}) AS gain_ratio FROM th{p}" for p, f in enumerate(features))
+
+
 def entropy_sql(src, by) -> str:
     return (f"WITH src AS ({src}), c AS (SELECT {_sel(by, 'class, count(*) AS n')} FROM src GROUP BY ALL)\n"
             f"SELECT {_sel(by, 'CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_classes')}, "

@@ -16,7 +16,7 @@ def _branch(spec, rows: str, split: str) -> tuple[str, str]:
     joins, cases = [], []
     for p, (name, kind) in enumerate(spec):
         if kind == "discrete":
-            joins.append(f"LEFT JOIN dict{p} ON CAST({rows}.{name} AS VARCHAR) = dict{p}.v")
+            joins.append(f"LEFT JOIN dict{p} ON CAST({rows}.{name} AS VARCHAR) IS NOT DISTINCT FROM dict{p}.v")
             cases.append(f"WHEN {p} THEN dict{p}.code")
         else:
             cases.append(f"WHEN {p} THEN CASE WHEN {rows}.{name} >= {split}.threshold THEN 0 WHEN {rows}.{name} < {split}.threshold THEN 1 END")
@@ -31,7 +31,7 @@ def _levels(src: str, spec, classes, max_depth: int) -> list[str]:
     out = [f"src AS MATERIALIZED ({src})"]
     for p, (name, kind) in enumerate(spec):
         if kind == "discrete":
-            out.append(f"dict{p} AS MATERIALIZED (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code "
+            out.append(f"dict{p} AS MATERIALIZED (SELECT v, CAST(row_number() OVER (ORDER BY v NULLS LAST) - 1 AS INTEGER) AS code "
                        f"FROM (SELECT DISTINCT CAST({name} AS VARCHAR) AS v FROM src))")
     out.append(f"r0 AS MATERIALIZED (SELECT '0' AS node, 0 AS used, class, {', '.join(names)} FROM src)")
     for d in range(max_depth + 2):
@@ -47,7 +47,7 @@ def _levels(src: str, spec, classes, max_depth: int) -> list[str]:
         out.append(f"m{d} AS (SELECT x.*, avg(round(gain, 12)) OVER (PARTITION BY x.node) AS mean_gain FROM candsx{d}_ x JOIN k{d} k ON x.node = k.node WHERE {left})")
         out.append(f"q{d} AS (SELECT *, round(gain, 12) >= round(mean_gain, 12) AS qualified FROM m{d})")
         out.append(f"c{d} AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY node ORDER BY qualified DESC, round(ratio, 12) DESC, p DESC) AS rk FROM q{d})")
-        values = " UNION ALL ".join(f"SELECT node, {p} AS p, count(DISTINCT {n}) AS nv FROM o{d} GROUP BY node" for p, n in enumerate(names))
+        values = " UNION ALL ".join(f"SELECT node, {p} AS p, count(DISTINCT {n}) + CAST(count({n}) < count(*) AS INTEGER) AS nv FROM o{d} GROUP BY node" for p, n in enumerate(names))
         out.append(f"v{d} AS (SELECT x.node, arg_min(x.nv, x.p) AS first_nv FROM ({values}) x JOIN k{d} k ON x.node = k.node WHERE {left} GROUP BY x.node)")
         stop = f"coalesce({settled}, CASE WHEN v.first_nv = 1 THEN 'constant' WHEN c.p IS NULL THEN 'no_candidate' END)"
         pick = ", ".join(f"CASE WHEN {stop} IS NULL THEN c.{x} END AS {x}" for x in ("p", "feature", "threshold", "gain", "ratio"))
@@ -76,6 +76,18 @@ def tree_sql(src: str, spec, classes, max_depth: int = LEVELS - 1) -> str:
     return "WITH " + ",\n".join(_levels(src, spec, classes, max_depth)) + "\n" + "\nUNION ALL\n".join(rows)
 
 
+def branch_values_sql(src: str, spec, classes, max_depth: int) -> str:
+    """Nodes with the value of the branch that leads to them: (path,
+    branch_value, is_leaf, stop_reason, split_feature, threshold, n_rows, prediction)."""
+    last = "CAST(regexp_extract(t.path, '([0-9]+)$', 1) AS INTEGER)"
+    parents = " UNION ALL ".join(f"SELECT node, p FROM n{d}" for d in range(max_depth + 2))
+    values = " ".join(f"WHEN a.p = {p} THEN " + (f"(SELECT v FROM dict{p} WHERE code = {last})" if kind == "discrete" else f"CASE WHEN {last} = 0 THEN '>=' ELSE '<' END")
+                      for p, (_, kind) in enumerate(spec))
+    with_, body = tree_sql(src, spec, classes, max_depth).split("\nSELECT node AS path", 1)
+    return (f"{with_},\nwhole AS (SELECT node AS path{body}),\nparents AS ({parents})\nSELECT t.path, CASE {values} END AS branch_value, t.is_leaf, t.stop_reason, "
+            "t.split_feature, t.threshold, t.n_rows, t.prediction FROM whole t LEFT JOIN parents a ON a.node = regexp_replace(t.path, '[.][0-9]+$', '') AND t.path <> '0'")
+
+
 def ledger_sql(src: str, spec, classes, max_depth: int = LEVELS - 1) -> str:
     """The candidates of all nodes: (path, depth, rank, feature, kind, threshold,
     gain, intrinsic_value, gain_ratio, n_values, mean_gain, qualified, chosen)."""
@@ -85,7 +97,7 @@ def ledger_sql(src: str, spec, classes, max_depth: int = LEVELS - 1) -> str:
     return "WITH " + ",\n".join(_levels(src, spec, classes, max_depth)) + "\n" + "\nUNION ALL\n".join(rows)
 
 
-def predictions_sql(src: str, test: str, key: str, spec, classes, max_depth: int = LEVELS - 1, head: str = "") -> str:
+def predictions_sql(src: str, test: str, key: str, spec, classes, max_depth: int = LEVELS - 1) -> str:
     """(key, class, path, prediction) of every row of ``test``: where it stopped
     in the tree of ``src``. An unseen value stops at an inner node and has no
     prediction; a value without rows at its node has the node's majority."""

@@ -154,6 +154,20 @@ def _full_tree(name):
     return q
 
 
+def _null_bucket(name, max_depth):
+    def q(spark, sf):
+        m = fit(load_view(spark, sf, name), "class", list(VIEWS[name].spec), classes=BIN, max_depth=max_depth, handle_null="bucket")
+        tree = m.tree
+        return tree.join(branch_paths(m, tree), "node_id").select(
+            F.col("path_of").alias("path"), "branch_value", "is_leaf", "stop_reason", "split_feature", "threshold", "n_rows", "prediction")
+    q.__doc__ = f"F6 with handle_null='bucket': the tree of the {name} view, whose discrete features have nulls."
+    return q
+
+
+def _null_bucket_sql(name, max_depth):
+    return OT.branch_values_sql(VIEWS[name].sql, _tuples(name), BIN, max_depth)
+
+
 def _ledger(name):
     def q(spark, sf):
         m = fit(load_view(spark, sf, name), "class", list(VIEWS[name].spec), classes=BIN)
@@ -170,11 +184,11 @@ def _sides_sql(name):
     return (f"SELECT * FROM ({VIEWS[name].sql}) WHERE {side}", f"SELECT * FROM ({VIEWS[name].sql}) WHERE NOT ({side})")
 
 
-def _predictions(name):
+def _predictions(name, **options):
     def q(spark, sf):
         key = VIEWS[name].key
         train, test = hash_split(load_view(spark, sf, name), key, (4, 1), 100)
-        m = fit(train, "class", list(VIEWS[name].spec), classes=BIN)
+        m = fit(train, "class", list(VIEWS[name].spec), classes=BIN, **options)
         scored = route(m, test, keep=[key, "class"])
         tree = m.tree
         return scored.join(branch_paths(m, tree), "node_id").select(key, "class", F.col("path_of").alias("path"), "prediction")
@@ -226,6 +240,8 @@ TREE_QUERIES = {
     "f_fit_orders": (_fit_full("v_orders"), None),
     "f_tree_full_docs": (_full_tree("v_docs"), OT.tree_sql(VIEWS["v_docs"].sql, _tuples("v_docs"), BIN)),
     "f_tree_full_rule": (_full_tree("v_rule"), OT.tree_sql(VIEWS["v_rule"].sql, _tuples("v_rule"), BIN)),
+    "f_null_bucket_docs": (_null_bucket("v_gaps", 2), _null_bucket_sql("v_gaps", 2)),
+    "g1_predictions_null_bucket_docs": (_predictions("v_gaps", handle_null="bucket"), _predictions_sql("v_gaps")),
     "f_splits_docs": (_ledger("v_docs"), OT.ledger_sql(VIEWS["v_docs"].sql, _tuples("v_docs"), BIN)),
     "g1_predictions_docs": (_predictions("v_docs"), _predictions_sql("v_docs")),
     "g3_predictions_by_position_docs": (_predictions_positional("v_docs"), _positional_sql("v_docs")),

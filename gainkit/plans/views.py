@@ -61,13 +61,18 @@ V_DOCS = View(
     "SELECT CAST(l.quality AS VARCHAR) AS class, d.lang, d.source, d.n_chars, d.doc_id "
     "FROM labels l JOIN documents d ON l.doc_id = d.doc_id")
 
+V_GAPS = View(
+    "v_gaps", (_d("lang"), _d("source"), _c("n_chars")), "doc_id",
+    "SELECT CAST(l.quality AS VARCHAR) AS class, CASE WHEN d.n_chars % 5 > 0 THEN d.lang END AS lang, "
+    "CASE WHEN d.doc_id % 4 > 0 THEN d.source END AS source, d.n_chars, d.doc_id FROM labels l JOIN documents d ON l.doc_id = d.doc_id")
+
 V_EVENTS = View(
     "v_events", (_d("user_bucket"), _c("value"), _c("k")), "event_id",
     "SELECT CASE WHEN event_type = 'purchase' THEN '1' ELSE '0' END AS class, "
     "CAST(user_id % 7 AS VARCHAR) AS user_bucket, value, "
     "CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, event_id FROM events")
 
-VIEWS = {v.name: v for v in (V_RULE, V_NOISE, V_MULTI, V_ORDERS, V_DOCS, V_EVENTS)}
+VIEWS = {v.name: v for v in (V_RULE, V_NOISE, V_MULTI, V_ORDERS, V_DOCS, V_GAPS, V_EVENTS)}
 
 
 def _flag(cond) -> F.Column:
@@ -98,6 +103,9 @@ def load_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         d = read_table(spark, sf_dir, "documents")
         return lab.join(d, "doc_id").select(F.col("quality").cast("string").alias("class"),
                                             "lang", "source", "n_chars", "doc_id")
+    if name == "v_gaps":
+        return load_view(spark, sf_dir, "v_docs").withColumns({
+            "lang": F.when(F.col("n_chars") % 5 > 0, F.col("lang")), "source": F.when(F.col("doc_id") % 4 > 0, F.col("source"))})
     if name == "v_events":
         e = read_table(spark, sf_dir, "events")
         return e.select(_flag(F.col("event_type") == "purchase").alias("class"),
