@@ -97,24 +97,52 @@ def ledger_sql(src: str, spec, classes, max_depth: int = LEVELS - 1) -> str:
     return "WITH " + ",\n".join(_levels(src, spec, classes, max_depth)) + "\n" + "\nUNION ALL\n".join(rows)
 
 
+def _routed(test: str, key: str, spec, classes, max_depth: int) -> list[str]:
+    """CTEs t{d}: the rows of ``test`` at the nodes of depth d; s{d}: those at
+    split nodes (``here``) with the child they go to (null: unseen value) and the
+    split's majority."""
+    names, majority = ", ".join(n for n, _ in spec), _majority_sql(classes, "n.c")
+    out = [f"t0 AS MATERIALIZED (SELECT {key}, class, '0' AS node, {names} FROM ({test}))"]
+    for d in range(max_depth + 1):
+        joins, branch = _branch(spec, "t", "n")
+        out.append(f"s{d} AS MATERIALIZED (SELECT t.{key}, t.class, t.node AS here, t.node || '.' || ({branch}) AS node, {', '.join('t.' + n for n, _ in spec)}, "
+                   f"{majority} AS fallback FROM t{d} t JOIN n{d} n ON t.node = n.node AND n.p IS NOT NULL {joins})")
+        out.append(f"t{d + 1} AS MATERIALIZED (SELECT {key}, class, node, {names} FROM s{d} WHERE node IN (SELECT node FROM n{d + 1}))")
+    return out
+
+
 def predictions_sql(src: str, test: str, key: str, spec, classes, max_depth: int = LEVELS - 1) -> str:
     """(key, class, path, prediction) of every row of ``test``: where it stopped
     in the tree of ``src``. An unseen value stops at an inner node and has no
     prediction; a value without rows at its node has the node's majority."""
-    ctes, names = _levels(src, spec, classes, max_depth), ", ".join(n for n, _ in spec)
-    ctes.append(f"t0 AS MATERIALIZED (SELECT {key}, class, '0' AS node, {names} FROM ({test}))")
     rows, majority = [], _majority_sql(classes, "n.c")
     for d in range(max_depth + 2):
         rows.append(f"SELECT t.{key}, t.class, t.node AS path, {majority} AS prediction FROM t{d} t JOIN n{d} n ON t.node = n.node AND n.p IS NULL")
-        if d > max_depth:
-            break
-        joins, branch = _branch(spec, "t", "n")
-        ctes.append(f"s{d} AS MATERIALIZED (SELECT t.{key}, t.class, t.node AS here, t.node || '.' || ({branch}) AS node, {', '.join('t.' + n for n, _ in spec)}, "
-                    f"{majority} AS fallback FROM t{d} t JOIN n{d} n ON t.node = n.node AND n.p IS NOT NULL {joins})")
-        rows.append(f"SELECT {key}, class, here, NULL FROM s{d} WHERE node IS NULL")
-        rows.append(f"SELECT {key}, class, node, fallback FROM s{d} WHERE node IS NOT NULL AND node NOT IN (SELECT node FROM n{d + 1})")
-        ctes.append(f"t{d + 1} AS MATERIALIZED (SELECT {key}, class, node, {names} FROM s{d} WHERE node IN (SELECT node FROM n{d + 1}))")
-    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(rows)
+        if d <= max_depth:
+            rows.append(f"SELECT {key}, class, here, NULL FROM s{d} WHERE node IS NULL")
+            rows.append(f"SELECT {key}, class, node, fallback FROM s{d} WHERE node IS NOT NULL AND node NOT IN (SELECT node FROM n{d + 1})")
+    return "WITH " + ",\n".join(_levels(src, spec, classes, max_depth) + _routed(test, key, spec, classes, max_depth)) + "\n" + "\nUNION ALL\n".join(rows)
+
+
+def pruned_sql(src: str, test: str, key: str, spec, classes, max_depth: int = LEVELS - 1) -> str:
+    """The tree of ``src`` pruned on ``test``, folded from the deepest level up:
+    (path, depth, is_leaf, stop_reason, split_feature, threshold, n_rows, prediction)."""
+    up, ctes = "regexp_replace(node, '[.][0-9]+$', '')", _routed(test, key, spec, classes, max_depth)
+    for d in range(max_depth + 1, -1, -1):
+        right = f"SELECT n.node, count_if(t.class = {_majority_sql(classes, 'n.c')}) AS ok FROM n{d} n JOIN t{d} t ON t.node = n.node GROUP BY n.node"
+        parts = "SELECT NULL AS node, 0 AS ok WHERE false"
+        if d <= max_depth:
+            parts = (f"SELECT {up} AS node, ok FROM f{d + 1} UNION ALL SELECT here, count_if(class = fallback) FROM s{d} "
+                     f"WHERE node IS NOT NULL AND node NOT IN (SELECT node FROM n{d + 1}) GROUP BY here")
+        ctes.append(f"f{d} AS MATERIALIZED (SELECT n.node, CASE WHEN n.p IS NULL THEN coalesce(a.ok, 0) ELSE greatest(coalesce(a.ok, 0), coalesce(b.ok, 0)) END AS ok, "
+                    f"n.p IS NOT NULL AND coalesce(a.ok, 0) >= coalesce(b.ok, 0) AS pruned FROM n{d} n LEFT JOIN ({right}) a ON n.node = a.node "
+                    f"LEFT JOIN (SELECT node, sum(ok) AS ok FROM ({parts}) GROUP BY node) b ON n.node = b.node)")
+    ctes.append("cut AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT node FROM f{d} WHERE pruned" for d in range(max_depth + 2)) + ")")
+    with_, body = tree_sql(src, spec, classes, max_depth).split("\nSELECT node AS path", 1)
+    if_ = lambda a, b: f"CASE WHEN c.node IS NULL THEN w.{a} ELSE {b} END AS {a}"
+    return (f"{with_},\n" + ",\n".join(ctes) + f",\nwhole AS (SELECT node AS path{body})\nSELECT w.path, w.depth, {if_('is_leaf', 'true')}, {if_('stop_reason', chr(39) + 'pruned' + chr(39))}, "
+            f"{if_('split_feature', 'NULL')}, {if_('threshold', 'NULL')}, w.n_rows, {if_('prediction', 'w.majority')} FROM whole w LEFT JOIN cut c ON w.path = c.node "
+            "WHERE NOT EXISTS (SELECT 1 FROM cut x WHERE starts_with(w.path, x.node || '.'))")
 
 
 def accuracy_of_sql(predictions: str) -> str:

@@ -184,6 +184,21 @@ def _sides_sql(name):
     return (f"SELECT * FROM ({VIEWS[name].sql}) WHERE {side}", f"SELECT * FROM ({VIEWS[name].sql}) WHERE NOT ({side})")
 
 
+def _pruned_tree(name):
+    def q(spark, sf):
+        train, test = hash_split(load_view(spark, sf, name), VIEWS[name].key, (4, 1), 100)
+        m = fit(train, "class", list(VIEWS[name].spec), classes=BIN, prune_df=test)
+        tree = m.tree
+        return tree.join(branch_paths(m, tree), "node_id").select(
+            F.col("path_of").alias("path"), "depth", "is_leaf", "stop_reason", "split_feature", "threshold", "n_rows", "prediction")
+    q.__doc__ = f"F12/G5/G6: the full tree (max depth 20) of the {name} view's train side, pruned on the held-out side as part of the fit."
+    return q
+
+
+def _pruned_sql(name):
+    return OT.pruned_sql(*_sides_sql(name), VIEWS[name].key, _tuples(name), BIN)
+
+
 def _predictions(name, **options):
     def q(spark, sf):
         key = VIEWS[name].key
@@ -242,6 +257,8 @@ TREE_QUERIES = {
     "f_tree_full_rule": (_full_tree("v_rule"), OT.tree_sql(VIEWS["v_rule"].sql, _tuples("v_rule"), BIN)),
     "f_null_bucket_docs": (_null_bucket("v_gaps", 2), _null_bucket_sql("v_gaps", 2)),
     "g1_predictions_null_bucket_docs": (_predictions("v_gaps", handle_null="bucket"), _predictions_sql("v_gaps")),
+    "g5_pruned_tree_docs": (_pruned_tree("v_docs"), _pruned_sql("v_docs")),
+    "g5_pruned_tree_lines": (_pruned_tree("v_lines"), _pruned_sql("v_lines")),
     "f_splits_docs": (_ledger("v_docs"), OT.ledger_sql(VIEWS["v_docs"].sql, _tuples("v_docs"), BIN)),
     "g1_predictions_docs": (_predictions("v_docs"), _predictions_sql("v_docs")),
     "g3_predictions_by_position_docs": (_predictions_positional("v_docs"), _positional_sql("v_docs")),

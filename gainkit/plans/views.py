@@ -42,6 +42,11 @@ V_RULE = View(
     "SELECT CASE WHEN l_quantity * l_discount > 0.995 THEN '1' ELSE '0' END AS class, "
     "l_returnflag, l_linestatus, l_quantity, l_discount, l_tax, l_extendedprice FROM lineitem")
 
+V_LINES = View(
+    "v_lines", V_RULE.spec, "l_orderkey",
+    "SELECT CASE WHEN l_quantity * l_discount > 0.995 THEN '1' ELSE '0' END AS class, "
+    "l_returnflag, l_linestatus, l_quantity, l_discount, l_tax, l_extendedprice, l_orderkey FROM lineitem")
+
 V_NOISE = View(
     "v_noise", (_d("l_linestatus"), _c("l_quantity"), _c("l_extendedprice"), _c("l_tax")), None,
     "SELECT CASE WHEN l_returnflag = 'R' THEN '1' ELSE '0' END AS class, "
@@ -72,7 +77,7 @@ V_EVENTS = View(
     "CAST(user_id % 7 AS VARCHAR) AS user_bucket, value, "
     "CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, event_id FROM events")
 
-VIEWS = {v.name: v for v in (V_RULE, V_NOISE, V_MULTI, V_ORDERS, V_DOCS, V_GAPS, V_EVENTS)}
+VIEWS = {v.name: v for v in (V_RULE, V_LINES, V_NOISE, V_MULTI, V_ORDERS, V_DOCS, V_GAPS, V_EVENTS)}
 
 
 def _flag(cond) -> F.Column:
@@ -81,10 +86,11 @@ def _flag(cond) -> F.Column:
 
 def load_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The labelled view as a DataFrame (columns exactly as in its SQL)."""
-    if name == "v_rule":
+    if name in ("v_rule", "v_lines"):
         li = read_table(spark, sf_dir, "lineitem")
         return li.select(_flag(F.col("l_quantity") * F.col("l_discount") > 0.995).alias("class"),
-                         "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax", "l_extendedprice")
+                         "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax", "l_extendedprice",
+                         *(["l_orderkey"] if name == "v_lines" else []))
     if name == "v_noise":
         li = read_table(spark, sf_dir, "lineitem")
         return li.select(_flag(F.col("l_returnflag") == "R").alias("class"),
