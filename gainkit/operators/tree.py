@@ -190,13 +190,14 @@ def branch_sql(spec: list[FeatureSpec], pos: str = "split_pos", threshold: str =
 
 def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classes=None,
         max_depth: int = 20, stop_rule: str = "first_constant", handle_null: str = "error",
-        range_rows: int = RANGE_ROWS, checkpoint_interval: int = 4,
+        range_rows: int = RANGE_ROWS, checkpoint_interval: int = 1,
         broadcast_nodes: int = BROADCAST_NODES, id_limit: int = ID_LIMIT,
         prune_df: DataFrame | None = None, subtract: bool | None = None) -> TreeModel:
     """grow a tree on ``df`` (label column + features) and, with
     ``prune_df``, prune it on that table.  Returns a :class:`TreeModel` whose
     ``nodes`` and ``dictionary`` are written tables; the tables of the levels
-    are deleted when the fit ends or fails.  ``subtract``: whether large
+    are deleted when the fit ends or fails.  Every ``checkpoint_interval``
+    levels the rows are written instead of cached.  ``subtract``: whether large
     children's histograms are taken from their parents' (None: by cost)."""
     if stop_rule not in ("first_constant", "all_constant"):
         raise ValueError("stop_rule must be 'first_constant' or 'all_constant'")
@@ -368,7 +369,7 @@ def _grow(df, label, spec, classes, max_depth, stop_rule, handle_null, range_row
     n_rows, n_open = sum(by_class.values()), 1
     base_d, r_d, depth = 0, 1, 0
     records: list[DataFrame] = []
-    scan, old_rows, taken = None, None, []
+    scan, old_rows, written, taken = None, None, False, []
     while True:
         records.append(_record(front.where("stop_reason IS NOT NULL"), classes))
         nodes = front.where("stop_reason IS NULL").select(*FRONTIER)
@@ -391,6 +392,8 @@ def _grow(df, label, spec, classes, max_depth, stop_rule, handle_null, range_row
             above.close()
         if old_rows is not None:
             old_rows.unpersist()
+            if written:     # nothing is computed from them again
+                scratch.drop(old_rows)
 
         split = dec.where("_pick IS NOT NULL")
         n_split, wide = split.agg(F.expr("count(1)"), F.expr(f"coalesce(max(get({branches}, _pick.{P})), 0)")).first()
@@ -424,14 +427,10 @@ def _grow(df, label, spec, classes, max_depth, stop_rule, handle_null, range_row
         values = ["_y", *[fcol(i) for i in range(len(spec))]]
         nxt = rows.join(sender(n_split)(route), "node_id").selectExpr(*values, f"first_child + {branch_sql(spec)} AS node_id") \
             .join(sender(2 * n_open)(wanted), "node_id")
-        if checkpoint_interval and depth % checkpoint_interval == 0:
-            nxt = scratch.cut(nxt)
-            rows.unpersist()
-            old_rows = None
-        else:
-            # filled by the next level's histogram; the parents' rows stay
-            # cached until then so that nothing is recomputed
-            nxt, old_rows = nxt.persist(StorageLevel.MEMORY_AND_DISK), rows
+        # written, the next level's plan starts from a table; else it is filled by
+        # the next level's histogram. The parents' rows stay until then
+        written = bool(checkpoint_interval) and depth % checkpoint_interval == 0
+        nxt, old_rows = scratch.cut(nxt) if written else nxt.persist(StorageLevel.MEMORY_AND_DISK), rows
         rows = nxt
         base_d, r_d = base_next, r_next
 
