@@ -45,12 +45,13 @@ class LibraryEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         vocab = self.tokenizer.get_vocab()
         self.size = max(vocab.values()) + 1
         self.opens = np.zeros(self.size, bool)
         self.opens[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
-        self.cache = ChunkCache(self.encode_chunks)
+        # added tokens are found in texts too, and white space before one ends a piece
+        added = bytes(t.content.encode()[0] for t in self.tokenizer.get_added_tokens_decoder().values() if t.content)
+        self.cache = ChunkCache(self.encode_chunks, uncut=added)
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

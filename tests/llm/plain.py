@@ -109,7 +109,6 @@ def merges(path):
 def library_ids(path, text):
     from tokenizers import Tokenizer
     t = library_ids.__dict__.setdefault(path, Tokenizer.from_file(path))
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids
 
 

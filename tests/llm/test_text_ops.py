@@ -87,6 +87,14 @@ def test_token_files_on_odd_rows(spark, make_docs):
         assert [r.doc_id for r in twice] == [None, 5, 5] and twice[1].ids_crc32 == twice[2].ids_crc32
 
 
+def test_token_files_with_special_tokens_in_texts(spark, make_docs):
+    docs = [(1, "a <|endoftext|> b"), (2, "<|endoftext|>"), (3, "a  <|endoftext|>  b <|endoftext|><|endoftext|> c"), (4, " <|endoftext|>x <b> <|endof"),
+            (5, "word " * 50 + "<|endoftext|>" + " word" * 50), (6, "\n <|endoftext|>\n")]
+    assert plain.library_ids(JSON, docs[0][1]) == [64, 220, 50256, 275]
+    with Scratch(spark, "t") as scratch:
+        check_files({r.doc_id: r for r in tokenfile.read(tokenfile.write(make_docs(docs), JSON, scratch)).collect()}, dict(docs))
+
+
 def check_pii(rows, docs):
     for r in rows:
         counts, digest, joined = plain.pii_row(docs[r.doc_id])
