@@ -198,7 +198,11 @@ def fit(df: DataFrame, label: str, spec: list[FeatureSpec] | None = None, classe
     ``nodes`` and ``dictionary`` are written tables; the tables of the levels
     are deleted when the fit ends or fails.  Every ``checkpoint_interval``
     levels the rows are written instead of cached.  ``subtract``: whether large
-    children's histograms are taken from their parents' (None: by cost)."""
+    children's histograms are taken from their parents' (None: by cost).
+    ``handle_null``: rows with a null feature fail the fit ('error') or are left
+    out ('drop'); with 'bucket' a null of a discrete feature is a value of its
+    own, the last branch (``branch_value`` null), in training and in routing,
+    while nulls of continuous features fail."""
     if stop_rule not in ("first_constant", "all_constant"):
         raise ValueError("stop_rule must be 'first_constant' or 'all_constant'")
     if handle_null not in ("error", "drop", "bucket"):

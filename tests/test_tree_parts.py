@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gainkit import FeatureSpec, fit, predict, prune
 from gainkit.operators import tree as tree_module
 from gainkit.operators.prune import bands, prune as prune_tree
+from gainkit.operators.rows import preview, rank_index, rows_at
 from gainkit.operators.score import accuracy, route
 from gainkit.operators.split_search import split_candidates
 from gainkit.operators.tree import _taken, build_dictionary
@@ -144,3 +145,32 @@ def test_dictionary_codes_follow_value_order(spark):
     assert got == {(0, v): i for i, v in enumerate(sorted(set(values)))} | {(1, "a"): 0, (1, "b"): 1}
     plan = d._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_nulls_as_a_value(spark):
+    rnd = random.Random(9)
+    rows = [dict(r, d1=None if rnd.random() < 0.3 else r["d1"], d2=None if rnd.random() < 0.2 else r["d2"]) for r in make_rows(21, 220)]
+    filled = [dict(r, d1=r["d1"] or "~", d2=r["d2"] or "~") for r in rows]      # sorts last, as nulls do
+    train, test = rows[:150], rows[150:]
+    ref, _ = bf.fit(filled[:150], SPEC, max_depth=2)
+    model = fit(to_df(spark, train), "class", spark_spec(), max_depth=2, handle_null="bucket")
+    assert bf.canon_spark(model.tree.collect()) == bf.canon(ref)
+    got = {r["id"]: r["prediction"] for r in predict(model, to_df(spark, test)).collect()}
+    assert got == {r["id"]: bf.predict(ref, r) for r in filled[150:]}
+    measured = {r["feature"]: r["n_values"] for r in split_candidates(to_df(spark, train), "class", spark_spec(), handle_null="bucket").collect()}
+    assert measured["d1"] == 4 and measured["d2"] == 3
+    broken = [dict(r, c1=None) if r["id"] == 3 else r for r in train]
+    with pytest.raises(ValueError):
+        fit(to_df(spark, broken), "class", spark_spec(), handle_null="bucket")
+
+
+def test_rows_by_position_and_preview(spark):
+    values = [(i, (i * 37) % 101) for i in range(500)]
+    df = spark.createDataFrame(values, "i long, v int").repartition(5)
+    want = sorted(values, key=lambda r: (-r[1], r[0]))
+    order = [F.desc("v"), F.col("i")]
+    got = sorted((r["at"], r["i"]) for r in rows_at(df, order, 90, 210, "at").collect())
+    assert got == [(n, want[n][0]) for n in range(90, 210)]
+    assert rows_at(df, order, 490, 600).columns == ["i", "v"] and rows_at(df, order, 490, 600).count() == 10
+    assert [r["i"] for r in preview(df, 7, order).collect()] == [i for i, _ in want[:7]] and preview(df, 3).count() == 3
+    assert "Window" not in rank_index(df, order)._jdf.queryExecution().executedPlan().toString()
