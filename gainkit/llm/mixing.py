@@ -7,7 +7,8 @@ document of a source expects ``target / size`` copies. Within a source the
 expected copies are summed along a fixed order, one offset drawn from the seed
 is added, and a document is emitted once for every integer its interval
 crosses. The order runs through strata of like size, so the words taken stay
-near the target, and within a stratum by a hash of the id.
+near the target, and within a stratum by a hash of the id (of the text, where
+the id is null), the id and a hash of the text.
 
 Positions come from counts per (source, stratum, hash bucket): buckets grow in
 number with the rows (to 4096 for each stratum of each source), so a hot source
@@ -15,8 +16,9 @@ is ranked in many small windows, and only the counts meet in one window per
 source.
 
 Defined results: null sources are one source, last; null and empty texts have
-size 0, expect copies like the others and take no words; equal ids are ranked
-in any order and their rows are alike; an empty table gives an empty one;
+size 0, expect copies like the others and take no words; rows of equal ids, or
+without one, are told apart by their texts, so reruns agree on them; rows of
+equal id, source and text are alike; an empty table gives an empty one;
 ``mix`` keeps every column of ``docs``.
 """
 
@@ -60,8 +62,8 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
 
 
 def _hash(seed: int) -> Column:
-    """A 32-bit hash of the id."""
-    drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("_key").cast("string"), F.lit(""))))
+    """A 32-bit hash of the id, or of the text where there is none."""
+    drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("_key").cast("string"), F.col("_own"))))
     return F.conv(F.substring(drawn, 1, 8), 16, 10).cast("long")
 
 
@@ -110,7 +112,9 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     digits = F.col("_size").cast("string")
 
     def sized(*payload):
-        d = docs.select(*payload, F.col(key).alias("_key"), F.col(source).alias("_source"), word_count(F.col(text)).alias("_size"))
+        own = F.when(F.col(key).isNull(), F.md5(F.coalesce(F.col(text), F.lit(""))))
+        d = docs.select(*payload, F.col(key).alias("_key"), F.col(source).alias("_source"), word_count(F.col(text)).alias("_size"),
+                        own.alias("_own"), F.xxhash64(text).alias("_tie"))
         return d.withColumn("_stratum", F.length(digits) * 100 + F.substring(digits, 1, 2).cast("int")).withColumn("_hash", _hash(seed))
 
     with Scratch(docs.sparkSession, "mix") as scratch:
@@ -120,7 +124,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
         "d.*", _bucket(cell, F.size("_offsets")).alias("_bucket"), "_offsets", "_source_size", "_target")
     whole = whole.withColumn("_before", F.get("_offsets", F.col("_bucket").cast("int"))).drop("_offsets")
     ranked = whole.withColumn("_rank", F.col("_before") + F.row_number().over(
-        Window.partitionBy("_source", "_stratum", "_bucket").orderBy("_hash", "_key")))
+        Window.partitionBy("_source", "_stratum", "_bucket").orderBy("_hash", "_key", "_tie")))
     return ranked.select("_doc", "_size", "_source_size", "_target", copies(seed).alias("_copies"))
 
 

@@ -218,6 +218,13 @@ def test_mix_on_odd_rows(spark, make_docs):
     assert mixing.mix(d.limit(0)).count() == 0 and mixing.sample(d.limit(0)).count() == 0
 
 
+def test_mix_agrees_on_rows_without_or_with_repeated_ids(spark, make_docs):
+    docs = [(None if i % 2 else i % 10, f"{'word ' * (5 + i % 3)}of row {i}") for i in range(80)] + [(None, "alike " * 6)] * 4
+    runs = [sorted((r._doc.doc_id is None, r._doc.doc_id or 0, r._doc.text, r._copies) for r in mixing.mix(make_docs(docs).repartition(n)).collect()) for n in (3, 5, 7)]
+    assert len(runs[0]) == 84 and runs[0] == runs[1] == runs[2]
+    assert {r[3] for r in runs[0]} == {1, 2}
+
+
 def test_native_operators_run_no_python(spark):
     for q in (queries.op4_pii, queries.op9_source_mix):
         plan = q(spark, SF0001)._jdf.queryExecution().executedPlan().toString()
