@@ -23,7 +23,7 @@ from gainkit.operators.split_search import all_thresholds, best_split, best_thre
 from gainkit.operators.tree import build_dictionary
 from gainkit.plans import oracle as O
 from gainkit.plans.views import VIEWS, load_view
-from gainkit.sources.tables import read_table
+from gainkit.sources.tables import query, read_table, register_tables
 from gainkit.spec import DISCRETE, FeatureSpec
 
 BIN = ["0", "1"]
@@ -479,7 +479,24 @@ def q_all_thresholds(spark, sf):
 SQL_ALL_THRESHOLDS = O.all_thresholds_sql(VIEWS["v_rule"].sql, ["l_extendedprice", "l_tax"], BIN)
 
 
+ORDERS_SINCE = """
+SELECT c.c_mktsegment, count(*) AS n_orders, round(sum(o.o_totalprice), 2) AS total
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE o.o_totalprice >= {least} AND o.o_orderpriority <> {other}
+GROUP BY c.c_mktsegment"""
+
+
+def q_sql_over_views(spark, sf):
+    """A5/H5: SQL over the registered tables, with parameters."""
+    register_tables(spark, sf, ["orders", "customer"])
+    return query(spark, ORDERS_SINCE.format(least=":least", other=":other"), {"least": 150000.0, "other": "it's none"})
+
+
+SQL_OVER_VIEWS = ORDERS_SINCE.format(least="150000.0", other="'it''s none'")
+
+
 QUERIES = {
+    "a5_sql_over_views": (q_sql_over_views, SQL_OVER_VIEWS),
     "a6_preview": (q_preview, SQL_PREVIEW),
     "b1_rows_at": (q_rows_at, SQL_ROWS_AT),
     "f1_dictionary_codes": (q_dictionary, SQL_DICTIONARY),

@@ -18,3 +18,9 @@ def register_tables(spark: SparkSession, sf_dir: str, names=None) -> None:
     """A5: temp views over the Parquet files, queried by ``spark.sql``."""
     for name in names or TABLES:
         read_table(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
+def query(spark: SparkSession, text: str, params: dict | None = None) -> DataFrame:
+    """H5: SQL over the registered views; values go in as named parameters
+    (``:name``), never as part of the text."""
+    return spark.sql(text, args=params or {})
