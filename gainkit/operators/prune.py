@@ -81,17 +81,14 @@ def _decisions(t: DataFrame, scratch: Scratch, fold_nodes: int) -> DataFrame:
     for a, b in reversed(bands(per_depth, fold_nodes)):
         part = t.where((F.col("depth") >= a) & (F.col("depth") < b))
         if done:
+            # of the band below, only the subtrees' roots have parents here
             below = done[-1].groupBy(F.col("parent_id").alias("node_id")).agg(F.sum("kept_ok").alias("_below"))
             part = part.join(below, "node_id", "left").withColumn("other_ok", F.col("other_ok") + F.coalesce("_below", F.lit(0)))
         groups = -(-sum(per_depth.get(d, 0) for d in range(a, b)) // fold_nodes)
         part = part.withColumn("_g", F.pmod(F.xxhash64(F.get("path", F.lit(a))), F.lit(groups)))    # subtrees stay whole
-        cut = scratch.cut(part.select("_g", "node_id", "parent_id", "depth", "is_leaf", "leaf_ok", "other_ok").groupBy("_g").applyInArrow(
-            fold, "node_id long, parent_id long, pruned boolean, kept_ok long"))
-        done.append(cut.join(t.where(F.col("depth") == a).select("node_id"), "node_id", "left_semi") if a else cut)
-        if a:
-            done[-1], whole = scratch.cut(done[-1]), cut
-            done.insert(0, whole)
-    return reduce(DataFrame.unionByName, done).select("node_id", "pruned").distinct()
+        done.append(scratch.cut(part.select("_g", "node_id", "parent_id", "depth", "is_leaf", "leaf_ok", "other_ok").groupBy("_g").applyInArrow(
+            fold, "node_id long, parent_id long, pruned boolean, kept_ok long")))
+    return reduce(DataFrame.unionByName, done).select("node_id", "pruned")
 
 
 def prune(model: TreeModel, df: DataFrame, label: str | None = None, fold_nodes: int = FOLD_NODES) -> TreeModel:
