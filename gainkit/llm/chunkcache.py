@@ -26,13 +26,12 @@ class ChunkCache:
     """``encode`` takes a list of distinct strings and returns their id lists.
     At most ``limit`` chunks are held (then it starts anew); chunks of more
     than 256 bytes are encoded on the spot and never held. Texts are not cut
-    before the bytes ``uncut`` either: those that strings may begin with which
-    the tokenizer takes out of a text first."""
+    before the strings ``uncut`` either, which the tokenizer takes out of a
+    text first."""
 
-    def __init__(self, encode: Callable[[list[str]], list], limit: int = 600_000, uncut: bytes = b""):
+    def __init__(self, encode: Callable[[list[str]], list], limit: int = 600_000, uncut: list[bytes] = ()):
         self.encode, self.limit = encode, limit
-        self.no_cut = _NO_CUT.copy()
-        self.no_cut[list(uncut)] = True
+        self.uncut = [np.frombuffer(x, np.uint8) for x in uncut if x]
         self._reset()
 
     def _reset(self):
@@ -67,7 +66,11 @@ class ChunkCache:
         if self.n > self.limit:
             self._reset()
         cut = np.zeros(len(data) + 1, bool)
-        cut[:-2] = (data[:-1] == 0x20) & ~self.no_cut[data[1:]]
+        cut[:-2] = (data[:-1] == 0x20) & ~_NO_CUT[data[1:]]
+        for word in self.uncut:
+            at = np.flatnonzero(cut[:-2] & (data[1:] == word[0]))
+            at = at[at + len(word) < len(data)]
+            cut[at[(data[at[:, None] + 1 + np.arange(len(word))] == word).all(axis=1)]] = False
         cut[offsets[1:] - 1] = False  # what follows the last byte is another document's
         cut[offsets] = True
         edges = np.flatnonzero(cut)

@@ -50,7 +50,7 @@ class LibraryEncoder:
         self.opens = np.zeros(self.size, bool)
         self.opens[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
         # added tokens are found in texts too, and white space before one ends a piece
-        added = bytes(t.content.encode()[0] for t in self.tokenizer.get_added_tokens_decoder().values() if t.content)
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache = ChunkCache(self.encode_chunks, uncut=added)
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
