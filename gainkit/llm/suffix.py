@@ -8,9 +8,12 @@ place, so windows of two documents are equal only if suffixes at two such
 anchors agree to the right of the anchor and the bytes before them agree to
 the left.
 
-1. Texts that repeat exactly are represented by the smallest id.
-2. Texts are dealt into blocks. Each block gives the hashes of its anchors'
-   seeds, packed by hash range; hashes of one block only cannot repeat.
+1. Texts are dealt into blocks and written by block; no later step moves a
+   text to another task's partition. Texts that repeat exactly are represented
+   by the smallest id: the others' places (block and row, no text) go to their
+   blocks, which leave them out of steps 2 to 5 and lose them whole.
+2. Each block gives the hashes of its anchors' seeds, packed by hash range;
+   hashes of one block only cannot repeat.
 3. Each block takes the anchors whose seed is shared by documents and writes
    their suffixes with ``SEED_SPAN`` bytes before them. Suffixes of one block
    with the same bytes all around go out once, with the smallest id; the others
@@ -56,6 +59,7 @@ SPAN = LENGTH - SEED + 1       # seeds in a window
 BEFORE = LENGTH - SEED         # most bytes of a window before its anchor
 WIDTH = 56                     # right context, padded to whole 8-byte characters
 BLOCK_BYTES = 2 << 20
+ROW_BYTES = 32                 # what a row counts in a block besides its text
 SAMPLE = 1 << 16
 NO_ID = 2**63 - 1
 
@@ -244,10 +248,11 @@ def _blocks(docs: DataFrame) -> DataFrame:
         part, seq, held, row = TaskContext.get().partitionId(), 0, 0, 0
         for batch in batches:
             for i, data, offsets in text_slices(batch.column(1)):
-                if held and held + len(data) > BLOCK_BYTES:
-                    seq, held, row = seq + 1, 0, 0
-                held += len(data)
                 n = len(offsets) - 1
+                size = len(data) + ROW_BYTES * n
+                if held and held + size > BLOCK_BYTES:
+                    seq, held, row = seq + 1, 0, 0
+                held += size
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, (part << 24) + seq)), batch.column(0).slice(i, n), batch.column(1).slice(i, n),
                                                   pa.array(np.arange(row, row + n, dtype=np.int32))], names=["block", "doc", "text", "row"])
                 row += n
@@ -260,46 +265,50 @@ def _range_of(h: np.ndarray, n: int) -> np.ndarray:
     return ((h >> U(32)) * U(n) >> U(32)).astype(np.int64)
 
 
-def _seeds(blocks: DataFrame, n_ranges: int, every: int) -> DataFrame:
-    """(part, block, blob): the distinct seed hashes of each block by hash
-    range, and with part -1 a sample of the anchors' leading bytes."""
-    def give(block, got):
+def _whole(table: pa.Table) -> pa.Table:
+    """Of one block: the intervals that cover its exact copies."""
+    hits = np.zeros(table.num_rows, _HIT)
+    hits["row"], hits["block"] = table.column("row").to_numpy(), table.column("block").to_numpy()
+    hits["end"], hits["pos"] = np.iinfo(np.int32).max, -1
+    return pa.table({"block": table.column("block").slice(0, 1), "kind": pa.array([1], pa.int32()), "blob": pa.array([hits.tobytes()], pa.binary())})
+
+
+def _but_copies(step):
+    """``step`` on the texts of one block that are no copies (kind 1 of
+    ``given``), with the rest of ``given``."""
+    def run(key, texts: pa.Table, given: pa.Table) -> pa.Table:
+        kind = given.column("kind").to_numpy()
+        blobs = given.column("blob").filter(pa.array(kind == 1)).to_pylist()
+        gone = np.concatenate([np.zeros(0, _HIT), *(np.frombuffer(x, _HIT) for x in blobs)])["row"]
+        if len(gone):
+            texts = texts.filter(pa.array(~np.isin(texts.column("row").to_numpy(), gone)))
+        return step(key, texts, given.filter(pa.array(kind != 1)))
+
+    return run
+
+
+def _seeds(n_ranges: int, every: int):
+    """For one block: its distinct seed hashes by hash range, and with part -1 a
+    sample of the anchors' leading bytes."""
+    def run(key, texts: pa.Table, _) -> pa.Table:
+        block, got, leads = key[0].as_py(), [np.zeros(0, U)], [np.zeros(0, U)]
+        for _, data, offsets in text_slices(texts.column("text")):
+            where, h = anchors(data, offsets)
+            got.append(np.unique(h))
+            pick = where[mix(h + U(1)) % U(every) == 0]
+            lead = np.concatenate((data, np.zeros(8, np.uint8)))[pick[:, None] + np.arange(8)]
+            leads.append(np.ascontiguousarray(lead).view(">u8").astype(U).ravel())
         h = np.unique(np.concatenate(got))
         part = _range_of(h, n_ranges)
         cut = np.flatnonzero(np.diff(part, prepend=-1))
-        yield [int(part[c]) for c in cut], [block] * len(cut), [x.tobytes() for x in np.split(h, cut[1:])] if len(cut) else []
+        rows = [(int(part[c]), block, x.tobytes()) for c, x in zip(cut, np.split(h, cut[1:]) if len(cut) else [], strict=True)]
+        sample = np.concatenate(leads)
+        if len(sample):
+            rows.append((-1, -1, sample.tobytes()))
+        return pa.table({"part": pa.array([r[0] for r in rows], pa.int64()), "block": pa.array([r[1] for r in rows], pa.int64()),
+                         "blob": pa.array([r[2] for r in rows], pa.binary())})
 
-    def run(batches):
-        held, got = None, []
-        def flush():
-            for part, block, blob in give(held, got):
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(block, pa.int64()), pa.array(blob, pa.binary())], names=["part", "block", "blob"])
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            at = batch.column(0).to_numpy()
-            for a, b in _runs_of(at):
-                if at[a] != held and got:
-                    yield from flush()
-                    got = []
-                held = int(at[a])
-                for _, data, offsets in text_slices(batch.column(2).slice(a, b - a)):
-                    where, h = anchors(data, offsets)
-                    got.append(np.unique(h))
-                    pick = where[mix(h + U(1)) % U(every) == 0]
-                    if len(pick):
-                        lead = np.concatenate((data, np.zeros(8, np.uint8)))[pick[:, None] + np.arange(8)]
-                        blob = np.ascontiguousarray(lead).view(">u8").astype(U).tobytes()
-                        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([-1], pa.int64()), pa.array([blob], pa.binary())], names=["part", "block", "blob"])
-        if got:
-            yield from flush()
-
-    return blocks.mapInArrow(run, "part long, block long, blob binary")
-
-
-def _runs_of(x: np.ndarray):
-    edge = np.flatnonzero(np.diff(x)) + 1
-    return zip([0, *edge.tolist()], [*edge.tolist(), len(x)], strict=True)
+    return run
 
 
 def _shared(table: pa.Table) -> pa.Table:
@@ -415,41 +424,44 @@ def _united(key, texts: pa.Table, found: pa.Table) -> pa.Table:
 def repeated_spans(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: doc (NO_ID for null), n_bytes, n_removed, n_spans,
     kept_sha256 and spans (start, end, start, ... in bytes)."""
-    spark = docs.sparkSession
     src = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    named = scratch.cut(src.select("doc", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("h")))
-    total = named.agg(F.sum("n_bytes")).first()[0] or 0
-    first = named.groupBy("h", "n_bytes").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("c")).filter(f"c > 1 and n_bytes >= {LENGTH}").drop("c")
-    copies = scratch.cut(named.join(first, ["h", "n_bytes"]).filter("doc > first").select("doc", "h").distinct())
-    small = scratch.cut(named.filter(f"n_bytes < {LENGTH}").select("doc", "n_bytes", F.lower(F.hex("h")).alias("kept_sha256")))
-    rest = src.filter(F.octet_length("text") >= LENGTH).withColumn("h", F.unhex(F.sha2("text", 256))).join(copies, ["doc", "h"], "left_anti")
-
+    total = src.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     per = max(12 << 20, total // 50_000)
-    n = total // per + 1
-    blocks, drop = scratch.bucketed(_blocks(rest.select("doc", "text")), n, "block")
+    blocks, drop = scratch.bucketed(_blocks(src), total // per + 1, "block")
+    try:
+        return _spans(blocks, total, scratch)
+    finally:
+        drop()
+
+
+def _copies(blocks: DataFrame, scratch: Scratch) -> DataFrame:
+    """(block, kind, blob): the places of the texts that a smaller id has too."""
+    size = F.octet_length("text")
+    named = scratch.cut(blocks.filter(size >= LENGTH).select("block", "row", "doc", size.alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("h")))
+    first = named.groupBy("h", "n_bytes").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last").drop("last")
+    places = named.join(first, ["h", "n_bytes"]).filter("doc > first").select("block", "row")
+    copies = scratch.cut(places.groupBy("block").applyInArrow(_whole, "block long, kind int, blob binary"))
+    scratch.drop(named)
+    return copies
+
+
+def _spans(blocks: DataFrame, total: int, scratch: Scratch) -> DataFrame:
+    copies = _copies(blocks, scratch)
+    by_block = blocks.groupBy("block")
     every = max(1, total // 16 // SAMPLE)
-    packed = _seeds(blocks, total // (8 << 20) + 1, every)
+    packed = by_block.cogroup(copies.groupBy("block")).applyInArrow(_but_copies(_seeds(total // (8 << 20) + 1, every)), "part long, block long, blob binary")
     shared = scratch.cut(packed.groupBy("part").applyInArrow(_shared, "block long, blob binary"))
     leads = [np.frombuffer(r[0], U) for r in shared.filter("block < 0").select("blob").collect()]
     leads = np.sort(np.concatenate([np.zeros(0, U), *leads]))
     n_ranges = total // (4 << 20) + 1
     splitters = np.unique(leads[np.linspace(0, len(leads) - 1, n_ranges + 1).astype(np.int64)[1:-1]]) if len(leads) else leads
-    by_block = blocks.groupBy("block")
-    sorted_out = by_block.cogroup(shared.filter("block >= 0").groupBy("block")).applyInArrow(_suffixes(splitters), "kind int, key long, blob binary") \
-        .groupBy("kind", "key").applyInArrow(_in_range, "block long, kind int, blob binary")
-    found = scratch.cut(sorted_out)
+    given = shared.filter("block >= 0").select("block", F.lit(0).alias("kind"), "blob").unionByName(copies)
+    found = scratch.cut(by_block.cogroup(given.groupBy("block")).applyInArrow(_but_copies(_suffixes(splitters)), "kind int, key long, blob binary")
+                        .groupBy("kind", "key").applyInArrow(_in_range, "block long, kind int, blob binary"))
     scratch.drop(shared)
-    out = scratch.cut(by_block.cogroup(found.groupBy("block")).applyInArrow(_united, _RESULT))
-    drop()
-    scratch.drop(found)
-
-    none = F.array().cast("array<int>")
-    whole = named.join(copies, ["doc", "h"], "left_semi").select(
-        "doc", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.sha2(F.lit(""), 256).alias("kept_sha256"),
-        F.array(F.lit(0), F.col("n_bytes").cast("int")).alias("spans"))
-    zero = F.lit(0).cast("long")
-    short = small.select("doc", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), "kept_sha256", none.alias("spans"))
-    return out.unionByName(whole).unionByName(short)
+    out = scratch.cut(by_block.cogroup(found.unionByName(copies).groupBy("block")).applyInArrow(_united, _RESULT))
+    scratch.drop(found, copies)
+    return out
 
 
 def kept_digests(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> DataFrame:
