@@ -4,16 +4,22 @@ Everything works on the UTF-8 bytes of a slice of documents laid end to end:
 ``data`` (uint8) and ``offsets`` (document ``i`` is ``data[offsets[i]:offsets[i+1]]``).
 A slice holds about ``SLICE_BYTES`` (or one longer document), which bounds the
 memory of the 64-bit arrays made here to some 30 bytes per input byte.
-Hashes are 64-bit polynomials over a fixed random byte table, then mixed; they
-are the same on every executor.
+Hashes of up to ``LONG`` bytes are 64-bit polynomials over a fixed random byte
+table, then mixed. Longer ones, in which structured strings (Thue-Morse words)
+could cancel such a polynomial, are digests of a cryptographic hash. All are
+the same on every executor.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 19
+#: spans of more bytes are hashed by a digest of their bytes
+LONG = 128
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = U(pow(int(_BASE), -1, 1 << 64))
@@ -74,9 +80,15 @@ def prefix_hash(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def span_hash(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_hash(data: np.ndarray, h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each data[start:end], where ``h`` is the prefix hash of ``data``."""
     inv = powers(len(h))[1]
-    return mix(((h[ends] - h[starts]) * inv[starts]) ^ (np.asarray(ends - starts).astype(U) * U(0xD6E8FEB86659FD93)))
+    out = mix(((h[ends] - h[starts]) * inv[starts]) ^ (np.asarray(ends - starts).astype(U) * U(0xD6E8FEB86659FD93)))
+    far = np.flatnonzero(ends - starts > LONG)
+    if len(far):
+        raw = memoryview(np.ascontiguousarray(data))
+        out[far] = np.frombuffer(b"".join(hashlib.blake2b(raw[s:e], digest_size=8).digest() for s, e in zip(starts[far].tolist(), ends[far].tolist(), strict=True)), U)
+    return out
 
 
 def runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +117,7 @@ def owner(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def words(data: np.ndarray, offsets: np.ndarray):
     """Starts, ends, document and hash of every word [^\\x20\\x09-\\x0D]+."""
     starts, ends = runs(~SPACE[data], offsets)
-    return starts, ends, owner(starts, offsets), span_hash(prefix_hash(data), starts, ends)
+    return starts, ends, owner(starts, offsets), span_hash(data, prefix_hash(data), starts, ends)
 
 
 def chain(codes: np.ndarray, k: int) -> np.ndarray:

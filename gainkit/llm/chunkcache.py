@@ -75,7 +75,7 @@ class ChunkCache:
         cut[offsets] = True
         edges = np.flatnonzero(cut)
         starts, ends = edges[:-1], edges[1:]
-        key = span_hash(prefix_hash(data), starts, ends)
+        key = span_hash(data, prefix_hash(data), starts, ends)
         uniq, first, inverse = np.unique(key, return_index=True, return_inverse=True)
         get = self.index.get
         place = np.fromiter((get(h, -1) for h in uniq.tolist()), np.int64, len(uniq))

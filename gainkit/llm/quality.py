@@ -85,7 +85,7 @@ def measure_slice(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.n
     h = prefix_hash(data)
     w_start, w_end = runs(~space, offsets)
     w_doc = owner(w_start, offsets)
-    code = span_hash(h, w_start, w_end)
+    code = span_hash(data, h, w_start, w_end)
     out = {"n_words": np.bincount(w_doc, minlength=n_docs)}
     out["word_chars"] = _per_doc(~space & ((data & 0xC0) != 0x80), offsets)
     symbol = _SYMBOL[data]
@@ -110,7 +110,7 @@ def measure_slice(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.n
     with_word = np.flatnonzero(l_words)
     l_start, l_next, l_end, l_words = l_start[with_word], l_next[with_word], l_end[with_word], l_words[with_word]
     l_doc = owner(l_start, offsets)
-    _, dup = _twice(l_doc, span_hash(h, l_start, l_end))
+    _, dup = _twice(l_doc, span_hash(data, h, l_start, l_end))
     out["n_dup_lines"] = np.bincount(l_doc, weights=dup, minlength=n_docs).astype(np.int64)
 
     bad = _bad_lines(data, symbol, w_start, w_end, l_start, l_end, l_words)

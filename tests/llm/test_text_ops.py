@@ -154,6 +154,23 @@ def test_quality_on_odd_rows(spark, make_docs):
     assert quality.measure(d.limit(0)).count() == 0 and quality.clean(d.limit(0)).count() == 0
 
 
+def cancelling():
+    """Texts of words that cancel a polynomial hash modulo 2^64: Thue-Morse words and their complements."""
+    one = "".join("ab"[bin(n).count("1") % 2] for n in range(2048))
+    other = one.translate(str.maketrans("ab", "ba"))
+    return [(1, f"x {one} {other} y"), (2, f"{one}\n{other}\n{one}\n z"), (3, other), (4, one[:1024]), (5, f"{other[:1024]} {one[:1024]}"), (6, f"q {one[:256]} {other[:256]}")]
+
+
+def test_words_that_cancel_a_polynomial(spark, make_docs, tik):
+    pairs = cancelling()
+    texts, d = dict(pairs), make_docs(pairs).coalesce(1)
+    for r in quality.measure(d).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == plain.quality_base(texts[r.doc_id])
+    for r in spbpe.digests(d, RANKS, P.PATTERN).collect():
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, tik.encode_ordinary(texts[r.doc_id]))).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
 def test_quality_lines_go(spark, make_docs):
     body = "\n".join(f"This is sentence number {i} of a text that nobody would reject, {i * 31 % 17} times over." for i in range(6))
     nav = "Home | About | Contact | Shop"
