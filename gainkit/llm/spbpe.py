@@ -152,7 +152,10 @@ def digests(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
                            T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
 
     def make(c, batch, rows):
-        names = _kept.setdefault("names", [str(i) for i in range(len(c.tokens))])
+        size = len(c.tokens)
+        if ("names", size) not in _kept:
+            _kept["names", size] = [str(i) for i in range(size)]
+        names = _kept["names", size]
         a, b, n = [], [], []
         for ids in rows:
             ids = ids.tolist()

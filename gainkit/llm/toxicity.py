@@ -192,9 +192,9 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict, key: str = "doc_id
 
 def _numbers(text: str | None, index: dict[str, int]) -> np.ndarray:
     """The chosen features that a text has; a bounded memo keeps each word's."""
-    if len(_memo) > 500_000 or _memo.get("") != (id(index),):
+    if len(_memo) > 500_000 or _memo.get("") is not index:
         _memo.clear()
-        _memo[""] = (id(index),)
+        _memo[""] = index  # held, so no other vocabulary can take its place
     out = set()
     for w in set(_TOKEN.findall((text or "").lower())):
         got = _memo.get(w)
