@@ -8,11 +8,12 @@ second construction of the SetSketch paper an element meets the registers in
 a random order with ascending values, so a batch of documents needs few
 rounds over its elements.
 
-1. Equal sets are one class (by two 64-bit sums over the set and its size);
-   the smallest id stands for it from here on.
+1. Equal sets are one class (by two 64-bit sums over the set and its size),
+   which gets a number. Classes are the vertices of all links; ids come back
+   only when components are known.
 2. Bands of registers make keys; classes that share a key are candidates.
    Pairs are not listed: in each bucket every member is first compared with one
-   hub (the smallest id), then, where the bucket still holds more than one
+   hub (the smallest number), then, where the bucket still holds more than one
    component, with the member that has most links. At last the members that
    are still in different components are compared by their registers within
    blocks of their bucket, each pair in the first band it shares, and those
@@ -26,9 +27,9 @@ rounds over its elements.
 Defined results: a document without words (or null text) has the empty set,
 is linked with nothing and kept; equal texts and repeated rows are linked; null
 ids take part as one id larger than all others; texts of any length are read
-whole; an empty table gives an empty one. Rows that repeat an id are one
-vertex; should their texts differ, each row's own set is looked up among the
-classes, and links of that id are taken from the text that sorts first.
+whole; an empty table gives an empty one. Rows that repeat an id with other
+texts are told apart by two 64-bit hashes of the text: each has its own class,
+links and component.
 """
 
 from __future__ import annotations
@@ -58,6 +59,8 @@ SLACK = 10.0
 #: chance that a pair at the threshold shares no band, at most
 MISS = 1e-6
 NO_ID = 2**63 - 1
+ROW = ["id", "t1", "t2"]
+SET = ["n", "d1", "d2"]
 _STEP = U(0x9E3779B97F4A7C15)
 
 
@@ -99,13 +102,24 @@ def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(a, b)
 
 
+def _row_names(key: str, text: str) -> list[F.Column]:
+    """The columns ``ROW`` that tell rows apart: id and two hashes of the text."""
+    t = F.coalesce(F.col(text), F.lit(""))
+    return [F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(t).alias("t1"), F.xxhash64(F.lit(1), t).alias("t2")]
+
+
+def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(*_row_names(key, text), F.col(text).alias("_text"))
+
+
 def sketches(docs: DataFrame, k: int, key: str, text: str) -> DataFrame:
-    """(id, n, d1, d2, regs) per row: set size, two sums naming the set, registers."""
-    src = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("_text"))
+    """(id, t1, t2, n, d1, d2, regs) per row: the row's text by two hashes, set
+    size, two sums naming the set, registers."""
+    src = _rows(docs, key, text)
 
     def run(batches):
         for batch in batches:
-            for i, data, offsets in text_slices(batch.column(1)):
+            for i, data, offsets in text_slices(batch.column(3)):
                 n = len(offsets) - 1
                 doc, h = shingle_sets(LOWER[data], offsets, k)
                 edge = np.searchsorted(doc, np.arange(n + 1))
@@ -115,10 +129,10 @@ def sketches(docs: DataFrame, k: int, key: str, text: str) -> DataFrame:
                     sums.append(pa.array((total[edge[1:]] - total[edge[:-1]]).view(np.int64)))
                 regs = registers(doc, h, n)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, n), pa.array(np.diff(edge)), *sums,
-                     pa.array([r.tobytes() for r in regs], pa.binary())], names=["id", "n", "d1", "d2", "regs"])
+                    [*(batch.column(c).slice(i, n) for c in range(3)), pa.array(np.diff(edge)), *sums,
+                     pa.array([r.tobytes() for r in regs], pa.binary())], names=[*ROW, "n", "d1", "d2", "regs"])
 
-    return src.mapInArrow(run, "id long, n long, d1 long, d2 long, regs binary")
+    return src.mapInArrow(run, "id long, t1 long, t2 long, n long, d1 long, d2 long, regs binary")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -318,22 +332,26 @@ def _one_set(text: str | None, k: int) -> np.ndarray:
 
 
 def classes(docs: DataFrame, scratch: Scratch, k: int = 5, threshold: Fraction = Fraction(4, 5), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row of ``docs``: id, n (set size), component (smallest id reachable
-    by links, itself included)."""
+    """Per row of ``docs``: id, t1, t2 (the row, by id and text), n (set size),
+    component (smallest id reachable by links, itself included) and group (the
+    number of the component; null for the empty set)."""
     rows, n_bands = bands(float(threshold))
     limit = float(threshold)
-    repeats = docs.count() != docs.select(key).distinct().count()
     sk = scratch.cut(sketches(docs, k, key, text))
     sets = sk.filter("n > 0")
-    cls = scratch.cut(sets.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep")))
-    reps = scratch.cut(sets.join(cls, ["n", "d1", "d2"]).filter("id = rep")
-                       .groupBy("id").agg(F.min(F.struct("n", "regs")).alias("r")).select("id", "r.n", "r.regs"))
+    # a class goes by the row of its smallest id; written, so its number stays
+    first = sets.groupBy(*SET).agg(F.min(F.struct(*ROW)).alias("row"))
+    cls = scratch.cut(first.select(*SET, *(F.col(f"row.{c}").alias(f"r_{c}") for c in ROW), F.monotonically_increasing_id().alias("v")))
+    of_row = [F.col(c) == F.col(f"r_{c}") for c in ROW]
+    reps = sets.join(cls, SET).filter(of_row[0] & of_row[1] & of_row[2]).groupBy("v").agg(F.min(F.struct("n", "regs")).alias("r"))
+    reps = scratch.cut(reps.select(F.col("v").alias("id"), "r.n", "r.regs"))
 
     every = band_rows(reps, rows, n_bands)
     buckets = every.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("c")).filter("c > 1")
     shared = scratch.cut(every.join(buckets.select("key", "hub"), "key"))
-    texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("_text"))
-    texts = texts.join(shared.select("id").distinct(), "id", "left_semi")
+    wanted = cls.join(shared.select(F.col("id").alias("v")).distinct(), "v", "left_semi").select("v", *(F.col(f"r_{c}").alias(c) for c in ROW))
+    texts = _rows(docs, key, text).join(wanted, ROW).select(F.col("v").alias("id"), "_text")
+    repeats = sk.count() != sk.select(*ROW).distinct().count()
     texts = scratch.cut(texts.groupBy("id").agg(F.min("_text").alias("_text")) if repeats else texts)
 
     stars = shared.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
@@ -361,9 +379,12 @@ def classes(docs: DataFrame, scratch: Scratch, k: int = 5, threshold: Fraction =
     of = components(links, scratch)
     scratch.drop(reps, shared, texts, tried, left, again, rest)
 
-    rep_of = cls.join(of, cls["rep"] == of["v"], "left").select("n", "d1", "d2", F.coalesce("component", "rep").alias("component"))
-    return sk.select("id", "n", "d1", "d2").join(rep_of, ["n", "d1", "d2"], "left").select(
-        "id", "n", F.coalesce("component", "id").alias("component"))
+    joined = cls.join(of, "v").select(*SET, "component", "r_id")
+    low = joined.groupBy("component").agg(F.min("r_id").alias("low"))
+    named = scratch.cut(joined.join(low, "component").select(*SET, "component", "low"))
+    alone = cls.select(*SET, "v", "r_id").join(named, SET, "left")
+    groups = alone.select(*SET, F.coalesce("component", "v").alias("grp"), F.coalesce("low", "r_id").alias("low"))
+    return sk.select(*ROW, *SET).join(groups, SET, "left").select(*ROW, "n", F.coalesce("low", "id").alias("component"), "grp")
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
@@ -374,15 +395,25 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
                     (F.col("id") == F.col("component")).alias("kept"))
 
 
-def drop_duplicates(docs: DataFrame, scratch: Scratch, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest id.
-    Of rows that repeat an id one stays, picked by a hash of the row; rows
-    without an id all stay."""
-    gone = classes(docs, scratch, key=key, **options).filter(f"id <> component and id <> {NO_ID}").select(F.col("id").alias("_gone")).distinct()
-    left = docs.join(scratch.cut(gone), F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)) == F.col("_gone"), "left_anti")
-    twice = scratch.cut(left.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_twice")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_twice"))
+def drop_duplicates(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each group: the row with the smallest id
+    (and, under one id, the smallest hashes of its text). Of rows that repeat
+    an id and its text one stays, picked by a hash of the row. Rows without an
+    id or without words all stay."""
+    rows = scratch.cut(classes(docs, scratch, key=key, text=text, **options).filter(f"grp is not null and id <> {NO_ID}").select(*ROW, "grp"))
+    kept = rows.groupBy("grp").agg(F.min(F.struct(*ROW)).alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
+    marked = scratch.cut(rows.join(kept, "grp").select(*ROW, (F.struct(*ROW) == F.col("first")).alias("stays"))
+                         .groupBy(*ROW, "stays").agg(F.count(F.lit(1)).alias("c")).filter("not stays or c > 1"))
+    mark = lambda condition: marked.filter(condition).select(*(F.col(c).alias(f"_m_{c}") for c in ROW))
+
+    def on():
+        i, t1, t2 = _row_names(key, text)
+        return (i == F.col("_m_id")) & (t1 == F.col("_m_t1")) & (t2 == F.col("_m_t2"))
+
+    left = docs.join(mark("not stays"), on(), "left_anti")
+    twice = mark("stays")
     if not twice.isEmpty():
-        same = F.col(key).eqNullSafe(F.col("_twice"))
-        first = left.join(twice, same, "left_semi").groupBy(key).agg(F.min(F.struct(F.sha2(F.to_json(F.struct("*")), 256).alias("h"), F.struct(*docs.columns).alias("d")))["d"].alias("_d"))
-        left = left.join(twice, same, "left_anti").unionByName(first.select("_d.*"))
+        digest = F.struct(F.sha2(F.to_json(F.struct("*")), 256).alias("h"), F.struct(*docs.columns).alias("d"))
+        first = left.join(twice, on(), "left_semi").groupBy(*_row_names(key, text)).agg(F.min(digest)["d"].alias("_d"))
+        left = left.join(twice, on(), "left_anti").unionByName(first.select("_d.*"))
     return left

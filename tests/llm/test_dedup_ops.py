@@ -97,6 +97,48 @@ def test_near_documents_on_odd_rows(spark, make_docs):
         assert minhash.near_duplicates(d.limit(0), scratch).count() == 0 and minhash.drop_duplicates(d.limit(0), scratch).count() == 0
 
 
+def near_rows(docs, k, num, den):
+    """The rule for rows whose ids repeat: sorted (id, n, component), null ids as the largest."""
+    rows = [(2**63 - 1 if i is None else i, t) for i, t in docs]
+    by_place = plain.near_documents(list(enumerate(t for _, t in rows)), k, num, den)
+    low = {}
+    for n, (i, _) in enumerate(rows):
+        low[by_place[n][1]] = min(low.get(by_place[n][1], i), i)
+    return sorted((i, by_place[n][0], low[by_place[n][1]]) for n, (i, _) in enumerate(rows)), [by_place[n][1] for n in range(len(rows))]
+
+
+def test_near_documents_where_ids_repeat(spark, make_docs):
+    a, b, c, d, e = (variants(3, 2, seed=s) for s in (21, 22, 23, 24, 25))
+    docs = [(7, a[0]), (9, b[0]), (None, a[1]), (None, b[1]), (None, c[0]), (20, d[0]), (20, c[1]), (21, c[2]), (30, d[1]), (30, e[0]), (30, e[0]), (30, None), (31, e[1]), (20, "x y")]
+    number = lambda i: 2**63 - 1 if i is None else i
+    want, group = near_rows(docs, 5, 4, 5)
+    for parts in (1, 3, 7):
+        df = make_docs(docs).repartition(parts)
+        with Scratch(spark, "t") as scratch:
+            got = minhash.near_duplicates(df, scratch).collect()
+            left = sorted((number(r.doc_id), r.text or "") for r in minhash.drop_duplicates(df, scratch).collect())
+        assert sorted((number(r.doc_id), r.n_shingles, number(r.component_id)) for r in got) == want
+        # the smallest (id, text) of a group is fixed here, as no group's smallest id has two texts
+        first = {}
+        for (i, t), g in zip(docs, group, strict=True):
+            first[g] = min(first.get(g, (number(i), t or "")), (number(i), t or ""))
+        once, stay = set(), []
+        for (i, t), g in zip(docs, group, strict=True):
+            row = (number(i), t or "")
+            if i is None or not t or (first[g] == row and row not in once):
+                stay.append(row)
+                once.add(row)
+        assert left == sorted(stay)
+
+
+def test_words_that_cancel_a_polynomial(spark, make_docs):
+    one = "".join("ab"[bin(n).count("1") % 2] for n in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    docs = [(1, f"p q {one}"), (2, f"p q {other}"), (3, f"{one} {other} z {one} {other} y")]
+    with Scratch(spark, "t") as scratch:
+        check_near(minhash.near_duplicates(make_docs(docs), scratch, k=3, threshold=Fraction(85, 100)).collect(), docs, 3, 85, 100)
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(3)
     a, b = rng.integers(0, 2**63, 3000, np.uint64), rng.integers(0, 2**63, 1000, np.uint64)
@@ -275,6 +317,18 @@ def test_repeated_bytes_where_ids_repeat_in_pieces_of_a_block(monkeypatch, slice
     assert sorted((r["doc"], r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in got) == removed_rows(docs)
 
 
+def test_repeated_bytes_of_a_hot_passage(spark, make_docs, monkeypatch):
+    """A third of the documents hold one passage between different neighbours, others are exact copies in many blocks."""
+    monkeypatch.setattr(suffix, "BLOCK_BYTES", 4_000)
+    rnd = random.Random(31)
+    abc = lambda n: "".join(rnd.choice("abcdefghij ") for _ in range(n))
+    passage, copied = abc(300), abc(400)
+    docs = [(i, abc(rnd.randrange(80)) + passage + abc(rnd.randrange(80)) if i % 3 == 0 else copied if i % 3 == 1 else abc(rnd.randrange(200))) for i in range(180)]
+    rnd.shuffle(docs)
+    with Scratch(spark, "t") as scratch:
+        check_removed(suffix.kept_digests(make_docs(docs).repartition(5), scratch).collect(), docs)
+
+
 def test_repeated_bytes_with_small_blocks(spark, monkeypatch):
     from gainkit.llm import suffix as s
     monkeypatch.setattr(s, "BLOCK_BYTES", 20_000)
