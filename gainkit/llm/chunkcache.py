@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 
 from gainkit.llm.bytesops import owner, prefix_hash, span_hash
 
@@ -75,8 +76,9 @@ class ChunkCache:
         cut[offsets] = True
         edges = np.flatnonzero(cut)
         starts, ends = edges[:-1], edges[1:]
-        key = span_hash(data, prefix_hash(data), starts, ends)
-        uniq, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+        inverse, uniq = pd.factorize(span_hash(data, prefix_hash(data), starts, ends))
+        first = np.empty(len(uniq), np.int64)
+        first[inverse[::-1]] = np.arange(len(inverse) - 1, -1, -1)
         get = self.index.get
         place = np.fromiter((get(h, -1) for h in uniq.tolist()), np.int64, len(uniq))
         miss = np.flatnonzero(place < 0)
