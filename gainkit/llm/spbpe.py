@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -84,11 +85,14 @@ class Codec:
         mapped = [p.encode().decode("latin-1").translate(table) for p in pre_tokens]
         return self.processor.encode(mapped, num_threads=1)
 
-    def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
-        cut = [self.pattern.findall(c) for c in chunks]
-        distinct = list(dict.fromkeys(p for parts in cut for p in parts))
+    def encode_chunks(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = data.tobytes()
+        cut = [self.pattern.findall(raw[a:b].decode()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        distinct = list(dict.fromkeys(chain.from_iterable(cut)))
         ids = dict(zip(distinct, self.pieces_of(distinct), strict=True))
-        return [[i for p in parts for i in ids[p]] for parts in cut]
+        rows = [[i for p in parts for i in ids[p]] for parts in cut]
+        lens = np.fromiter(map(len, rows), np.int64, len(rows))
+        return np.fromiter(chain.from_iterable(rows), np.int32, int(lens.sum())), lens
 
     def decode(self, ids) -> bytes:
         tokens = self.tokens

@@ -19,8 +19,10 @@ writes no file and reads back empty; other columns are not read.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -30,19 +32,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gainkit.llm.bytesops import text_slices
-from gainkit.llm.chunkcache import ChunkCache
+from gainkit.llm.chunkcache import SPACES, ChunkCache, found, spans
 from gainkit.session import Scratch
 
 _INDEX = "file string, pos long, n_tokens long"
 _kept: dict = {}
+#: chunks that the library gets in one string
+JOINED = 250
 
 
 class LibraryEncoder:
-    """Ids by the tokenizers library, distinct chunks once each. Chunks of one
-    word with its leading space are encoded together in one string; a token
-    whose text begins with the space marks where each begins."""
+    """Ids by the tokenizers library, distinct chunks once each. Chunks without
+    white space, but for a space at their start, are encoded some hundred in one
+    string; those that begin with no space get a line break in front. The line
+    break's id and tokens whose text begins with the space, which are nowhere
+    else in them, mark where each begins."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         vocab = self.tokenizer.get_vocab()
@@ -51,25 +58,48 @@ class LibraryEncoder:
         self.opens[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
         # added tokens are found in texts too, and white space before one ends a piece
         added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        line = self._plain(["\n"])[0]
+        self.opens[line[0]] = True
+        self.joins = len(line) == 1 and not any(b"\n" in x or b" " in x for x in added)
         self.cache = ChunkCache(self.encode_chunks, uncut=added)
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode_chunks(self, chunks: list[str]) -> list:
-        out: list = [None] * len(chunks)
-        joined = [i for i, c in enumerate(chunks) if c[0] == " " and len(c.split()) == 1 and len(c.split()[0]) == len(c) - 1]
-        for a in range(0, len(joined), 2000):
-            part = joined[a:a + 2000]
-            ids = np.array(self._plain(["".join([chunks[i] for i in part])])[0], np.int32)
-            at = np.flatnonzero(self.opens[ids])
-            if len(at) == len(part) and at[0] == 0:
-                for i, x in zip(part, np.split(ids, at[1:]), strict=True):
-                    out[i] = x
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, ids in zip(rest, self._plain([chunks[i] for i in rest]), strict=True):
-            out[i] = ids
-        return out
+    def _joined(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """(ids, where each chunk's ids begin, how many); None if the marks don't fit."""
+        line = data[starts] != 0x20
+        ends = np.cumsum(sizes + line)
+        text = np.full(int(ends[-1]), 0x0A, np.uint8)
+        text[np.arange(int(sizes.sum())) + np.repeat(np.cumsum(line), sizes)] = spans(data, starts, sizes)
+        raw, edges = text.tobytes(), [0, *ends[JOINED - 1:-1:JOINED].tolist(), len(text)]
+        ids = np.fromiter(chain.from_iterable(self._plain([raw[a:b].decode() for a, b in pairwise(edges)])), np.int32)
+        at = np.flatnonzero(self.opens[ids])
+        if len(at) != len(starts) or at[0]:
+            return None
+        return ids, at + line, np.diff(at, append=len(ids)) - line
+
+    def encode_chunks(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        apart = SPACES[data]
+        for word in self.cache.uncut:
+            apart[found(data, word)] = True
+        before = np.concatenate(([0], np.cumsum(apart)))
+        inner = starts + ((data[starts] == 0x20) & (ends - starts > 1))
+        joins = (before[ends] == before[inner]) & self.joins
+        ids, at, lens = np.zeros(0, np.int32), np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        if joins.any():
+            got = self._joined(data, starts[joins], (ends - starts)[joins])
+            if got:
+                ids, at[joins], lens[joins] = got
+            else:
+                joins[:] = False
+        if not joins.all():
+            raw = data.tobytes()
+            rest = self._plain([raw[a:b].decode() for a, b in zip(starts[~joins].tolist(), ends[~joins].tolist(), strict=True)])
+            n = np.fromiter(map(len, rest), np.int64, len(rest))
+            at[~joins], lens[~joins] = len(ids) + np.cumsum(n) - n, n
+            ids = np.concatenate((ids, np.fromiter(chain.from_iterable(rest), np.int32, int(n.sum()))))
+        return spans(ids, at, lens), lens
 
 
 def encoder(path: str) -> LibraryEncoder:

@@ -1,6 +1,7 @@
 """Operators 3, 4, 6, 8, 9 against plain statements, on the small tables and on odd rows."""
 
 import hashlib
+import itertools
 import re
 
 import public_tokenizers as P
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gainkit.llm import mixing, pii, quality, queries, spbpe, tokenfile
+from gainkit.llm.bytesops import text_slices
 from gainkit.session import Scratch
 from tests.conftest import SF0001, SF001
 from tests.llm import plain
@@ -95,6 +97,61 @@ def test_token_files_with_special_tokens_in_texts(spark, make_docs):
         check_files({r.doc_id: r for r in tokenfile.read(tokenfile.write(make_docs(docs), JSON, scratch)).collect()}, dict(docs))
 
 
+#: what stands around the places where texts are cut, in every order
+PARTS = ["ab", "Z", "é", "日", "7", "९", "'", "'s", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\u0085", "\u3000", "\u2003", ".", ",", "<|endoftext|>", "<|", "endoftext", "|>"]
+
+
+def ids_of(cache, texts, limit=None):
+    import numpy as np
+    import pyarrow as pa
+    out = []
+    for _, data, offsets in text_slices(pa.array(texts, pa.large_string()), limit):
+        ids, n = cache.encode_slice(data, offsets)
+        out += [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+    return out
+
+
+def test_cuts_never_change_ids(tik):
+    texts = ["".join(p) for p in itertools.product(PARTS, repeat=3)] + ["", "ab " * 200 + "ab", " " * 300, "<|endoftext|>" * 30]
+    library, codec = tokenfile.LibraryEncoder(JSON), spbpe.Codec(RANKS, P.PATTERN)
+    for limit, held in ((None, 10**6), (400, 50)):
+        library.cache.limit = codec.cache.limit = held
+        for text, ids, own in zip(texts, ids_of(library.cache, texts, limit), ids_of(codec.cache, texts, limit), strict=True):
+            assert ids == library.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+            assert own == tik.encode_ordinary(text), repr(text)
+
+
+def test_marks_that_do_not_fit_are_not_trusted():
+    e = tokenfile.LibraryEncoder(JSON)
+    texts = ["one two,\nthree", " four\nfive . six"]
+    e.opens[:] = True
+    assert ids_of(e.cache, texts) == [plain.library_ids(JSON, t) for t in texts]
+
+
+def test_a_word_is_encoded_once_whatever_follows_it(monkeypatch):
+    """The cost of op3 is that of its distinct chunks, not of all that they stand before."""
+    words = [a + b + c for a in ("ka", "lo", "mi", "nu") for b in ("ra", "se", "ti") for c in ("p", "qua", "xel")]
+    text = "a" + "".join(f" {w}{end}" for end in ("", ",", ".", ";\n", "!") for w in words)
+    e, seen = tokenfile.LibraryEncoder(JSON), []
+    encode = e.cache.encode
+    monkeypatch.setattr(e.cache, "encode", lambda *a: (seen.append(len(a[-1])), encode(*a))[1])
+    assert ids_of(e.cache, [text, text]) == 2 * [plain.library_ids(JSON, text)]
+    assert sum(seen) < 2 * len(words)
+
+
+def test_places_of_hashes():
+    import numpy as np
+    from gainkit.llm.chunkcache import Places
+    rng, table, n = np.random.default_rng(3), Places(3), 0
+    keys = np.unique(np.concatenate((rng.integers(0, 2**63, 5000).astype(np.uint64), np.arange(300, dtype=np.uint64) << np.uint64(32))))
+    for part in np.array_split(rng.permutation(keys), 7):
+        assert (table.get(part) == -1).all()
+        table.put(part, np.arange(n, n + len(part)))
+        assert (table.get(part) == np.arange(n, n + len(part))).all()
+        n += len(part)
+    assert sorted(table.get(keys).tolist()) == list(range(len(keys)))
+
+
 def check_pii(rows, docs):
     for r in rows:
         counts, digest, joined = plain.pii_row(docs[r.doc_id])
